@@ -1,0 +1,4 @@
+"""Intentionally empty: evaluation runs are batch jobs, there is no continuous source to follow.
+
+Incremental runs are keyed batch upserts, see ``gabarito.operators.upsert``.
+"""
