@@ -9,16 +9,28 @@ from pyspark.sql import types as T
 from gabarito.functions.text import escape_backslashes
 from gabarito.operators.clean import drop_index_columns, string_columns
 
-# Quotes are doubled, and only fields that need quotes get them.
-FORMAT = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true"}
+# Quotes are doubled, and only fields that need quotes get them. A bare empty
+# field is null, a quoted one is the empty text.
+FORMAT = {
+    "header": "true",
+    "quote": '"',
+    "escape": '"',
+    "multiLine": "true",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+# What a quoted empty field reads as until it becomes '' again; the reader would make it null.
+EMPTY = "\x01"
 
 
 def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
     """CSV with a fixed schema, columns matched by name, index columns dropped."""
     header = spark.read.options(**FORMAT).csv(path).columns
     names = [T.StructField(c, schema[c].dataType if c in schema.names else T.StringType()) for c in header]
-    rows = spark.read.options(**FORMAT).schema(T.StructType(names)).csv(path)
-    return drop_index_columns(rows)
+    rows = spark.read.options(**FORMAT, emptyValue=EMPTY).schema(T.StructType(names)).csv(path)
+    text = [f.name for f in names if isinstance(f.dataType, T.StringType)]
+    filled = {c: F.when(F.col(f"`{c}`") == EMPTY, "").otherwise(F.col(f"`{c}`")) for c in text}
+    return drop_index_columns(rows.withColumns(filled))
 
 
 def write_csv(df: DataFrame, path: str, escape: bool = False) -> None:
