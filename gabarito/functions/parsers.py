@@ -3,7 +3,7 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from gabarito.functions.text import NOT_SPACE, first_char, strip
+from gabarito.functions.text import NOT_SPACE, SPACE, first_char, first_match, strip
 
 # Longest digit run that still counts as an integer (fixed value).
 MAX_INTEGER_DIGITS = 4300
@@ -28,13 +28,14 @@ def choice_letter(text: Column) -> Column:
 
 def full_word(text: Column) -> Column:
     """First word without trailing punctuation, capitalised."""
-    word = F.regexp_substr(text, F.lit(f"(?U){NOT_SPACE}+"))
-    return F.initcap(F.regexp_replace(word, "[.,!?;:]+$", ""))
+    word = first_match(text, f"^{SPACE}*+({NOT_SPACE}++)", 1)
+    return F.initcap(F.rtrim(word, F.lit(".,!?;:")))
 
 
 def number(text: Column) -> Column:
     """First unsigned number, decimal comma turned into a point."""
-    return F.replace(F.regexp_substr(text, F.lit(r"(?U)\d+([\.,]?\d+)?")), F.lit(","), F.lit("."))
+    found = first_match(text, r"^\P{Nd}*+(\p{Nd}+(?:[\.,]?\p{Nd}+)?)", 1)
+    return F.replace(found, F.lit(","), F.lit("."))
 
 
 def integer_math(text: Column) -> Column:
@@ -42,25 +43,30 @@ def integer_math(text: Column) -> Column:
 
     Kept as text: answers may exceed any integer type.
     """
-    # The markup removed, in this order.
+    # The markup removed, in this order; each needs one of the marker characters.
     markup = [
         r"\\\(|\\\)|\\\[|\\\]",
         r"\$+",
         r"\\mathrm\{",
         r"\}",
-        r"\^(?U)\s*\\?circ",
+        rf"\^{SPACE}*\\?circ",
         r"\\(deg|circ)",
         "°",
     ]
-    plain = text
+    markers = r"[\\$}^°]"
+    clean = text
     for pattern in markup:
-        plain = F.regexp_replace(plain, pattern, "")
-    signed = F.regexp_substr(plain, F.lit(r"[-+]?\d+"))
-    digits = F.regexp_replace(signed, r"^[-+]?0*(?=\d)", "")
-    negative = F.startswith(signed, F.lit("-")) & (digits != "0")
-    canonical = F.concat(F.when(negative, "-").otherwise(""), digits)
-    run = F.length(F.regexp_replace(signed, r"^[-+]", ""))
-    return F.when(run <= MAX_INTEGER_DIGITS, canonical)
+        clean = F.regexp_replace(clean, pattern, "")
+    plain = F.when(F.rlike(text, F.lit(markers)), clean).otherwise(text)
+    found = first_match(plain, r"^(?s).*?([-+]?[0-9]++)", 1)
+    shape = [
+        (f"^[-+]?[0-9]{{{MAX_INTEGER_DIGITS + 1},}}$", ""),  # too long to be a number
+        ("^[-+]?0*(?=0$)", ""),  # any zero is 0
+        (r"^\+?(-?)0*(?=[1-9])", "$1"),
+    ]
+    for pattern, replacement in shape:
+        found = F.regexp_replace(found, pattern, replacement)
+    return first_match(found, "^.+")
 
 
 PARSERS = {
@@ -100,14 +106,3 @@ def structured_fields(answer: Column) -> Column:
         .otherwise(answer)
         .alias("final"),
     )
-__all__ = [
-    "PARSERS",
-    "choice_letter",
-    "full_word",
-    "integer_math",
-    "number",
-    "parse_answer",
-    "strip",
-    "structured_fields",
-    "yes_no",
-]
