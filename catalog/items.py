@@ -209,8 +209,11 @@ SQL["renumber_ids"] = query(
 )
 
 
+PAIR = ["hatebr", "oab"]
+
+
 def indexed_pair(spark: SparkSession, sf: str) -> DataFrame:
-    rows = keyed_items(spark, sf, ("hatebr", "oab"))
+    rows = keyed_items(spark, sf, PAIR)
     return with_dense_index(rows, ["benchmark"], ["item_key"]).withColumn("id_bench", bench_id())
 
 
@@ -226,7 +229,7 @@ def fewshot_shots(spark: SparkSession, sf: str) -> DataFrame:
     """Every item's shots, one row each: never the item itself."""
     items = indexed_pair(spark, sf)
     shot = F.struct(F.col("item_key").alias("shot_key"), F.col("label").alias("shot_label"))
-    rows = with_shots(items, literal_ranks(items, RANKS), shot)
+    rows = with_shots(items, literal_ranks(spark, PAIR, RANKS), shot)
     return rows.select(
         "benchmark", "item_key", "experiment", F.posexplode("shots").alias("pos", "shot")
     ).select("benchmark", "item_key", "experiment", "pos", "shot.*")
@@ -245,7 +248,7 @@ SQL["fewshot_shots"] = query(
 def fewshot_indices(spark: SparkSession, sf: str) -> DataFrame:
     """Ids of the shots in draw order."""
     items = indexed_pair(spark, sf)
-    rows = with_shots(items, literal_ranks(items, RANKS), F.col("id_bench"))
+    rows = with_shots(items, literal_ranks(spark, PAIR, RANKS), F.col("id_bench"))
     return rows.select("id_bench", "experiment", F.array_join("shots", ",").alias("shot_indices"))
 
 
@@ -283,7 +286,7 @@ QUERIES["fewshot_per_row"] = fewshot_per_row
 def experiment_melt(spark: SparkSession, sf: str) -> DataFrame:
     """One row per (item, experiment) with sequential ids."""
     items = indexed_pair(spark, sf)
-    rows = with_shots(items, literal_ranks(items, RANKS), F.col("id_bench"))
+    rows = with_shots(items, literal_ranks(spark, PAIR, RANKS), F.col("id_bench"))
     ids = prompt_ids(rows, len(RANKS), ["oab", "hatebr"])
     return ids.select("id", "id_bench", "benchmark", "label", F.array_join("shots", ",").alias("shot_indices"))
 

@@ -9,15 +9,16 @@ from pyspark.sql import functions as F
 from catalog import views as V
 from catalog.items import (
     KEYED_SQL,
+    PAIR,
     RANKS,
     RANKS_SQL,
-    indexed_pair,
 )
 from catalog.sql import parse, query, quoted
 from gabarito.functions import prompts as P
 from gabarito.functions.choices import drop_placeholders, render_choices, render_letters
 from gabarito.functions.text import escape_xml, mid_truncate, model_short_name, unescape_xml
-from gabarito.operators.clean import clean_benchmark
+from gabarito.operators.clean import bench_id, clean_benchmark
+from gabarito.operators.index import with_dense_index
 from gabarito.operators.infer import generate_answers, hosted_messages
 from gabarito.operators.models import (
     for_each_listed_model,
@@ -304,9 +305,9 @@ def shot_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Both benchmarks' items with turns, two experiments of four shots."""
     yes_no = turns_of(V.items_yes_no(spark, sf), "hatebr").withColumn("benchmark", F.lit("hatebr"))
     choice = turns_of(statement_items(spark, sf), "oab").withColumn("benchmark", F.lit("oab"))
-    keys = indexed_pair(spark, sf).select("benchmark", "item_key", "idx", "n_rows", "id_bench")
-    items = yes_no.unionByName(choice).join(keys, ["benchmark", "item_key"])
-    return with_shots(items, literal_ranks(keys, RANKS), F.struct("id_bench", "turns"))
+    items = with_dense_index(yes_no.unionByName(choice), ["benchmark"], ["item_key"])
+    items = items.withColumn("id_bench", bench_id())
+    return with_shots(items, literal_ranks(spark, PAIR, RANKS), F.struct("id_bench", "turns"))
 
 
 TURNS_SQL = [
@@ -429,14 +430,13 @@ def prompts_table(spark: SparkSession, sf: str) -> DataFrame:
         "hatebr": V.items_yes_no(spark, sf),
         "oab": statement_items(spark, sf),
     }
-    keys = spark.createDataFrame([("hatebr",), ("oab",)], "benchmark string").withColumn("idx", F.lit(0))
     table = build_prompts(
         sources,
         JOB_MODELS,
         order=["item_key"],
         n_shots=len(RANKS[0]),
         n_experiments=len(RANKS),
-        ranks=literal_ranks(keys, RANKS),
+        ranks=literal_ranks(spark, PAIR, RANKS),
     )
     return table.withColumn("shot_indices", F.array_join("shot_indices", ","))
 

@@ -22,8 +22,7 @@ def rounded(df: DataFrame, columns: list[str]) -> DataFrame:
 def score_yes_no(spark: SparkSession, sf: str) -> DataFrame:
     """Yes/no answers parsed and scored per model."""
     parsed = parse_answers(V.benchmark_answers(spark, sf, "hatebr"))
-    both = M.parse_rates(parsed).join(M.accuracies(parsed), M.GROUP, "left")
-    return rounded(both, ["accuracy", "non_parsed_rate"])
+    return rounded(M.parse_summary(parsed), ["accuracy", "non_parsed_rate"])
 
 
 QUERIES["score_yes_no"] = score_yes_no
@@ -37,7 +36,10 @@ SQL["score_yes_no"] = query(
 
 
 def non_parsed_rate(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(M.parse_rates(V.answers(spark, sf)), ["non_parsed_rate"])
+    summary = M.parse_summary(V.answers(spark, sf))
+    return rounded(summary, ["non_parsed_rate"]).select(
+        "model_name", "benchmark", "n_rows", "n_unparsed", "non_parsed_rate"
+    )
 
 
 QUERIES["non_parsed_rate"] = non_parsed_rate
@@ -48,7 +50,10 @@ SQL["non_parsed_rate"] = query(
 
 
 def accuracy_by_model(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(M.accuracies(V.answers(spark, sf)), ["accuracy"])
+    summary = M.parse_summary(V.answers(spark, sf))
+    return rounded(summary, ["accuracy"]).select(
+        "model_name", "benchmark", "n_parsed", "n_correct", "accuracy"
+    )
 
 
 QUERIES["accuracy_by_model"] = accuracy_by_model

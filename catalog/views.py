@@ -15,8 +15,23 @@ MODELS = ["alpha", "beta", "gamma"]
 SHIFTS = {"hatebr": 0, "oab": 0, "tweetsentbr": 0, "assin2sts": 0, "aime24": 0, "mmlu_en": 3}
 
 
+SCHEMAS = {
+    "documents": "doc_id long, text string, lang string, source string, n_chars long",
+    "labels": "doc_id long, quality int, toxic int",
+    "conversations": "conv_id long, turn long, role string, text string",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+    "pages": "page_id long, url string, html string",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """A test table with its fixed schema: no footer is read to infer one."""
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf}/{name}.parquet")
 
 
 def items_yes_no(spark: SparkSession, sf: str) -> DataFrame:

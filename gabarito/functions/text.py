@@ -57,8 +57,10 @@ def unescape_xml(text: Column) -> Column:
 
 
 def tag_body(prompt: Column, tag: str) -> Column:
-    """Stripped body of the first `<tag>` element, `''` when there is none."""
-    body = F.regexp_extract(prompt, rf"(?isuU)<{tag}>\s*(.*?)\s*</{tag}>", 1)
+    """Stripped body of the first `<tag>` element in any letter case, `''` when there is none."""
+    # The long s counts as an s when letter case is ignored.
+    name = "".join(f"[{c}{c.upper()}{'ſ' if c == 's' else ''}]" for c in tag)
+    body = F.regexp_extract(prompt, f"(?s)<{name}>(.*?)</{name}>", 1)
     return strip(F.coalesce(body, F.lit("")))
 
 

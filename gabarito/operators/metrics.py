@@ -28,28 +28,27 @@ def gold_label(benchmark: Column, label: Column) -> Column:
     return F.when(is_integer, integer_math(label)).otherwise(F.coalesce(label, F.lit("None")))
 
 
-def parse_rates(answers: DataFrame) -> DataFrame:
-    """Rows, unparsed rows and their share per (model, benchmark)."""
+def parse_summary(answers: DataFrame) -> DataFrame:
+    """Rows, unparsed rows and exact matches per (model, benchmark), in one aggregation.
+
+    The accuracy is over parsed rows and null when there is none.
+    """
+    parsed = F.col(PREDICTION)
+    correct = gold_label(F.col("benchmark"), F.col("label")) == parsed
     return (
         answers.groupBy(*GROUP)
         .agg(
             F.count(F.lit(1)).alias("n_rows"),
-            F.count_if(F.col(PREDICTION).isNull()).alias("n_unparsed"),
+            F.count_if(parsed.isNull()).alias("n_unparsed"),
+            F.count(parsed).alias("n_parsed"),
+            F.count_if(correct).alias("n_correct"),
         )
-        .withColumn("non_parsed_rate", ratio(F.col("n_unparsed"), F.col("n_rows")))
-    )
-
-
-def accuracies(answers: DataFrame) -> DataFrame:
-    """Exact matches over parsed rows; null when nothing was parsed."""
-    return (
-        answers.where(F.col(PREDICTION).isNotNull())
-        .groupBy(*GROUP)
-        .agg(
-            F.count(F.lit(1)).alias("n_parsed"),
-            F.count_if(F.col("label") == F.col(PREDICTION)).alias("n_correct"),
+        .withColumns(
+            {
+                "non_parsed_rate": ratio(F.col("n_unparsed"), F.col("n_rows")),
+                "accuracy": ratio(F.col("n_correct"), F.col("n_parsed")),
+            }
         )
-        .withColumn("accuracy", ratio(F.col("n_correct"), F.col("n_parsed")))
     )
 
 

@@ -10,7 +10,7 @@ side, so attaching shots shuffles nothing.
 import random
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -109,12 +109,7 @@ def with_shots_per_row(
     )
 
 
-def literal_ranks(items: DataFrame, ranks: list[list[int]]) -> DataFrame:
-    """The same given rank lists, one per experiment, for every benchmark of `items`."""
-    lists = F.array(*[F.array(*[F.lit(int(r)).cast("long") for r in one]) for one in ranks])
-    return (
-        items.where(F.col("idx") == 0)
-        .select("benchmark", F.posexplode(lists).alias("experiment", "ranks"))
-    )
-
-
+def literal_ranks(spark: SparkSession, benchmarks: list[str], ranks: list[list[int]]) -> DataFrame:
+    """The same given rank lists, one per experiment, for every benchmark."""
+    rows = [(b, e, r) for b in benchmarks for e, r in enumerate(ranks)]
+    return spark.createDataFrame(rows, "benchmark string, experiment int, ranks array<long>")

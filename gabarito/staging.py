@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
@@ -47,10 +47,12 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Upper estimate of the bytes `df` takes once broadcast, from its own rows."""
+def pinned_and_measured(df: DataFrame) -> tuple[DataFrame, int]:
+    """`df` pinned, and an upper estimate of its bytes taken while it was written."""
+    seen = Observation()
     row = F.octet_length(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}))
-    return int(df.agg(F.sum(row.cast("long")) * 2).first()[0] or 0)
+    kept = pinned(df.observe(seen, F.sum(row.cast("long")).alias("bytes")))
+    return kept, 2 * (seen.get["bytes"] or 0)
 
 
 def small_join(
@@ -69,8 +71,8 @@ def small_join(
     (a column with many values per key), so a key that holds a third of the fact is split
     over `salts` tasks instead of landing in one.
     """
-    dim = pinned(dim)
-    if measured_bytes(dim) <= limit:
+    dim, size = pinned_and_measured(dim)
+    if size <= limit:
         return fact.join(F.broadcast(dim), on, how)
     if spread is None:
         return fact.join(dim, on, how)
