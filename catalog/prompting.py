@@ -22,11 +22,10 @@ from gabarito.operators.index import with_dense_index
 from gabarito.operators.infer import generate_answers, hosted_messages
 from gabarito.operators.models import (
     for_each_listed_model,
-    for_each_model,
     group_models,
     models_by_tokenizer,
     pack_prompts,
-    prompt_for_model,
+    prompts_for_models,
     provider,
     split_hosted,
 )
@@ -401,9 +400,8 @@ SQL["prompt_pack"] = query(
 
 def resolved_prompts(spark: SparkSession, sf: str) -> DataFrame:
     """Each model's own prompt out of the packed cell."""
-    rows = for_each_model(packed_prompts(spark, sf), JOB_PATHS)
-    text = prompt_for_model(F.col("prompt"), F.col("model_path"))
-    return rows.select("id_bench", "experiment", "model_path", text.alias("prompt"))
+    rows = prompts_for_models(packed_prompts(spark, sf), JOB_PATHS)
+    return rows.select("id_bench", "experiment", "model_path", "prompt")
 
 
 QUERIES["prompt_for_model"] = resolved_prompts

@@ -228,7 +228,7 @@ SQL["unmapped_benchmarks"] = query(
 
 def area_lookup(spark: SparkSession, sf: str) -> DataFrame:
     """Area of every single answer, a dimension join on the fact table."""
-    info = B.with_board_info(V.raw_answers(spark, sf), board_table(spark))
+    info = B.with_board_info(V.raw_answers(spark, sf), board_table(spark), "item_key")
     return info.select("benchmark", "item_key", "model_name", "area", "column")
 
 

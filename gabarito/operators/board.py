@@ -27,14 +27,16 @@ MODEL_COLUMNS = [
 OVERALL = "Média Geral"
 
 
-def with_board_info(eval_rows: DataFrame, dim: DataFrame | None = None) -> DataFrame:
+def with_board_info(
+    eval_rows: DataFrame, dim: DataFrame | None = None, spread: str = "model_name"
+) -> DataFrame:
     """Area, display column and metric names by benchmark; unknown benchmarks keep nulls.
 
-    The default dimension is a fixed list of a few dozen rows.
+    The default dimension is a fixed list of a few dozen rows; another one is measured.
     """
     if dim is None:
         return eval_rows.join(F.broadcast(board_table(eval_rows.sparkSession)), "benchmark", "left")
-    return small_join(eval_rows, dim, ["benchmark"], "left", spread=F.col("model_name"))
+    return small_join(eval_rows, dim, ["benchmark"], "left", spread=F.col(spread))
 
 
 def score(metrics: Column) -> Column:
@@ -68,8 +70,9 @@ def existing_benchmarks(scores: DataFrame) -> DataFrame:
 
 
 def on_board(scores: DataFrame) -> DataFrame:
-    """Scores of existing benchmarks. The board table bounds the broadcast side."""
-    return scores.join(F.broadcast(existing_benchmarks(scores)), "benchmark", "left_semi")
+    """Scores of existing benchmarks."""
+    existing = existing_benchmarks(scores)
+    return small_join(scores, existing, ["benchmark"], "left_semi", spread=F.col("model_name"))
 
 
 def area_means(scores: DataFrame) -> DataFrame:
@@ -154,7 +157,7 @@ def model_metadata(
     info = fetched if fetched is not None else models.sparkSession.createDataFrame([], empty)
     rows = rows.join(info, "model_id", "left")
     if flags is not None:
-        rows = rows.join(F.broadcast(flags), "model_name", "left")  # job arguments
+        rows = rows.join(flags, "model_name", "left")
     else:
         rows = rows.withColumn("is_custom", F.lit(False))
     custom = F.coalesce("is_custom", F.lit(False))
@@ -201,7 +204,8 @@ def board_scores(scores: DataFrame, sequence: str | None = None) -> DataFrame:
     """
     existing = existing_benchmarks(scores)
     n = existing.agg(F.count(F.lit(1))).scalar()
-    marked = scores.join(F.broadcast(existing.withColumn("__exists", F.lit(True))), "benchmark", "left")
+    flagged = existing.withColumn("__exists", F.lit(True))
+    marked = small_join(scores, flagged, ["benchmark"], "left", spread=F.col("model_name"))
     exists = F.coalesce(F.col("__exists"), F.lit(False))
 
     def first(condition: Column) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from gabarito.functions.parsers import parse_answer, structured_fields
 from gabarito.functions.text import mid_truncate, model_short_name, tag_body
-from gabarito.operators.models import for_each_model, prompt_for_model, provider
+from gabarito.operators.models import prompts_for_models, provider
 from gabarito.registry import pattern_of
 
 # Fixed value: how a failed call shows in a stored answer.
@@ -76,14 +76,10 @@ def generate_answers(
     many tasks. With `sentinel` a failed row's answer is the prefixed error text, as in
     published tables; its parsed answer is null either way.
     """
-    rows = for_each_model(prompts, paths)
-    text = prompt_for_model(F.col("prompt"), F.col("model_path"))
-    rows = rows.withColumns(
-        {
-            "prompt": mid_truncate(text, max_chars) if max_chars is not None else text,
-            "model_name": model_short_name(F.col("model_path")),
-        }
-    )
+    rows = prompts_for_models(prompts, paths)
+    rows = rows.withColumn("model_name", model_short_name(F.col("model_path")))
+    if max_chars is not None:
+        rows = rows.withColumn("prompt", mid_truncate(F.col("prompt"), max_chars))
     if tasks:
         rows = rows.repartition(tasks, "id", "model_path")
     return parse_answers(score_batches(rows, scorer, batch_size), structured, sentinel).drop("model_path")

@@ -83,17 +83,39 @@ def pack_prompts(
     return F.to_json(F.map_from_entries(F.array(*entries)))
 
 
-def prompt_for_model(prompt_map: Column, path: Column) -> Column:
-    """Text of the first map entry that lists the model; a model in none fails the job."""
-    entries = F.map_entries(F.from_json(prompt_map, PROMPT_MAP))
+def first_listing(entries: Column, path: Column) -> Column:
+    """Prompt of the first map entry that lists the model; a model in none fails the job."""
     mine = F.filter(entries, lambda e: F.array_contains(e["value"]["models"], path))
     missing = F.raise_error(F.concat(F.lit("model not found in prompt data: "), path))
     return F.coalesce(F.get(mine, F.lit(0))["value"]["prompt"], missing)
 
 
-def for_each_model(prompts: DataFrame, paths: list[str]) -> DataFrame:
-    """Every prompt once per model: a generator over the job's model list, not a join."""
-    return prompts.withColumn("model_path", F.explode(F.array(*map(F.lit, paths))))
+def map_entries_of(prompt_map: Column) -> Column:
+    return F.map_entries(F.from_json(prompt_map, PROMPT_MAP))
+
+
+def prompt_for_model(prompt_map: Column, path: Column) -> Column:
+    """A model's own text out of a packed cell."""
+    return first_listing(map_entries_of(prompt_map), path)
+
+
+def prompts_for_models(prompts: DataFrame, paths: list[str]) -> DataFrame:
+    """Every prompt once per model of the job, as that model's own text.
+
+    A generator over the job's model list, not a join. The cell is parsed once per prompt
+    and only the wanted text travels on.
+    """
+    cells = prompts.withColumn("__cells", map_entries_of(F.col("prompt")))
+    wanted = F.transform(
+        F.array(*map(F.lit, paths)),
+        lambda path: F.struct(
+            path.alias("model_path"), first_listing(F.col("__cells"), path).alias("prompt")
+        ),
+    )
+    pairs = cells.withColumn("__pair", F.explode(wanted)).drop("__cells")
+    return pairs.withColumns(
+        {"prompt": F.col("__pair.prompt"), "model_path": F.col("__pair.model_path")}
+    ).drop("__pair")
 
 
 def for_each_listed_model(prompts: DataFrame, prompt: str = "prompt") -> DataFrame:

@@ -41,8 +41,11 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None)
     """Replace the table at `path`; partitions of a partitioned one only where `df` has rows.
 
     Laid out by (model_name, benchmark), an upsert is a dynamic overwrite of the partitions
-    the batch covers, and the rest of the table is not even read.
+    the batch covers, and the rest of the table is not even read. Rows are rebalanced by the
+    partition columns, which keeps files few without sending a large partition to one task.
     """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)

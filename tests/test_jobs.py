@@ -201,3 +201,25 @@ def test_source_order_and_preview(spark, sources):
     assert rows.select("source_file", "source_row").distinct().count() == 16
     shown = S.preview(S.load_benchmark(spark, sources, BENCHMARKS["oab"]), BENCHMARKS["oab"]).first()
     assert shown.user.startswith("Pergunta:\nq0.") and shown.with_answer.endswith("(A)")
+
+
+def test_command_line(spark, sources, tmp_path, monkeypatch):
+    from gabarito import __main__ as cli
+
+    monkeypatch.setattr(cli, "load", lambda reference: oracle_scorer())
+    t = {k: str(tmp_path / k) for k in ("prompts", "answers", "eval", "board", "overrides")}
+    names = [("one", "org/one"), ("two", "org/two")]
+    spark.createDataFrame(names, "model_name string, model_id string").write.parquet(t["overrides"])
+    models = ["--models", "org/one", "org/two"]
+    for argv in (
+        ["prompts", "--sources", sources, "--prompts", t["prompts"], "--benchmarks", "oab", *models]
+        + ["--tokenizers", "api", "tok", "--types", "instruct", "base", "--shots", "1", "--experiments", "1"],
+        ["answers", "--prompts", t["prompts"], "--answers", t["answers"], *models, "--scorer", "x:y", "--tasks", "3"],
+        ["score", "--answers", t["answers"], "--eval", t["eval"]],
+        ["board", "--eval", t["eval"], "--board", t["board"], "--overrides", t["overrides"]]
+        + [*models, "--custom-flags", "true", "false"],
+    ):
+        cli.run(spark, cli.arguments(argv))
+    board = {r.Modelo: r for r in S.read_table(spark, t["board"]).collect()}
+    assert board["one"]["T"] == "Custom" and board["two"]["T"] == "Base"
+    assert board["one"]["OAB"] == pytest.approx(0.5)
