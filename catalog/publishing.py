@@ -21,10 +21,6 @@ SQL = {}
 SCORED = sorted(V.SHIFTS)
 
 
-def rounded(df: DataFrame, columns: list[str]) -> DataFrame:
-    return df.withColumns({c: F.round(F.col(f"`{c}`"), 6) for c in columns})
-
-
 # --- upserts
 
 
@@ -59,7 +55,7 @@ def upserted_eval(spark: SparkSession, sf: str) -> DataFrame:
     old = evaluate(rows.where(F.col("item_key") % 2 == 0))
     new = evaluate(rows.where((F.col("model_name") == "beta") & (F.col("benchmark") == "tweetsentbr")))
     merged = upsert_eval(old.where(F.col("benchmark") != "assin2sts"), new)
-    return rounded(merged, ["accuracy"]).select("model_name", "benchmark", "accuracy")
+    return V.rounded(merged, ["accuracy"]).select("model_name", "benchmark", "accuracy")
 
 
 QUERIES["upsert_eval"] = upserted_eval
@@ -130,7 +126,7 @@ SQL["skip_existing"] = query("SELECT model_name, model_path FROM supplier_models
 def bench_score(spark: SparkSession, sf: str) -> DataFrame:
     """Eval rows with area, display column and score."""
     scores = B.bench_scores(evaluate(V.answers(spark, sf)))
-    return rounded(scores, ["score"]).select("model_name", "benchmark", "area", "column", "score")
+    return V.rounded(scores, ["score"]).select("model_name", "benchmark", "area", "column", "score")
 
 
 QUERIES["bench_score"] = bench_score
@@ -150,7 +146,7 @@ SQL["benchmark_exists"] = query(
 
 
 def area_means(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(B.area_means(B.bench_scores(V.eval_rows(spark, sf))), ["mean_score"])
+    return V.rounded(B.area_means(B.bench_scores(V.eval_rows(spark, sf))), ["mean_score"])
 
 
 QUERIES["area_means"] = area_means
@@ -164,7 +160,7 @@ def overall_mean(spark: SparkSession, sf: str) -> DataFrame:
     """One model did not run one of the benchmarks, which then counts as zero for it."""
     rows = V.eval_rows(spark, sf)
     ran = rows.where(~((F.col("model_name") == "gamma") & (F.col("benchmark") == "oab")))
-    return rounded(B.overall_means(B.bench_scores(ran)), ["overall_mean"])
+    return V.rounded(B.overall_means(B.bench_scores(ran)), ["overall_mean"])
 
 
 QUERIES["overall_mean"] = overall_mean
@@ -285,7 +281,7 @@ def wide_leaderboard(spark: SparkSession, sf: str) -> DataFrame:
     """The published board, from raw answers all the way."""
     rows = V.eval_rows(spark, sf)
     wide = B.leaderboard(rows, job_metadata(spark, rows))
-    return rounded(wide, [*AREAS, *[c for _, _, c in BOARD], B.OVERALL])
+    return V.rounded(wide, [*AREAS, *[c for _, _, c in BOARD], B.OVERALL])
 
 
 AREA_COLUMNS = ",\n".join(

@@ -15,14 +15,10 @@ QUERIES = {}
 SQL = {}
 
 
-def rounded(df: DataFrame, columns: list[str]) -> DataFrame:
-    return df.withColumns({c: F.round(c, 6) for c in columns})
-
-
 def score_yes_no(spark: SparkSession, sf: str) -> DataFrame:
     """Yes/no answers parsed and scored per model."""
     parsed = parse_answers(V.benchmark_answers(spark, sf, "hatebr"))
-    return rounded(M.parse_summary(parsed), ["accuracy", "non_parsed_rate"])
+    return V.rounded(M.parse_summary(parsed), ["accuracy", "non_parsed_rate"])
 
 
 QUERIES["score_yes_no"] = score_yes_no
@@ -37,7 +33,7 @@ SQL["score_yes_no"] = query(
 
 def non_parsed_rate(spark: SparkSession, sf: str) -> DataFrame:
     summary = M.parse_summary(V.answers(spark, sf))
-    return rounded(summary, ["non_parsed_rate"]).select(
+    return V.rounded(summary, ["non_parsed_rate"]).select(
         "model_name", "benchmark", "n_rows", "n_unparsed", "non_parsed_rate"
     )
 
@@ -51,7 +47,7 @@ SQL["non_parsed_rate"] = query(
 
 def accuracy_by_model(spark: SparkSession, sf: str) -> DataFrame:
     summary = M.parse_summary(V.answers(spark, sf))
-    return rounded(summary, ["accuracy"]).select(
+    return V.rounded(summary, ["accuracy"]).select(
         "model_name", "benchmark", "n_parsed", "n_correct", "accuracy"
     )
 
@@ -122,7 +118,7 @@ SQL["confusion_counts"] = query(
 def weighted_prf(spark: SparkSession, sf: str) -> DataFrame:
     rows = V.answers(spark, sf).where(F.col("benchmark") != "assin2sts")
     scores = ["accuracy", "precision", "recall", "f1_score"]
-    return rounded(M.category_eval(rows), scores).select("model_name", "benchmark", *scores)
+    return V.rounded(M.category_eval(rows), scores).select("model_name", "benchmark", *scores)
 
 
 QUERIES["weighted_prf"] = weighted_prf
@@ -134,7 +130,7 @@ SQL["weighted_prf"] = query(
 
 def pearson_by_model(spark: SparkSession, sf: str) -> DataFrame:
     rows = parse_answers(V.benchmark_answers(spark, sf, "assin2sts"))
-    return rounded(M.continuous_eval(rows), ["pearson_correlation", "non_parsed_rate"]).select(
+    return V.rounded(M.continuous_eval(rows), ["pearson_correlation", "non_parsed_rate"]).select(
         "model_name", "benchmark", "pearson_correlation", "non_parsed_rate"
     )
 
@@ -151,7 +147,7 @@ def integer_math_metrics(spark: SparkSession, sf: str) -> DataFrame:
     """Integer benchmarks: normalised labels, and both unparsed rates. Some labels are spoilt."""
     rows = parse_answers(V.benchmark_answers(spark, sf, "aime24"))
     label = F.when(F.col("item_key") % 9 == 0, "n/d").otherwise(F.concat(F.lit("$0"), "label", F.lit("$")))
-    return rounded(M.category_eval(rows.withColumn("label", label)), ["accuracy", *RATES]).select(
+    return V.rounded(M.category_eval(rows.withColumn("label", label)), ["accuracy", *RATES]).select(
         "model_name", "benchmark", "accuracy", *RATES
     )
 
@@ -169,7 +165,7 @@ SQL["integer_math_metrics"] = query(
 
 
 def eval_table(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(M.evaluate(V.answers(spark, sf)), [*METRICS, *RATES])
+    return V.rounded(M.evaluate(V.answers(spark, sf)), [*METRICS, *RATES])
 
 
 QUERIES["eval_table"] = eval_table

@@ -34,6 +34,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf}/{name}.parquet")
 
 
+def rounded(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Six decimals, so that the order of summation does not show."""
+    return df.withColumns({c: F.round(F.col(f"`{c}`"), 6) for c in columns})
+
+
 def items_yes_no(spark: SparkSession, sf: str) -> DataFrame:
     docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
     return docs.join(labels, "doc_id").select(

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from gabarito.functions.parsers import parse_answer, structured_fields
 from gabarito.functions.text import mid_truncate, model_short_name, tag_body
-from gabarito.operators.models import prompts_for_models, provider
+from gabarito.operators.models import PROVIDERS, prompts_for_models, provider
 from gabarito.registry import pattern_of
 
 # Fixed value: how a failed call shows in a stored answer.
@@ -115,8 +115,6 @@ def hosted_scorer(clients: dict[str, Callable[[str, str, str], str]]) -> Scorer:
 
     Network clients are the caller's. Providers are told apart like `models.provider` does.
     """
-    # Name part -> provider.
-    names = {"gpt": "openai", "gemini": "gemini"}
     tags = {t: re.compile(rf"<{t}>\s*(.*?)\s*</{t}>", re.S | re.I) for t in ("system", "user")}
 
     def body(prompt: str, tag: str) -> str:
@@ -124,7 +122,7 @@ def hosted_scorer(clients: dict[str, Callable[[str, str, str], str]]) -> Scorer:
         return match.group(1).strip() if match else ""
 
     def score(path: str, prompts: Sequence[str]) -> list[str]:
-        known = [p for part, p in names.items() if part in path.lower()]
+        known = [p for part, p in PROVIDERS.items() if part in path.lower()]
         if not known:
             raise ValueError(f"Unknown API provider for model {path}")
         return [clients[known[0]](path, body(p, "system"), body(p, "user")) for p in prompts]

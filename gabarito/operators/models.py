@@ -12,6 +12,8 @@ from gabarito.schemas import PROMPT_MAP
 # The tokenizer name of hosted models, and the two model types.
 HOSTED = "api"
 INSTRUCT, BASE = "instruct", "base"
+# Name part of a hosted model -> its provider, first match wins.
+PROVIDERS = {"gpt": "openai", "gemini": "gemini"}
 
 Renderer = Callable[[Column], Column]
 
@@ -41,10 +43,7 @@ def split_hosted(models: DataFrame) -> DataFrame:
 def provider(path: Column) -> Column:
     """Provider of a hosted model by name; null when the name tells nothing."""
     lowered = F.lower(path)
-    # Name part -> provider, first match wins.
-    return F.when(F.contains(lowered, F.lit("gpt")), "openai").when(
-        F.contains(lowered, F.lit("gemini")), "gemini"
-    )
+    return F.coalesce(*[F.when(F.contains(lowered, F.lit(n)), p) for n, p in PROVIDERS.items()])
 
 
 def pack_prompts(

@@ -286,6 +286,11 @@ BENCHMARKS = {b.name: b for b in REGISTERED}
 AREAS = list(dict.fromkeys(area for _, area, _ in BOARD))
 
 
+def register(bench: Benchmark) -> None:
+    """Add a benchmark, or replace the one of its name, for the jobs of this application."""
+    BENCHMARKS[bench.name] = bench
+
+
 def benchmark(name: str) -> Benchmark:
     if name not in BENCHMARKS:
         raise KeyError(f"unknown benchmark {name!r}; known: {sorted(BENCHMARKS)}")
@@ -294,13 +299,7 @@ def benchmark(name: str) -> Benchmark:
 
 def names_where(**attributes: str) -> list[str]:
     """Registered benchmarks with these attribute values, e.g. `answer_type="continue"`."""
-    return [b.name for b in REGISTERED if all(getattr(b, k) == v for k, v in attributes.items())]
-
-
-def descriptor_table(spark: SparkSession) -> DataFrame:
-    """One row per registered benchmark; a local relation, so Catalyst knows its size."""
-    rows = [(b.name, b.pattern, b.answer_type) for b in REGISTERED]
-    return spark.createDataFrame(rows, "benchmark string, answer_pattern string, answer_type string")
+    return [b.name for b in BENCHMARKS.values() if all(getattr(b, k) == v for k, v in attributes.items())]
 
 
 def board_table(spark: SparkSession) -> DataFrame:
@@ -313,11 +312,7 @@ def board_table(spark: SparkSession) -> DataFrame:
 
 def pattern_of(name: Column) -> Column:
     """Answer pattern of a benchmark as a codegen'd CASE; an unknown name fails the job."""
-    return _case(name, {b.name: b.pattern for b in REGISTERED})
-
-
-def type_of(name: Column) -> Column:
-    return _case(name, {b.name: b.answer_type for b in REGISTERED})
+    return _case(name, {b.name: b.pattern for b in BENCHMARKS.values()})
 
 
 def _case(name: Column, values: dict[str, str]) -> Column:

@@ -239,3 +239,14 @@ def test_small_texts(spark):
     assert value(X.joined_or_null(F.array().cast("array<string>"))) is None
     assert value(X.round3(F.lit(0.0625))) == 0.062
     assert value(X.model_short_name(F.lit("a/b/c"))) == "c" and value(X.model_short_name(F.lit("c"))) == "c"
+
+
+def test_added_benchmark(spark, monkeypatch):
+    from gabarito import registry as R
+
+    monkeypatch.setattr(R, "BENCHMARKS", dict(R.BENCHMARKS))
+    own = R.Benchmark("mine", ("q", "a"), "a", "yes_no", lambda df: P.yes_no_turns(X.fill("Q: {q}"), "Sim", "Não"))
+    R.register(own)
+    assert one(spark, R.benchmark("mine"), q="x", a="1").user == "Q: x"
+    assert spark.range(1).select(R.pattern_of(F.lit("mine"))).first()[0] == "yes_no"
+    assert "mine" in R.names_where(pattern="yes_no")
