@@ -259,7 +259,7 @@ SQL["model_metadata"] = query(
         CASE WHEN k % 7 = 0 THEN 'A1,A2' WHEN hub AND k % 3 = 1 THEN 'ArchX' END AS "Arquitetura",
         CASE WHEN k % 3 <> 0 THEN 'Original' WHEN hub AND k % 9 = 0 THEN 'Adapter' ELSE 'Original' END AS "Tipo de Peso",
         CASE WHEN k % 4 <> 0 THEN 'BF16' WHEN hub THEN 'F32' END AS "Precisão",
-        CASE WHEN k % 2 <> 0 THEN 'qwen-research' WHEN hub AND k % 3 = 0 THEN 'mit' ELSE 'unknown' END AS "Licença",
+        CASE WHEN k % 2 <> 0 THEN 'research' WHEN hub AND k % 3 = 0 THEN 'mit' ELSE 'unknown' END AS "Licença",
         CASE WHEN k % 6 = 1 THEN 7.0 WHEN hub AND k % 5 = 1 THEN round_even(k * 1000000 / 1e9, 3) ELSE 0.0 END::DOUBLE AS "#Params (B)",
         CASE WHEN hub THEN k * 3 ELSE 0 END AS "Hub Likes",
         CASE WHEN hub THEN k % 2 <> 0 ELSE false END AS "Disponível no hub",

@@ -220,7 +220,7 @@ def metadata_overrides(spark: SparkSession, sf: str) -> DataFrame:
         unless(2, F.lit("SFT")).alias("t"),
         unless(2, F.lit("SFT : Supervised Finetuning")).alias("tipo"),
         unless(3, F.lit("Original")).alias("tipo_peso"),
-        unless(2, F.lit("qwen-research")).alias("licenca"),
+        unless(2, F.lit("research")).alias("licenca"),
         unless(4, F.lit("BF16")).alias("precisao"),
         F.when(key % 7 == 0, F.array(F.lit("A1"), F.lit("A2"))).alias("arquitetura"),
         F.when(key % 6 == 1, F.lit(7.0)).alias("params_b"),

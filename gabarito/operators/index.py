@@ -92,6 +92,6 @@ def prompt_ids(items: DataFrame, n_experiments: int, benchmarks: list[str], firs
 
 
 def renumber(df: DataFrame, order: list[str], first: int = 1, column: str = "id") -> DataFrame:
-    """Fresh sequential ids in the order of a unique key."""
-    indexed = with_dense_index(df.drop(column) if column not in order else df, [], order, "__idx", "__n")
+    """Fresh sequential ids in the order of a unique key, which may contain the old id."""
+    indexed = with_dense_index(df, [], order, "__idx", "__n")
     return indexed.withColumn(column, F.col("__idx") + first).drop("__idx", "__n")

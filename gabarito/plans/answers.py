@@ -1,12 +1,14 @@
 """Job 2: prompts x models -> answers."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
+from gabarito.operators.clean import string_columns
+from gabarito.operators.index import renumber
 from gabarito.operators.infer import Scorer, generate_answers
-from gabarito.operators.upsert import ANSWER_KEYS
+from gabarito.operators.upsert import ANSWER_KEYS, upsert
 from gabarito.schemas import ANSWERS
-from gabarito.operators.clean import string_columns
-from gabarito.sources.tables import write_table
+from gabarito.sources.csv import write_csv
+from gabarito.sources.tables import read_table, replace_table, table_exists, write_table
 
 
 def answers_table(prompts: DataFrame, paths: list[str], scorer: Scorer, **options) -> DataFrame:
@@ -18,3 +20,14 @@ def answers_table(prompts: DataFrame, paths: list[str], scorer: Scorer, **option
 def store_answers(answers: DataFrame, path: str) -> None:
     """Upsert by (model, benchmark): overwrite just the partitions the batch covers."""
     write_table(answers, path, ANSWER_KEYS)
+
+
+def store_answers_by_model(spark: SparkSession, answers: DataFrame, path: str) -> None:
+    """Upsert by model: what the batch's models had on other benchmarks goes, too."""
+    old = read_table(spark, path, ANSWERS) if table_exists(spark, path) else None
+    replace_table(upsert(old, answers, ["model_name"]), path, ANSWER_KEYS)
+
+
+def export_answers(answers: DataFrame, path: str) -> None:
+    """CSV form: ids renumbered from 1 in (model, benchmark, id) order, backslashes protected."""
+    write_csv(renumber(answers, ["model_name", "benchmark", "id"]), path, escape=True)

@@ -21,23 +21,28 @@ FORMAT = {
 }
 # What a quoted empty field reads as until it becomes '' again; the reader would make it null.
 EMPTY = "\x01"
+NESTED = (T.ArrayType, T.StructType, T.MapType)
 
 
 def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
-    """CSV with a fixed schema, columns matched by name, index columns dropped."""
+    """CSV with a fixed schema, columns matched by name, index columns dropped.
+
+    Nested columns are stored as JSON.
+    """
     header = spark.read.options(**FORMAT).csv(path).columns
-    names = [T.StructField(c, schema[c].dataType if c in schema.names else T.StringType()) for c in header]
+    nested = {f.name: f.dataType for f in schema if isinstance(f.dataType, NESTED)}
+    flat = {f.name: f.dataType for f in schema if f.name not in nested}
+    names = [T.StructField(c, flat.get(c, T.StringType())) for c in header]
     rows = spark.read.options(**FORMAT, emptyValue=EMPTY).schema(T.StructType(names)).csv(path)
     text = [f.name for f in names if isinstance(f.dataType, T.StringType)]
     filled = {c: F.when(F.col(f"`{c}`") == EMPTY, "").otherwise(F.col(f"`{c}`")) for c in text}
-    return drop_index_columns(rows.withColumns(filled))
+    rows = drop_index_columns(rows.withColumns(filled))
+    return rows.withColumns({c: F.from_json(c, t) for c, t in nested.items() if c in header})
 
 
 def write_csv(df: DataFrame, path: str, escape: bool = False) -> None:
     """CSV files under `path`; nested columns as JSON. `escape` protects backslashes first."""
-    nested = [
-        f.name for f in df.schema if isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType))
-    ]
+    nested = [f.name for f in df.schema if isinstance(f.dataType, NESTED)]
     out = string_columns(df, nested) if nested else df
     if escape:
         text = [f.name for f in out.schema if isinstance(f.dataType, T.StringType)]

@@ -52,9 +52,13 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None)
     writer.parquet(path)
 
 
-def replace_table(df: DataFrame, path: str) -> None:
-    """Overwrite a table with rows that were derived from it: staged first, then swapped in."""
-    write_table(staged(df, "replace"), path)
+def replace_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
+    """Overwrite a whole table with rows that may derive from it: staged first, then swapped in."""
+    rows = staged(df, "replace")
+    if partition_by:
+        rows = rows.hint("rebalance", *partition_by)
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
 def resolve_split(spark: SparkSession, folder: str, declared: str | None) -> str:

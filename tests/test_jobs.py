@@ -8,12 +8,17 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from gabarito.operators import infer as I
-from gabarito.plans.answers import answers_table, store_answers
+from gabarito.plans.answers import (
+    answers_table,
+    export_answers,
+    store_answers,
+    store_answers_by_model,
+)
 from gabarito.plans.leaderboard import board_rows, store_board
 from gabarito.plans.prompts import build_prompts_from
 from gabarito.plans.scoring import score_answers, store_eval
 from gabarito.registry import BENCHMARKS
-from gabarito.schemas import ANSWERS, EVAL
+from gabarito.schemas import ANSWERS, EVAL, PROMPTS
 from gabarito.sources import csv as C
 from gabarito.sources import tables as S
 
@@ -223,3 +228,26 @@ def test_command_line(spark, sources, tmp_path, monkeypatch):
     board = {r.Modelo: r for r in S.read_table(spark, t["board"]).collect()}
     assert board["one"]["T"] == "Custom" and board["two"]["T"] == "Base"
     assert board["one"]["OAB"] == pytest.approx(0.5)
+
+
+def stored(model, bench, n):
+    return [(i, f"{bench}_{i}", bench, "p\\x", "[]", "A", model, "A", None, "A", None) for i in range(n)]
+
+
+def test_store_by_model_and_export(spark, tmp_path):
+    path, out = str(tmp_path / "a"), str(tmp_path / "csv")
+    first = spark.createDataFrame(stored("m", "oab", 3) + stored("m", "enem", 2) + stored("k", "oab", 2), ANSWERS)
+    store_answers_by_model(spark, first, path)
+    store_answers_by_model(spark, spark.createDataFrame(stored("m", "oab", 1), ANSWERS), path)
+    left = S.read_table(spark, path, ANSWERS)
+    assert sorted((r.model_name, r.id_bench) for r in left.collect()) == [("k", "oab_0"), ("k", "oab_1"), ("m", "oab_0")]
+    export_answers(left, out)
+    back = C.read_csv(spark, out, ANSWERS).orderBy("id").collect()
+    assert [(r.id, r.model_name, r.prompt) for r in back] == [(1, "k", "p\\\\x"), (2, "k", "p\\\\x"), (3, "m", "p\\\\x")]
+
+
+def test_prompts_survive_csv(spark, tmp_path):
+    rows = [(0, "oab_0", "oab", '{"api": 1}', ["oab_1", "oab_2"], "A"), (1, "oab_1", "oab", "", [], "B")]
+    df = spark.createDataFrame(rows, PROMPTS)
+    C.write_csv(df, str(tmp_path / "p"))
+    assert sorted(C.read_csv(spark, str(tmp_path / "p"), PROMPTS).collect()) == sorted(df.collect())
