@@ -42,11 +42,24 @@ def with_experiments(df: DataFrame, n_experiments: int) -> DataFrame:
     return df.withColumn("experiment", F.explode(F.sequence(F.lit(0), F.lit(n_experiments - 1))))
 
 
-def shot_sides(items: DataFrame, ranks: DataFrame, shot: Column) -> DataFrame:
+def slots(ranks: DataFrame) -> DataFrame:
+    """One row per drawn rank and each of the two rows (`idx`) it can stand for."""
+    drawn = ranks.select("benchmark", "experiment", F.posexplode("ranks").alias("pos", "rank"))
+    return drawn.withColumn("idx", F.explode(F.array(F.col("rank"), F.col("rank") + 1)))
+
+
+def mark_drawn(items: DataFrame, ranks: DataFrame, column: str = "drawn") -> DataFrame:
+    """Flag the few items any draw can use, so that a table laid out by the flag serves them alone."""
+    few = slots(ranks).select("benchmark", "idx").distinct().withColumn(column, F.lit(True))
+    marked = small_join(items, few, ["benchmark", "idx"], "left")
+    return marked.withColumn(column, F.coalesce(column, F.lit(False)))
+
+
+def shot_sides(pool: DataFrame, ranks: DataFrame, shot: Column) -> DataFrame:
     """(benchmark, experiment, pairs): per drawn rank the row at it and the row after it."""
-    slots = ranks.select("benchmark", "experiment", F.posexplode("ranks").alias("pos", "rank"))
-    wanted = slots.withColumn("idx", F.explode(F.array(F.col("rank"), F.col("rank") + 1)))
-    found = small_join(items.select("benchmark", "idx", shot.alias("shot")), wanted, ["benchmark", "idx"])
+    found = small_join(
+        pool.select("benchmark", "idx", shot.alias("shot")), slots(ranks), ["benchmark", "idx"]
+    )
     low = F.any_value(F.when(F.col("idx") == F.col("rank"), F.col("shot")), F.lit(True))
     high = F.any_value(F.when(F.col("idx") > F.col("rank"), F.col("shot")), F.lit(True))
     pairs = found.groupBy("benchmark", "experiment", "pos", "rank").agg(
@@ -57,12 +70,13 @@ def shot_sides(items: DataFrame, ranks: DataFrame, shot: Column) -> DataFrame:
     )
 
 
-def with_shots(items: DataFrame, ranks: DataFrame, shot: Column) -> DataFrame:
+def with_shots(items: DataFrame, ranks: DataFrame, shot: Column, pool: DataFrame | None = None) -> DataFrame:
     """Every item once per experiment, with `shots`: the drawn rows, in draw order.
 
     `items` needs benchmark and a dense idx; `shot` is what to take along from a drawn row.
+    `pool` is where drawn rows are looked up, by default all items.
     """
-    sides = shot_sides(items, ranks, shot)
+    sides = shot_sides(items if pool is None else pool, ranks, shot)
     joined = small_join(items, sides, ["benchmark"], spread=F.col("idx"))
     picked = F.transform(
         "pairs", lambda p: F.when(p["rank"] < F.col("idx"), p["low"]).otherwise(p["high"])

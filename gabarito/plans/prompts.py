@@ -1,5 +1,6 @@
 """Job 1: benchmark tables -> prompts."""
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -7,11 +8,12 @@ from pyspark.sql import functions as F
 
 from gabarito.functions.prompts import build_chat
 from gabarito.operators.clean import bench_id, clean_benchmark
-from gabarito.operators.index import head_percent, prompt_ids, with_dense_index
+from gabarito.operators.index import dense_index, head_percent, prompt_ids
 from gabarito.operators.models import Renderer, group_models, pack_prompts
 from gabarito.operators.shots import (
     SEED,
     draw_ranks,
+    mark_drawn,
     with_shots,
     with_shots_per_row,
     without_shots,
@@ -19,7 +21,7 @@ from gabarito.operators.shots import (
 from gabarito.registry import benchmark, pattern_of
 from gabarito.schemas import PROMPTS
 from gabarito.sources.tables import SOURCE_ORDER, load_benchmark
-from gabarito.staging import staged
+from gabarito.staging import pinned, staged
 
 
 def rendered_items(sources: dict[str, DataFrame], order: list[str]) -> DataFrame:
@@ -32,30 +34,25 @@ def rendered_items(sources: dict[str, DataFrame], order: list[str]) -> DataFrame
     return reduce(DataFrame.unionByName, parts)
 
 
-def indexed_items(sources: dict[str, DataFrame], order: list[str], percent: float = 100) -> DataFrame:
-    """Items with dense `idx`, group size and `id_bench`, cut to the first `percent`."""
-    items = with_dense_index(rendered_items(sources, order), ["benchmark"], order)
-    return head_percent(items, percent).withColumn("id_bench", bench_id())
-
+def staged_items(
+    sources: dict[str, DataFrame],
+    order: list[str],
+    percent: float,
+    draw: Callable[[DataFrame], DataFrame | None],
+) -> tuple[DataFrame, DataFrame | None]:
+    """Items with dense `idx`, group size and `id_bench`, and the ranks drawn for them.
 
-def attach_shots(
-    items: DataFrame,
-    n_shots: int,
-    n_experiments: int,
-    fixed_seed: bool = True,
-    seed: int = SEED,
-    ranks: DataFrame | None = None,
-) -> DataFrame:
-    """Items x experiments with their shots; drawn here unless `ranks` are given."""
-    shot = F.struct("id_bench", "turns")
-    if n_shots == 0:
-        return without_shots(items, n_experiments, shot)
-    if not fixed_seed:
-        return with_shots_per_row(items, n_shots, n_experiments, seed, shot)
+    Only keys are needed to number the items and to draw, so both come first; the items are
+    then written once, the few that a draw can use in a partition of their own.
+    """
+    rendered = rendered_items(sources, order)
+    index = head_percent(dense_index(rendered, ["benchmark"], order), percent)
+    ranks = draw(index.where(F.col("idx") == 0).select("benchmark", "n_rows"))
+    items = rendered.join(index, ["benchmark", *order]).withColumn("id_bench", bench_id())
     if ranks is None:
-        sizes = items.where(F.col("idx") == 0).select("benchmark", "n_rows")
-        ranks = draw_ranks(sizes, n_shots, n_experiments, seed)
-    return with_shots(items, ranks, shot)
+        return staged(items, "items"), None
+    ranks = pinned(ranks)
+    return staged(mark_drawn(items, ranks), "items", ["drawn"]), ranks
 
 
 def build_prompts(
@@ -73,14 +70,25 @@ def build_prompts(
 ) -> DataFrame:
     """The prompts table of `sources` (benchmark name -> source rows with a unique `order` key).
 
-    The indexed items are staged: sizes, shots, id offsets and the final pass all read them,
-    each with its own columns.
+    Ranks are drawn by seed unless given; without a fixed seed every row draws its own.
     """
     if not 0 <= percent <= 100:
         raise ValueError(f"percent must be between 0 and 100, got {percent}")
     groups = group_models(models)
-    items = staged(indexed_items(sources, order or SOURCE_ORDER, percent), "items")
-    rows = attach_shots(items, n_shots, n_experiments, fixed_seed, seed, ranks)
+
+    def draw(sizes: DataFrame) -> DataFrame | None:
+        if n_shots == 0 or not fixed_seed:
+            return None
+        return ranks if ranks is not None else draw_ranks(sizes, n_shots, n_experiments, seed)
+
+    items, drawn = staged_items(sources, order or SOURCE_ORDER, percent, draw)
+    shot = F.struct("id_bench", "turns")
+    if n_shots == 0:
+        rows = without_shots(items, n_experiments, shot)
+    elif drawn is None:
+        rows = with_shots_per_row(items, n_shots, n_experiments, seed, shot)
+    else:
+        rows = with_shots(items, drawn, shot, pool=items.where("drawn"))
     shots = F.col("shots.turns")
     pattern = pattern_of(F.col("benchmark"))
     chat = build_chat(F.col("turns"), shots, pattern, structured)

@@ -40,11 +40,11 @@ def pinned(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """`df` as a written table in the shared folder, for results that several passes prune."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    (df.write.partitionBy(*partition_by) if partition_by else df.write).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(df.columns)
 
 
 def pinned_and_measured(df: DataFrame) -> tuple[DataFrame, int]:
