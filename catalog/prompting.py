@@ -19,7 +19,7 @@ from gabarito.functions.choices import drop_placeholders, render_choices, render
 from gabarito.functions.text import escape_xml, mid_truncate, model_short_name, unescape_xml
 from gabarito.operators.clean import bench_id, clean_benchmark
 from gabarito.operators.index import with_dense_index
-from gabarito.operators.infer import generate_answers, hosted_messages
+from gabarito.operators.infer import answer_prompts, hosted_messages
 from gabarito.operators.models import (
     for_each_listed_model,
     group_models,
@@ -551,7 +551,7 @@ def batch_generate(spark: SparkSession, sf: str) -> DataFrame:
     chat = P.build_chat(F.col("turns"), none, pattern)
     packed = pack_prompts(chat, F.col("turns"), none, pattern, group_models(JOB_MODELS))
     prompts = turns.select("item_key", F.lit("hatebr").alias("benchmark"), packed.alias("prompt"))
-    answered = generate_answers(prompts, JOB_PATHS, parity_scorer, batch_size=16, max_chars=5000)
+    answered = answer_prompts(prompts, JOB_PATHS, parity_scorer, batch_size=16, max_chars=5000)
     return answered.select("item_key", "model_name", "model_answer", "parsed_model_answer", "error")
 
 

@@ -60,7 +60,7 @@ def score_batches(df: DataFrame, scorer: Scorer, batch_size: int = 32, attempts:
     return df.mapInPandas(run, schema)
 
 
-def generate_answers(
+def answer_prompts(
     prompts: DataFrame,
     paths: list[str],
     scorer: Scorer,

@@ -9,7 +9,13 @@ ANSWER_KEYS = ["model_name", "benchmark"]
 
 
 def without_keys(old: DataFrame, new: DataFrame, keys: list[str], spread: Column | None = None) -> DataFrame:
-    """Rows of `old` whose keys do not occur in `new`."""
+    """Rows of `old` whose keys do not occur in `new`.
+
+    `spread` tells the rows of one key apart, by default all their other columns.
+    """
+    others = [c for c in old.columns if c not in keys]
+    if spread is None and others:
+        spread = F.struct(*[F.col(f"`{c}`") for c in others])
     return small_join(old, new.select(*keys).distinct(), keys, "left_anti", spread)
 
 

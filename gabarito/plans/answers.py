@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gabarito.operators.clean import string_columns
 from gabarito.operators.index import renumber
-from gabarito.operators.infer import Scorer, generate_answers
+from gabarito.operators.infer import Scorer, answer_prompts
 from gabarito.operators.upsert import ANSWER_KEYS, upsert
 from gabarito.schemas import ANSWERS
 from gabarito.sources.csv import write_csv
@@ -13,7 +13,7 @@ from gabarito.sources.tables import read_table, replace_table, table_exists, wri
 
 def answers_table(prompts: DataFrame, paths: list[str], scorer: Scorer, **options) -> DataFrame:
     """Answers of the given models in the stored schema."""
-    rows = generate_answers(prompts, paths, scorer, **options)
+    rows = answer_prompts(prompts, paths, scorer, **options)
     return string_columns(rows, ["shot_indices"]).select(*ANSWERS.names)
 
 

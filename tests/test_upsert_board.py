@@ -163,3 +163,10 @@ def test_wide_board_layout(spark, golden):
 def test_custom_flags_must_match_up(spark):
     with pytest.warns(UserWarning, match="ignored"):
         assert B.custom_flags(spark, ["a/b"], []) is None
+
+
+def test_upsert_beyond_the_broadcast_limit(old, new, monkeypatch):
+    want = rows_of(U.upsert(old, new))
+    plain = small_join
+    monkeypatch.setattr(U, "small_join", lambda *a, **k: plain(*a, **k, limit=0, salts=4))
+    assert rows_of(U.upsert(old, new)) == want
