@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gabarito.llm.common import table
+from gabarito.llm.decontamination import find_benchmark_words, is_contaminated, n_hit
 from gabarito.llm.pieces import encode_texts
 
 QUERIES = {}
@@ -31,3 +32,49 @@ def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op5_pieces"] = op5_pieces
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that lie in a 13-word window of the benchmark."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = find_benchmark_words(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        n_hit().alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        digest(F.array_join("items", ",")).alias("items_sha256"),
+        is_contaminated().alias("contaminated"),
+    )
+
+
+QUERIES["op9_decontamination"] = op9_decontamination
+SQL["op9_decontamination"] = r"""
+WITH doc_words AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM documents),
+item_words AS (
+    SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM benchmark),
+item_windows AS (
+    SELECT DISTINCT item, least(13, len(words)) AS size, array_to_string(words[i : i + 12], ' ') AS pattern
+    FROM (SELECT item, words, unnest(range(1, greatest(len(words) - 12, 1) + 1)) AS i FROM item_words WHERE len(words) > 0)),
+sizes AS (SELECT DISTINCT size FROM item_windows),
+doc_windows AS (
+    SELECT doc_id, size, i, array_to_string(words[i : i + size - 1], ' ') AS pattern
+    FROM (SELECT doc_id, words, size, unnest(range(1, len(words) - size + 2)) AS i
+        FROM doc_words, sizes WHERE len(words) >= size)),
+found AS (SELECT doc_id, i, size, item FROM doc_windows JOIN item_windows USING (size, pattern)),
+hit AS (SELECT doc_id, count(DISTINCT place) AS n_hit
+    FROM (SELECT doc_id, unnest(range(i, i + size)) AS place FROM (SELECT DISTINCT doc_id, i, size FROM found)) GROUP BY doc_id),
+listed AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+    FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+    CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+    coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
+FROM doc_words LEFT JOIN hit USING (doc_id) LEFT JOIN listed USING (doc_id)
+"""
