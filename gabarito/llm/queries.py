@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gabarito.llm.common import table
 from gabarito.llm.decontamination import find_benchmark_words, is_contaminated, n_hit
 from gabarito.llm.pieces import encode_texts
+from gabarito.llm.secret_scan import KINDS, base_spans, scan_secrets, written
 
 QUERIES = {}
 SQL = {}
@@ -78,3 +79,59 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
     coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
 FROM doc_words LEFT JOIN hit USING (doc_id) LEFT JOIN listed USING (doc_id)
 """
+
+
+def n_of(kind: str) -> Column:
+    return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document; a source is an owner, and each of its documents a repository."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    found = scan_secrets(docs, keep_text=False)
+    return found.select(
+        "doc_id",
+        *[n_of(kind).alias(f"n_{kind}") for kind in KINDS],
+        digest(written(base_spans())).alias("base_sha256"),
+        written(F.col("spans")).alias("spans"),
+        F.size(F.filter("spans", lambda s: s["live"])).cast("long").alias("n_live"),
+    )
+
+
+QUERIES["op7_secrets"] = op7_secrets
+SQL["op7_secrets"] = r"""
+WITH patterns AS (SELECT * FROM (VALUES
+    ('assign', 0, '([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)'),
+    ('access', 1, 'AKIA[A-Z0-9]{16,}'), ('hex', 2, '[0-9a-f]{24,}'), ('owned', 3, '[A-Za-z0-9+/_-]{20,}')) t(kind, place, pattern)),
+gaps AS (
+    SELECT doc_id, kind, place, unnest(string_split_regex(coalesce(text, ''), pattern)) AS gap,
+        generate_subscripts(string_split_regex(coalesce(text, ''), pattern), 1) AS i
+    FROM documents, patterns WHERE regexp_matches(coalesce(text, ''), pattern)),
+matches AS (
+    SELECT doc_id, kind, place, unnest(regexp_extract_all(coalesce(text, ''), pattern)) AS whole,
+        generate_subscripts(regexp_extract_all(coalesce(text, ''), pattern), 1) AS i
+    FROM documents, patterns WHERE regexp_matches(coalesce(text, ''), pattern)),
+placed AS (
+    SELECT doc_id, kind, place, whole, sum(length(gap) + length(whole)) OVER (PARTITION BY doc_id, kind ORDER BY i) AS stop
+    FROM gaps JOIN matches USING (doc_id, kind, place, i)),
+valued AS (
+    SELECT doc_id, kind, place, CAST(stop - length(whole) AS BIGINT) AS start, CAST(stop AS BIGINT) AS stop,
+        CASE WHEN kind = 'assign' THEN regexp_extract(whole, (SELECT pattern FROM patterns WHERE kind = 'assign'), 2) ELSE whole END AS value
+    FROM placed),
+base AS (SELECT * FROM valued WHERE kind <> 'owned' AND (kind <> 'assign' OR length(value) >= 6)),
+candidates AS (
+    SELECT * FROM valued v WHERE kind = 'owned' AND regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]')
+        AND NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = v.doc_id AND b.start < v.stop AND v.start < b.stop)),
+held AS (SELECT * FROM base UNION ALL SELECT * FROM candidates),
+usage AS (SELECT value, count(DISTINCT source) AS n_owners FROM held JOIN documents USING (doc_id) GROUP BY value),
+judged AS (SELECT held.*, n_owners <= 2 AS live FROM held JOIN usage USING (value) WHERE kind <> 'owned' OR n_owners <= 2),
+summed AS (
+    SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+        count(*) FILTER (kind = 'hex') AS n_hex, count(*) FILTER (live) AS n_live,
+        string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, place) FILTER (kind <> 'owned') AS base,
+        string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, place) AS spans
+    FROM judged GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+    sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live
+FROM documents LEFT JOIN summed USING (doc_id)
+"""
