@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gabarito.llm.common import table
 from gabarito.llm.decontamination import find_benchmark_words, is_contaminated, n_hit
+from gabarito.llm.language_id import fold, identify_languages, train_on_sample
 from gabarito.llm.pieces import encode_texts
 from gabarito.llm.secret_scan import KINDS, base_spans, scan_secrets, written
 
@@ -135,3 +136,15 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
     sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live
 FROM documents LEFT JOIN summed USING (doc_id)
 """
+
+
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every whole text, learned from four fifths of the labelled documents."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold("doc_id", 5) == 0
+    net = train_on_sample(docs.where(~held_out))
+    found = identify_languages(docs.select("doc_id", held_out.alias("held_out"), "text"), net, keep_text=False)
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
+QUERIES["op1_language"] = op1_language
