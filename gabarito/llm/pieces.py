@@ -6,6 +6,7 @@ new neighbours. As no entry of the vocabulary has a word mark after another char
 never crosses into the next word, so words are encoded on their own and remembered.
 """
 
+import gc
 import hashlib
 import heapq
 import re
@@ -19,7 +20,7 @@ from gabarito.llm.common import append_columns
 
 MARK = "▁"
 WORD = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
-REMEMBERED = 300_000  # words, and parts of words, that a worker keeps
+REMEMBERED = 250_000  # words, and as many parts of words, in each of a worker's two memories
 SHORT = 48
 NEVER = 1 << 60
 PLACE_BITS = 40
@@ -132,32 +133,42 @@ class Encoder:
     def __init__(self, model: bytes, check: bool = True):
         self.vocabulary = MergeVocabulary(model)
         self.check = check
-        self.known: dict[str, list[int]] = {}
-        self.parts: dict[str, list[int]] = {}
+        # What was met lately, and what was met before that: a full memory becomes the older one.
+        self.known: dict[str, tuple[int, ...]] = {}
+        self.known_before: dict[str, tuple[int, ...]] = {}
+        self.parts: dict[str, tuple[int, ...]] = {}
+        self.parts_before: dict[str, tuple[int, ...]] = {}
 
-    def encode_word(self, word: str) -> list[int]:
+    def encode_word(self, word: str) -> tuple[int, ...]:
         ids: list[int] = []
         for part in self.vocabulary.parts(word):
             found = self.parts.get(part)
             if found is None:
-                found = self.parts[part] = self.vocabulary.encode_part(part)
+                found = self.parts_before.get(part) or tuple(self.vocabulary.encode_part(part))
+                self.parts[part] = found
             ids += found
-        return ids
+        return tuple(ids)
 
     def learn(self, words: set[str]) -> None:
         """Encode the new words and compare them with the library."""
-        for memory in (self.known, self.parts):
-            if len(memory) > REMEMBERED:
-                memory.clear()
-        fresh = [w for w in words if w not in self.known]
-        for word in fresh:
-            self.known[word] = self.encode_word(word)
+        if len(self.known) > REMEMBERED:
+            self.known, self.known_before = {}, self.known
+        if len(self.parts) > REMEMBERED:
+            self.parts, self.parts_before = {}, self.parts
+        known, before, fresh = self.known, self.known_before.get, []
+        for word in words:
+            if word not in known:
+                found = before(word)
+                if found is None:
+                    fresh.append(word)
+                    found = self.encode_word(word)
+                known[word] = found
         if self.check:
             # The library puts one mark before a text; a word's own first mark stands for it.
             own = [w for w in fresh if w != MARK]
             for word, ids in zip(own, self.vocabulary.library.encode([w[1:] for w in own], num_threads=1)):
-                if ids != self.known[word]:
-                    raise ValueError(f"agenda and library differ on {word!r}: {self.known[word]} / {ids}")
+                if tuple(ids) != known[word]:
+                    raise ValueError(f"agenda and library differ on {word!r}: {known[word]} / {ids}")
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         words = [WORD.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
@@ -203,8 +214,13 @@ def encode_texts(
         encoder = worker_encoder(model.value, check)
 
         def compute(texts: list) -> list:
-            ids = encoder.encode([t or "" for t in texts])
-            return [ids, encoder.decode(ids)]
+            # Nothing here is cyclic, and the collector would walk the remembered words again and again.
+            gc.disable()
+            try:
+                ids = encoder.encode([t or "" for t in texts])
+                return [ids, encoder.decode(ids)]
+            finally:
+                gc.enable()
 
         return compute
 
