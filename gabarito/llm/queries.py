@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from gabarito.llm.common import table
 from gabarito.llm.decontamination import find_benchmark_words, is_contaminated, n_hit
+from gabarito.llm.jaccard_join import near_duplicates
 from gabarito.llm.language_id import fold, identify_languages, train_on_sample
 from gabarito.llm.pieces import encode_texts
 from gabarito.llm.secret_scan import KINDS, base_spans, scan_secrets, written
+from gabarito.llm.sharding import shuffle_into_shards
 
 QUERIES = {}
 SQL = {}
@@ -148,3 +150,21 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op1_language"] = op1_language
+
+
+def op8_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents shuffled into 16 shards of equal rows."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return shuffle_into_shards(docs).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+
+
+QUERIES["op8_shards"] = op8_shards
+
+
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near duplicates among all documents."""
+    found = near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
+QUERIES["op4_jaccard_join"] = op4_jaccard_join
