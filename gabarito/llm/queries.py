@@ -12,6 +12,8 @@ from gabarito.llm.language_id import fold, identify_languages, train_on_sample
 from gabarito.llm.pieces import encode_texts
 from gabarito.llm.secret_scan import KINDS, base_spans, scan_secrets, written
 from gabarito.llm.sharding import shuffle_into_shards
+from gabarito.llm.warc import read_archives, write_archives
+from gabarito.staging import scratch_path
 
 QUERIES = {}
 SQL = {}
@@ -168,3 +170,24 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op4_jaccard_join"] = op4_jaccard_join
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC archives, and the archives read back."""
+    folder = scratch_path(spark, "warc")
+    write_archives(table(spark, sf_dir, "pages"), folder)
+    return read_archives(spark, folder, with_payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+QUERIES["op10_warc"] = op10_warc
+SQL["op10_warc"] = """
+WITH sized AS (
+    SELECT page_id, coalesce(html, '') AS html, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes FROM pages),
+held AS (SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY html) ELSE page_id END AS holder FROM sized)
+SELECT page_id, payload_bytes, sha1(html) AS payload_digest,
+    CASE WHEN holder = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN holder <> page_id THEN holder END AS refers_to
+FROM held
+"""
