@@ -12,6 +12,7 @@ from gabarito.llm.language_id import fold, identify_languages, train_on_sample
 from gabarito.llm.pieces import encode_texts
 from gabarito.llm.secret_scan import KINDS, base_spans, scan_secrets, written
 from gabarito.llm.sharding import shuffle_into_shards
+from gabarito.llm.toxicity import learn_toxicity, score_toxicity
 from gabarito.llm.warc import read_archives, write_archives
 from gabarito.staging import scratch_path
 
@@ -191,3 +192,15 @@ SELECT page_id, payload_bytes, sha1(html) AS payload_digest,
     CASE WHEN holder <> page_id THEN holder END AS refers_to
 FROM held
 """
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every whole text, learned from three quarters of the labels."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = fold("doc_id", 4) == 2
+    machine = learn_toxicity(docs, labels.where(~held_out))
+    found = score_toxicity(docs.select("doc_id", held_out.alias("held_out"), "text"), machine, keep_text=False)
+    return found.select("doc_id", "held_out", "score", "predicted")
+
+
+QUERIES["op3_toxicity"] = op3_toxicity
