@@ -12,6 +12,7 @@ from gabarito.llm.language_id import fold, identify_languages, train_on_sample
 from gabarito.llm.pieces import encode_texts
 from gabarito.llm.secret_scan import KINDS, base_spans, scan_secrets, written
 from gabarito.llm.sharding import shuffle_into_shards
+from gabarito.llm.token_counts import count_tokens
 from gabarito.llm.toxicity import learn_toxicity, score_toxicity
 from gabarito.llm.warc import read_archives, write_archives
 from gabarito.staging import scratch_path
@@ -204,3 +205,12 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op3_toxicity"] = op3_toxicity
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pre-tokens and unigram tokens of every whole text."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return count_tokens(docs, PIECES, keep_text=False).select("doc_id", "n_pretokens", "n_tokens")
+
+
+QUERIES["op6_token_counts"] = op6_token_counts
