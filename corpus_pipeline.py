@@ -1,8 +1,127 @@
-"""Corpus preparation: documents in, encoded training documents out."""
+"""Corpus preparation in five stages: documents in, token ids out.
 
-STAGES = []
+Every stage reads what its predecessor kept, and all but the last return the columns of the
+documents they got. Columns of the input that are named like a result of an operator are put
+aside meanwhile and come back unchanged.
+"""
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from gabarito.llm.common import ship, table
+from gabarito.llm.decontamination import find_benchmark_words, is_contaminated
+from gabarito.llm.jaccard_join import near_duplicates
+from gabarito.llm.language_id import UNDETERMINED, identify_languages, train_on_sample
+from gabarito.llm.pieces import encode_texts
+from gabarito.llm.queries import PIECES, digest
+from gabarito.llm.secret_scan import redacted, scan_secrets
+from gabarito.staging import scratch_path, small_join
+
+LEAST_SCORE = 0.4  # of the language network; labelled documents of four languages lie above
+
+
+def keeping(docs: DataFrame, names: list[str], stage: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """`stage` applied while columns of these names are out of its way; the columns of `docs` come back."""
+    aside = {c: f"_aside_{i}" for i, c in enumerate(docs.columns) if c.lower() in names}
+    done = stage(docs.withColumnsRenamed(aside))
+    return done.select(*[F.col(aside.get(c, c)).alias(c) for c in docs.columns])
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejects documents without a language: no letter, or a score below LEAST_SCORE.
+
+    The network learns from a bounded sample of the labelled documents themselves. Without any
+    label nothing is known of languages, and only documents without a letter go.
+    """
+    ship(spark)
+    net = train_on_sample(docs)
+
+    def stage(rows: DataFrame) -> DataFrame:
+        if net is None:
+            return rows.where(F.col("text").rlike(r"\p{L}"))
+        found = identify_languages(rows, net)
+        return found.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= LEAST_SCORE))
+
+    return keeping(docs, ["lang_pred", "score"], stage)
+
+
+def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document of the smallest doc_id of every group of near duplicates.
+
+    A row that repeats both doc_id and text goes as well. Documents without a doc_id stay, as
+    do those without words. The ids to drop are few against the texts, which are not shuffled
+    while the ids can be broadcast.
+    """
+    ship(spark)
+    found = near_duplicates(docs)
+    dropped = found.where(F.col("id") != F.col("component_id")).select(F.col("id").alias("doc_id")).distinct()
+    kept = small_join(docs, dropped, ["doc_id"], how="left_anti", spread=F.xxhash64("text"))
+    repeated = docs.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL").select("doc_id")
+    once = small_join(kept, repeated, ["doc_id"], how="left_anti", spread=F.xxhash64("text"))
+    again = small_join(kept, repeated, ["doc_id"], how="left_semi", spread=F.xxhash64("text"))
+    return once.unionByName(again.dropDuplicates(["doc_id", "text"])).select(docs.columns)
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents of which a word in twenty or more lies in a window of the benchmark."""
+    ship(spark)
+    benchmark = table(spark, sf_dir, "benchmark")
+
+    def stage(rows: DataFrame) -> DataFrame:
+        return find_benchmark_words(rows, benchmark).where(~is_contaminated())
+
+    return keeping(docs, ["n_words", "spans", "items"], stage)
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replaces every secret in the texts: all base spans, and other tokens that only their owner has.
+
+    Tokens that many sources share are examples and stay. `n_chars` follows the text.
+    """
+
+    def stage(rows: DataFrame) -> DataFrame:
+        found = scan_secrets(rows)
+        clean = {"text": redacted()}
+        if "n_chars" in rows.columns:
+            touched = F.size("spans") > 0
+            clean["n_chars"] = F.when(touched, F.length(redacted())).otherwise(F.col("n_chars")).cast(rows.schema["n_chars"].dataType)
+        return found.withColumns(clean)
+
+    return keeping(docs, ["spans"], stage)
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """`doc_id`, the token `ids`, their number, and digests of ids and decoded text."""
+    ship(spark)
+    found = encode_texts(docs.select("doc_id", "text"), PIECES, keep_text=False)
+    return found.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        digest(F.concat_ws(",", F.col("ids").cast("array<string>"))).alias("ids_sha256"),
+        digest(F.col("decoded")).alias("decoded_sha256"),
+        "ids",
+    )
+
+
+STAGES = [
+    ("language", language),
+    ("distinct_documents", distinct_documents),
+    ("decontaminated", decontaminated),
+    ("without_secrets", without_secrets),
+    ("encoded", encoded),
+]
+
+# A trained network and a tokenizer are not SQL; tests compare the stages with brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over `documents`, each written to the shared folder and read again."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        path = scratch_path(spark, f"pipeline-{name}")
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return docs

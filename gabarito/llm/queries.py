@@ -13,6 +13,7 @@ from gabarito.llm.pieces import encode_texts
 from gabarito.llm.secret_scan import KINDS, base_spans, scan_secrets, written
 from gabarito.llm.sharding import shuffle_into_shards
 from gabarito.llm.token_counts import count_tokens
+from gabarito.llm.top_k import top_products
 from gabarito.llm.toxicity import learn_toxicity, score_toxicity
 from gabarito.llm.warc import read_archives, write_archives
 from gabarito.staging import scratch_path
@@ -214,3 +215,21 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op6_token_counts"] = op6_token_counts
+
+
+def op2_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best integer products of every fiftieth vector with all others."""
+    return top_products(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES["op2_top_k"] = op2_top_k
+SQL["op2_top_k"] = """
+WITH finite AS (
+    SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product([CAST(x AS DOUBLE) for x in q.v], [CAST(x AS DOUBLE) for x in c.v]) AS BIGINT) AS score
+    FROM finite q JOIN finite c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scored)
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 5
+"""
