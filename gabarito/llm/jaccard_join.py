@@ -9,13 +9,14 @@ positional and suffix filters thin the candidates, and a pair is verified once.
    their hash range, which counts the classes of each. A shingle of one class links nothing.
 3. `_lists`: the shared shingles of a class come back together, in rare-first order. Shingles of
    one class fill a prefix first, so most classes have nothing left to look for and drop out.
-4. Classes are gathered into neighbourhoods of bounded size by the prefix shingles they share,
-   and linked there. Copies of one text find each other here, without all their pairs.
-5. Any two classes that share a prefix shingle, but are neither connected nor compared yet, are
-   compared in blocks of bounded size.
+4. Classes are gathered into neighbourhoods by the prefix shingles they share, and linked in
+   pieces of bounded size. Copies of one text find each other here, without all their pairs.
+5. What is neither connected nor compared yet is compared in blocks of bounded size: the pieces
+   of a neighbourhood, then neighbourhoods that share a prefix shingle.
 """
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,16 +32,13 @@ WORDS = 5
 PERCENT = (75, 100)
 BLOCKS = 64  # hash ranges, at least
 SHINGLES_PER_BLOCK = 8_000_000
-SHINGLES_PER_FLUSH = 2_000_000
+SHINGLES_PER_FLUSH = 1_500_000
 CLASS_BYTES = 12
 NEIGHBOURS = 128  # classes compared with each other in one neighbourhood
 BLOCK_ROWS = 256  # classes of one side of a block
 SET_BYTES = 4 << 20  # and the bytes of their sets
 ROUNDS = 3  # of gathering classes into neighbourhoods
 
-# Lower-cased bytes, with a blank for the bytes between words.
-NORMAL = bytes(b + 32 if 0x41 <= b <= 0x5A else 0x20 if 0x09 <= b <= 0x0D else b for b in range(256))
-
 
 class WordHashes(dict):
     """64-bit hashes of words, remembered."""
@@ -62,10 +60,10 @@ def mixed(h: np.ndarray) -> np.ndarray:
 
 def shingle_hashes(texts: list[str | None], words: WordHashes) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of every text; none for one without words."""
-    split = [t.encode().translate(NORMAL).split(b" ") if t else [] for t in texts]
-    split = [[w for w in ws if w] if b"" in ws else ws for ws in split]
+    # Bytes lower only A-Z, and split at blanks and the control characters 9 to 13.
+    split = [t.encode().lower().split() if t else [] for t in texts]
     counts = np.array([len(ws) for ws in split], np.int64)
-    flat = np.fromiter((words[w] for ws in split for w in ws), np.uint64, int(counts.sum()))
+    flat = np.fromiter(map(words.__getitem__, chain.from_iterable(split)), np.uint64, int(counts.sum()))
     rolled = np.zeros(max(0, len(flat) - WORDS + 1), np.uint64)
     for k in range(WORDS):
         rolled = mixed(rolled + flat[k : k + len(rolled)] + np.uint64(k + 1))
@@ -364,46 +362,57 @@ class Union:
 
 
 LINK = "a long, b long"
-AT_ONCE = 16
+AT_ONCE = 32
+
+
+def stars(union: Union) -> list[tuple[int, int]]:
+    """Every member that is not the smallest of its set, with the smallest."""
+    return [(k, root) for k in union.root if (root := union.find(k)) != k]
 
 
 def linked_in(rows: list[dict]) -> list[tuple[int, int]]:
-    """Links that connect what is similar within one neighbourhood."""
-    sets, union, links = Ranked(rows), Union(list(range(len(rows)))), []
+    """Classes of one neighbourhood, each with the smallest one that it is connected with there."""
+    sets = Ranked(rows)
+    union = Union(sets.ids)
     order = np.argsort(sets.n, kind="stable")
     for i, x in enumerate(order.tolist()):
         left = order[:i]
         while len(left):
-            mine = union.find(x)
-            left = left[[union.find(int(y)) != mine for y in left]]
+            mine = union.find(sets.ids[x])
+            left = left[[union.find(sets.ids[y]) != mine for y in left.tolist()]]
             for y in sets.similar(x, left[:AT_ONCE]).tolist():
-                if union.join(x, y):
-                    links.append((sets.ids[x], sets.ids[y]))
+                union.join(sets.ids[x], sets.ids[y])
             left = left[AT_ONCE:]
-    return links
+    return stars(union)
 
 
-def linked_across(rows: list[dict]) -> list[tuple[int, int]]:
-    """Links between the left and the right rows of one block of a shingle, not compared before."""
+def linked_across(rows: list[dict], only_rank: bool = False) -> list[tuple[int, int]]:
+    """Components joined by links between the left and the right rows of one block.
+
+    Rows with equal `compared` have met before. With `only_rank` the key is a shingle, and a
+    pair counts only if it is the first that their prefixes share.
+    """
     unique = list({r["cid"]: r for r in rows}.values())
     sets = Ranked(unique)
     at = {r["cid"]: k for k, r in enumerate(unique)}
-    rank = sets.rank(rows[0]["shingle"])
-    union = Union(list({r["component"] for r in unique}))
+    rank = sets.rank(rows[0]["key"]) if only_rank else None
     component = [r["component"] for r in unique]
-    group = np.array([r["neighbourhood"] for r in unique])
+    union = Union(sorted(set(component)))
+    group = np.array([r["compared"] for r in unique])
     right = np.array(sorted({at[r["cid"]] for r in rows if not r["left"]}), np.int64)
-    links = []
     for x in sorted({at[r["cid"]] for r in rows if r["left"]}):
         left = right[group[right] != group[x]]
         while len(left):
             mine = union.find(component[x])
             left = left[[union.find(component[y]) != mine for y in left.tolist()]]
             for y in sets.similar(x, left[:AT_ONCE], rank).tolist():
-                if union.join(component[x], component[y]):
-                    links.append((sets.ids[x], sets.ids[y]))
+                union.join(component[x], component[y])
             left = left[AT_ONCE:]
-    return links
+    return stars(union)
+
+
+def linked_over_shingle(rows: list[dict]) -> list[tuple[int, int]]:
+    return linked_across(rows, only_rank=True)
 
 
 def links_by(rows: DataFrame, keys: list[str], linked) -> DataFrame:
@@ -468,55 +477,69 @@ def class_links(lists: DataFrame) -> DataFrame:
     pieces = staged(pieces, "pieces")
     sets = lists.select("cid", "n", "shingles", "counts")
     near = links_by(pieces.join(sets, "cid").drop("own"), ["label", "piece"], linked_in)
-    near = staged(near, "links")
     first = components(near, "a", "b")
 
-    # Prefix shingles whose classes are neither connected nor compared.
-    home = pieces.where("piece = own").select("cid", F.xxhash64("label", "own").alias("neighbourhood"))
-    placed = (
-        label.select("cid")
-        .join(first, F.col("cid") == F.col("node"), "left")
-        .join(home, "cid", "left")
-        .select("cid", F.coalesce("component", "cid").alias("component"), F.coalesce("neighbourhood", F.xxhash64("cid")).alias("neighbourhood"))
-    )
-    placed = staged(placed, "placed")
-    open_ = staged(
-        postings.join(placed, "cid")
-        .groupBy("shingle")
-        .agg(*[f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in ("component", "neighbourhood")])
-        .where("min_component < max_component AND min_neighbourhood < max_neighbourhood")
-        .select("shingle"),
-        "open",
-    )
-    members = staged(
-        postings.join(open_, "shingle").join(placed, "cid").join(lists.select("cid", size.alias("bytes")), "cid"), "members"
+    # The pieces of a neighbourhood against each other, where they are not connected yet.
+    placed = label.join(pieces.where("piece = own").select("cid", "own"), "cid", "left")
+    placed = staged(placed.select("cid", "label", F.coalesce("own", F.lit(0)).alias("own")), "placed")
+    members = with_components(placed, first).select("cid", F.col("label").alias("key"), "component", F.col("own").alias("compared"))
+    second = components(links_of(first).unionByName(compared_across(members, lists, linked_across)), "a", "b")
+
+    # The classes of a prefix shingle that lie in different neighbourhoods and components.
+    members = with_components(postings.join(placed, "cid"), second)
+    members = members.select("cid", F.col("shingle").alias("key"), "component", F.col("label").alias("compared"))
+    return components(links_of(second).unionByName(compared_across(members, lists, linked_over_shingle)), "a", "b")
+
+
+def links_of(found: DataFrame) -> DataFrame:
+    return found.select(F.col("node").alias("a"), F.col("component").alias("b"))
+
+
+def with_components(rows: DataFrame, found: DataFrame) -> DataFrame:
+    return rows.join(found, F.col("cid") == F.col("node"), "left").withColumn("component", F.coalesce("component", "cid")).drop("node")
+
+
+def compared_across(members: DataFrame, lists: DataFrame, linked) -> DataFrame:
+    """Links between members of a key that differ in `component` and in `compared`.
+
+    All members of a key meet those outside its most common component, in blocks.
+    """
+    members = staged(members, "members")
+    open_ = (
+        members.groupBy("key")
+        .agg(*[f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in ("component", "compared")])
+        .where("min_component < max_component AND min_compared < max_compared")
+        .select("key")
     )
-    by_component = members.groupBy("shingle", "component").agg(F.count("*").alias("rows"), F.sum("bytes").alias("bytes"))
+    size = (F.octet_length("shingles") + F.octet_length("counts")).alias("bytes")
+    members = members.join(staged(open_, "open"), "key").join(lists.select("cid", size), "cid")
+    members = staged(members, "members")
     plan = (
-        by_component.groupBy("shingle")
+        members.groupBy("key", "component")
+        .agg(F.count("*").alias("rows"), F.sum("bytes").alias("bytes"))
+        .groupBy("key")
         .agg(
             F.sum("rows").alias("rows"),
             F.sum("bytes").alias("bytes"),
             F.max(F.struct("rows", "bytes", "component")).alias("most"),
         )
         .select(
-            "shingle",
+            "key",
             F.col("most.component").alias("common"),
             (F.col("rows") - F.col("most.rows")).alias("few"),
             (F.col("bytes") - F.col("most.bytes")).alias("few_bytes"),
             pieces_for("rows", "bytes", BLOCK_ROWS).alias("rights"),
         )
-        .select("shingle", "common", "rights", pieces_for("few", "few_bytes", BLOCK_ROWS).alias("lefts"))
+        .select("key", "common", "rights", pieces_for("few", "few_bytes", BLOCK_ROWS).alias("lefts"))
     )
-    # All of a shingle's classes against those outside its most common component.
-    dealt = members.join(plan, "shingle")
+    dealt = members.join(staged(plan, "plan"), "key")
     every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
     one = lambda n: F.pmod(F.xxhash64("cid"), F.col(n)).cast("int")
-    kept = ["cid", "shingle", "component", "neighbourhood"]
+    kept = ["cid", "key", "component", "compared"]
     left = dealt.where("component <> common").select(*kept, F.lit(True).alias("left"), one("lefts").alias("i"), F.explode(every("rights")).alias("j"))
     right = dealt.select(*kept, F.lit(False).alias("left"), F.explode(every("lefts")).alias("i"), one("rights").alias("j"))
-    across = links_by(left.unionByName(right).join(sets, "cid"), ["shingle", "i", "j"], linked_across)
-    return components(near.unionByName(across), "a", "b")
+    sets = lists.select("cid", "n", "shingles", "counts")
+    return links_by(left.unionByName(right).join(sets, "cid"), ["key", "i", "j"], linked)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -545,6 +568,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     smallest = component.groupBy("component").agg(F.min("least").alias("smallest"))
     reached = component.join(smallest, "component").select("class", "smallest")
     named = classes.join(reached, "class", "left").select("class", F.coalesce("smallest", "least").alias("component_id"))
+    named = staged(named, "named")  # so that only two shuffles meet below, and a hot class can be split
     whole = sets.where(F.col("class").isNotNull()).join(named, "class").select("id", "n_shingles", "class", "component_id")
     empty = sets.where(F.col("class").isNull()).select("id", "n_shingles", "class", F.col("id").alias("component_id"))
     return whole.unionByName(empty)
