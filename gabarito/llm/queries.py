@@ -173,6 +173,26 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op4_jaccard_join"] = op4_jaccard_join
+SQL["op4_jaccard_join"] = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS words
+    FROM documents),
+shingles AS (
+    SELECT DISTINCT doc_id, len(words[i : i + 4]) AS size, array_to_string(words[i : i + 4], ' ') AS shingle
+    FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS i FROM words WHERE len(words) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM shingles a JOIN shingles b USING (size, shingle)
+    WHERE a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS (
+    SELECT x, y FROM common JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * c >= 75 * (p.n + q.n - c)),
+reached AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reached r JOIN links l ON l.x = r.y),
+least_reached AS (SELECT x, min(y) AS y FROM reached GROUP BY x)
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, least(d.doc_id, coalesce(y, d.doc_id)) AS component_id
+FROM documents d LEFT JOIN sizes USING (doc_id) LEFT JOIN least_reached ON x = d.doc_id
+"""
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
