@@ -161,7 +161,8 @@ def top_products(
     A component x becomes floor(scale * x). Queries are the rows whose id divides by
     `query_every`, candidates all rows with another id; ties go to the smaller id. Rows with a
     null id, a null vector, or a null or non-finite component take no part; rows repeated with
-    equal vectors count once; vectors of different dimension do not meet. With fewer than k
+    equal vectors count once; vectors of different dimension do not meet. Scores must fit in 64
+    bits; sums too large for exact floating point are multiplied as integers. With fewer than k
     candidates all are returned, and an empty table gives no rows. Other columns are not read.
     Buckets and blocks of queries are tables in the shared folder, and a task multiplies one
     block with one bucket. Lengths tie by id, so equal vectors fill as many buckets as they need.

@@ -24,7 +24,7 @@ LEAST_CHI2 = 6.0
 FACTORS = 6
 EPOCHS = 12
 BATCH = 256
-RATE = 0.1
+RATE = 0.2
 DECAY = 1e-5
 # Bounds of the training sample: rows of each label, and the characters read of a row.
 ROWS_PER_LABEL = 5_000
@@ -128,9 +128,9 @@ def train(rows: list[np.ndarray], labels: np.ndarray, weights: np.ndarray, epoch
     rows = [d[d >= 0] for d in (dense[r] for r in rows)]
     share = min(max((weights * labels).sum() / weights.sum(), 1e-3), 1 - 1e-3)
     fm = FactorizationMachine(
-        float(np.log(share / (1 - share))), dense, np.zeros(len(known)), rng.normal(scale=0.01, size=(len(known), FACTORS))
+        float(np.log(share / (1 - share))), dense, np.zeros(len(known)), rng.normal(scale=0.1, size=(len(known), FACTORS))
     )
-    weight_steps, factor_steps = np.full(len(known), 1e-2), np.full((len(known), FACTORS), 1e-2)
+    weight_steps, factor_steps = np.full(len(known), 1e-3), np.full((len(known), FACTORS), 1e-3)
     for _ in range(epochs):
         order = rng.permutation(len(rows))
         for i in range(0, len(order), BATCH):
@@ -147,7 +147,7 @@ def train(rows: list[np.ndarray], labels: np.ndarray, weights: np.ndarray, epoch
             weight_steps[touched] += weight_grad**2
             factor_steps[touched] += factor_grad**2
             fm.weights[touched] -= RATE * weight_grad / np.sqrt(weight_steps[touched])
-            fm.factors[touched] -= RATE * 0.3 * factor_grad / np.sqrt(factor_steps[touched])
+            fm.factors[touched] -= RATE * 0.5 * factor_grad / np.sqrt(factor_steps[touched])
     return fm
 
 
