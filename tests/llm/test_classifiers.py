@@ -86,8 +86,9 @@ def test_toxicity_of_every_kind_of_row(docs_of, spark):
     machine = learn_toxicity(docs, labels)
     rows = {r["doc_id"]: (r["score"], r["predicted"]) for r in score_toxicity(docs_of(list(enumerate(TEXTS))), machine).collect()}
     assert rows[0] == rows[1] == rows[2] and rows[4] == rows[5] and 0 <= rows[0][0] <= 1
-    again = score_toxicity(docs_of([(1, "such a vile scoundrel"), (2, "kind")]).withColumns({"Predicted": F.lit(5)}), machine)
-    assert {r["doc_id"]: r["predicted"] for r in again.collect()} == {1: 1, 2: 0}
+    again = score_toxicity(docs_of([(1, "such vile scoundrel talk"), (2, "kind words only")]).withColumns({"Predicted": F.lit(5)}), machine)
+    vile, kind = (r["score"] for r in again.orderBy("doc_id").collect())
+    assert vile > 0.5 > kind
     assert learn_toxicity(docs, labels.where("toxic = 1")) is None
     assert {r["score"] for r in score_toxicity(docs, None).collect()} == {0.0}
     assert score_toxicity(docs_of([]), machine).count() == 0
