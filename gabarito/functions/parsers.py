@@ -3,10 +3,7 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from gabarito.functions.text import NOT_SPACE, SPACE, first_char, first_match, strip
-
-# Longest digit run that still counts as an integer (fixed value).
-MAX_INTEGER_DIGITS = 4300
+from gabarito.functions.text import NOT_SPACE, SPACE, ascii_digits, first_char, first_match, strip
 
 
 def yes_no(text: Column) -> Column:
@@ -33,9 +30,9 @@ def full_word(text: Column) -> Column:
 
 
 def number(text: Column) -> Column:
-    """First unsigned number, decimal comma turned into a point."""
+    """First unsigned number in ASCII digits, decimal comma turned into a point."""
     found = first_match(text, r"^\P{Nd}*+(\p{Nd}+(?:[\.,]?\p{Nd}+)?)", 1)
-    return F.replace(found, F.lit(","), F.lit("."))
+    return ascii_digits(F.replace(found, F.lit(","), F.lit(".")))
 
 
 def integer_math(text: Column) -> Column:
@@ -58,9 +55,8 @@ def integer_math(text: Column) -> Column:
     for pattern in markup:
         clean = F.regexp_replace(clean, pattern, "")
     plain = F.when(F.rlike(text, F.lit(markers)), clean).otherwise(text)
-    found = first_match(plain, r"^(?s).*?([-+]?[0-9]++)", 1)
+    found = ascii_digits(first_match(plain, r"^(?s).*?([-+]?\p{Nd}++)", 1))
     shape = [
-        (f"^[-+]?[0-9]{{{MAX_INTEGER_DIGITS + 1},}}$", ""),  # too long to be a number
         ("^[-+]?0*(?=0$)", ""),  # any zero is 0
         (r"^\+?(-?)0*(?=[1-9])", "$1"),
     ]

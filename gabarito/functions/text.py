@@ -1,5 +1,7 @@
 """Small string functions shared by templates, parsers and sinks."""
 
+import sys
+import unicodedata
 from string import Formatter
 
 from pyspark.sql import Column
@@ -13,6 +15,18 @@ SPACE = f"[{_BLANKS}]"
 NOT_SPACE = f"[!-~[^{_BLANKS}]]"
 
 
+# All decimal digits of Unicode beyond ASCII, and the ASCII digit of each.
+_DIGITS = [c for c in map(chr, range(0x80, sys.maxunicode + 1)) if unicodedata.category(c) == "Nd"]
+_DIGITS_FROM, _DIGITS_TO = "".join(_DIGITS), "".join(str(unicodedata.digit(c)) for c in _DIGITS)
+
+
+def ascii_digits(text: Column) -> Column:
+    """Decimal digits of any script as 0 to 9."""
+    return F.when(
+        text.rlike(r"[\p{Nd}&&[^0-9]]"), F.translate(text, _DIGITS_FROM, _DIGITS_TO)
+    ).otherwise(text)
+
+
 def strip(text: Column) -> Column:
     """Trim every kind of whitespace, not only U+0020."""
     return F.regexp_replace(text, rf"^{SPACE}+|{SPACE}+\z", "")

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gabarito.functions.choices import sanitize_alternatives
-from gabarito.functions.text import model_short_name
 from gabarito.registry import Benchmark
 from gabarito.schemas import ANSWERS
 
@@ -78,9 +77,6 @@ def drop_index_columns(df: DataFrame) -> DataFrame:
 
 
 def exclude_models(df: DataFrame, models: list[str]) -> DataFrame:
-    return df.where(~F.col("model_name").isin(models)) if models else df
-
-
-def tag_model(df: DataFrame, path: Column) -> DataFrame:
-    """Short model name from its path."""
-    return df.withColumn("model_name", model_short_name(path))
+    """Rows of other models; a row without a model name stays."""
+    name = F.col("model_name")
+    return df.where(name.isNull() | ~name.isin(models)) if models else df

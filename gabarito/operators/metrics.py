@@ -158,14 +158,14 @@ def continuous_eval(answers: DataFrame) -> DataFrame:
 
 
 def evaluate(answers: DataFrame) -> DataFrame:
-    """The eval table. An answer of an unknown benchmark fails the job instead of vanishing.
+    """The eval table. An answer of an unknown benchmark, or of none, fails the job instead of vanishing.
 
     The two answer types are told apart by literal benchmark lists, so each branch's filter
     reaches the scan and prunes partitions of a table laid out by benchmark.
     """
     continuous = names_where(answer_type="continue")
     name = F.col("benchmark")
-    category = answers.where(~name.isin(continuous))
+    category = answers.where(name.isNull() | ~name.isin(continuous))
     # pattern_of raises on names outside the registry
     known = category.withColumn("benchmark", F.when(pattern_of(name).isNotNull(), name))
     return category_eval(known).unionByName(continuous_eval(answers.where(name.isin(continuous))))

@@ -316,7 +316,7 @@ def pattern_of(name: Column) -> Column:
 
 
 def _case(name: Column, values: dict[str, str]) -> Column:
-    unknown = F.raise_error(F.concat(F.lit("unknown benchmark: "), name))
+    unknown = F.raise_error(F.concat(F.lit("unknown benchmark: "), F.coalesce(name, F.lit("null"))))
     by_value: dict[str, list[str]] = {}
     for key, value in values.items():
         by_value.setdefault(value, []).append(key)

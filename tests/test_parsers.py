@@ -51,6 +51,8 @@ CASES = {
         ("-2.25 e 7", "2.25"),
         ("10", "10"),
         ("1.", "1"),
+        ("valor ３,５", "3.5"),
+        ("٤", "4"),
         ("sem", None),
         ("", None),
         (None, None),
@@ -73,7 +75,9 @@ CASES = {
         ("", None),
         (None, None),
         ("9" * 40, "9" * 40),
-        ("9" * 4301, None),
+        ("9" * 5000, "9" * 5000),
+        ("１２", "12"),
+        ("x = -٣٤.0", "-34"),
     ],
 }
 
