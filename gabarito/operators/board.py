@@ -4,6 +4,7 @@ import warnings
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gabarito.functions.text import joined_or_null, round3
 from gabarito.registry import AREAS, BOARD, DEFAULT_METRICS, DESCRIPTIONS, board_table
@@ -238,17 +239,31 @@ def with_descriptions(board: DataFrame, compat: bool = False) -> DataFrame:
 def leaderboard(
     eval_rows: DataFrame, metadata: DataFrame, sequence: str | None = None, compat: bool = False
 ) -> DataFrame:
-    """The wide board of the models that have metadata.
+    """The wide board of the models that have metadata, keyed by `model_name`.
 
-    Scores of the other models still decide which benchmarks exist.
+    Scores of the other models still decide which benchmarks exist. `Modelo` is for display: it
+    is the hub's id where one is known, and two models may share it.
     """
     wide = board_scores(bench_scores(eval_rows), sequence)
-    return with_descriptions(metadata.join(wide, "model_name").drop("model_name"), compat)
+    board = with_descriptions(metadata.join(wide, "model_name"), compat)
+    return board.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in board_schema(compat)])
+
+
+def board_schema(compat: bool = False) -> T.StructType:
+    """Columns of the board, in order."""
+    text, number = T.StringType(), T.DoubleType()
+    kinds = {"#Params (B)": number, "Hub Likes": T.LongType(), "Disponível no hub": T.BooleanType()}
+    columns = {c: kinds.get(c, text) for c in ["model_name", *MODEL_COLUMNS]}
+    columns |= {c: number for c in [*sorted(AREAS), *[c for _, _, c in BOARD], OVERALL]}
+    taken = set() if compat else set(AREAS)
+    for name, value in DESCRIPTIONS.items():
+        columns[f"{name} (datasets)" if name in taken else name] = number if isinstance(value, float) else text
+    return T.StructType([T.StructField(c, kind) for c, kind in columns.items()])
 
 
 def run_summary(models: DataFrame, board: DataFrame, overrides: DataFrame) -> DataFrame:
     """How many models of a run are processed, already on the board, or without metadata."""
-    on = board.select(F.col("Modelo").alias("model_name"), F.lit(True).alias("on_board")).distinct()
+    on = board.select("model_name", F.lit(True).alias("on_board")).distinct()
     known = overrides.where(F.col("model_id").isNotNull())
     known = known.select("model_name", F.lit(True).alias("known")).distinct()
     flagged = models.select("model_name").distinct().join(on, "model_name", "left").join(known, "model_name", "left")

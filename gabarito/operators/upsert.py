@@ -47,22 +47,24 @@ def keep_last(df: DataFrame, keys: list[str], sequence: Column) -> DataFrame:
 def upsert_board(
     old: DataFrame | None, new: DataFrame, overwrite: bool = True, sequence: str | None = None
 ) -> DataFrame:
-    """Board rows by `Modelo`: overwritten, or appended.
+    """Board rows by `model_name`: overwritten, or appended.
 
     An overwrite also removes repeats, keeping the last; `sequence` says which row is later,
-    and a row of the new batch is always later than an old one.
+    and a row of the new batch is always later than an old one. Rows that tie in that are told
+    apart by their content, so the outcome never depends on the order of tasks.
     """
-    key = "Modelo"
+    key = "model_name"
     if old is None:
         return new
     if not overwrite:
         return old.unionByName(new, allowMissingColumns=True)
     kept = without_keys(old, new, [key]).withColumn("__new", F.lit(0))
     both = kept.unionByName(new.withColumn("__new", F.lit(1)), allowMissingColumns=True)
-    order = F.struct("__new", sequence) if sequence else F.struct("__new")
+    content = F.to_json(F.struct(*[F.col(f"`{c}`") for c in both.columns]))
+    order = F.struct("__new", *([sequence] if sequence else []), content)
     return keep_last(both, [key], order).drop("__new")
 
 
 def skip_existing(models: DataFrame, board: DataFrame, key: str = "model_name") -> DataFrame:
-    """Models that are not on the board yet."""
-    return small_join(models, board.select(F.col("Modelo").alias(key)).distinct(), [key], "left_anti")
+    """Models that are not on the board yet; a model is one row, so no key is hot."""
+    return small_join(models, board.select(F.col("model_name").alias(key)).distinct(), [key], "left_anti")

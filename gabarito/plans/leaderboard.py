@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gabarito.operators.board import leaderboard, model_metadata
+from gabarito.operators.board import board_schema, leaderboard, model_metadata
 from gabarito.operators.clean import exclude_models
 from gabarito.operators.upsert import skip_existing, upsert_board
 from gabarito.sources.tables import read_table, replace_table, table_exists, write_table
@@ -29,8 +29,9 @@ def board_rows(
 def store_board(
     spark: SparkSession, eval_rows: DataFrame, path: str, overrides: DataFrame, overwrite: bool = False, **options
 ) -> None:
-    """Upsert the board at `path`."""
-    old = read_table(spark, path) if table_exists(spark, path) else None
+    """Upsert the board at `path`: one row per `model_name`, whatever hub id it shows."""
+    schema = board_schema(options.get("compat", False))
+    old = read_table(spark, path, schema) if table_exists(spark, path) else None
     new = board_rows(eval_rows, overrides, board=old, overwrite=overwrite, **options)
     if old is None:
         write_table(new, path)

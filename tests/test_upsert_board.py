@@ -52,7 +52,7 @@ def test_salted_join_gives_the_same_rows(spark, how):
 
 
 def test_board_upsert(spark):
-    board = "Modelo string, score double, seq int"
+    board = "model_name string, score double, seq int"
     old = spark.createDataFrame([("a", 1.0, 1), ("a", 2.0, 2), ("b", 3.0, 1)], board)
     new = spark.createDataFrame([("b", 9.0, 1), ("c", 5.0, 1)], board)
     assert rows_of(U.upsert_board(old, new, sequence="seq")) == [("a", 2.0, 2), ("b", 9.0, 1), ("c", 5.0, 1)]
@@ -153,7 +153,7 @@ def test_wide_board_layout(spark, golden):
     row = row[0]
     assert (row["T"], row["Tipo"], row["Modelo"], row["Arquitetura"]) == ("Custom", "Custom", "org/First", "A,B")
     assert (row["#Params (B)"], row["Licença"], row["Disponível no hub"]) == (7.616, "unknown", True)
-    assert len(board.columns) == 11 + len(AREAS) + len(BOARD) + 1 + len(DESCRIPTIONS)
+    assert len(board.columns) == 12 + len(AREAS) + len(BOARD) + 1 + len(DESCRIPTIONS)
     assert row["STEM"] == 0.0 and row["STEM (datasets)"] == DESCRIPTIONS["STEM"]
     assert B.leaderboard(golden, meta, compat=True).first()["STEM"] == DESCRIPTIONS["STEM"]
     plain = B.model_metadata(models, overrides, fetched).first()
