@@ -16,32 +16,52 @@ from gabarito.registry import pattern_of
 # Fixed value: how a failed call shows in a stored answer.
 ERROR_PREFIX = "__API_ERROR__: "
 
-# (model path, prompts) -> answers, same length.
-Scorer = Callable[[str, Sequence[str]], Sequence[str]]
+# (model path, prompts) -> answers, same length; an exception in an answer's place fails that row.
+Scorer = Callable[[str, Sequence[str]], Sequence[str | Exception]]
+
+# A mistake in the scorer itself, which no repetition mends.
+PROGRAMMING_ERRORS = (TypeError, NameError, AttributeError, ImportError, SyntaxError, AssertionError)
 
 
 def score_batches(df: DataFrame, scorer: Scorer, batch_size: int = 32, attempts: int = 3) -> DataFrame:
     """Adds `model_answer` and `error` to a table with `model_path` and `prompt`.
 
-    A batch that keeps failing is scored row by row, so that an error costs one row: its
-    answer is null and `error` says why. Rows keep their order and every one comes back.
+    A row that fails is called up to `attempts` times: its answer is then null and `error` says
+    why. Rows that got an answer are never called again. A scorer reports a failed row with an
+    exception in its place; when it raises instead, the whole call failed, and its rows are
+    called one by one. Programming errors fail the job. Rows keep their order and every one
+    comes back.
     """
     fields = [*df.schema.fields, T.StructField("model_answer", T.StringType())]
     schema = T.StructType([*fields, T.StructField("error", T.StringType())])
 
+    def once(path: str, prompts: list[str]) -> list[str | Exception]:
+        try:
+            answers = list(scorer(path, prompts))
+        except PROGRAMMING_ERRORS:
+            raise
+        except Exception as e:
+            return [e] * len(prompts)
+        if len(answers) != len(prompts):
+            problem = ValueError(f"scorer gave {len(answers)} answers for {len(prompts)} prompts")
+            return [problem] * len(prompts)
+        for answer in answers:
+            if isinstance(answer, PROGRAMMING_ERRORS):
+                raise answer
+        return answers
+
     def call(path: str, prompts: list[str]) -> list[tuple[str | None, str | None]]:
-        for _ in range(attempts):
-            try:
-                answers = list(scorer(path, prompts))
-            except Exception as e:
-                problem = str(e)
-                continue
-            if len(answers) == len(prompts):
-                return [(a, None) for a in answers]
-            problem = f"scorer gave {len(answers)} answers for {len(prompts)} prompts"
-        if len(prompts) == 1:
-            return [(None, problem)]
-        return [pair for p in prompts for pair in call(path, [p])]
+        answers = once(path, prompts)
+        for _ in range(attempts - 1):
+            failed = [i for i, a in enumerate(answers) if isinstance(a, Exception)]
+            if not failed:
+                break
+            together = len(failed) < len(prompts) or len(prompts) == 1
+            groups = [failed] if together else [[i] for i in failed]
+            for group in groups:
+                for i, answer in zip(group, once(path, [prompts[i] for i in group])):
+                    answers[i] = answer
+        return [(None, str(a)) if isinstance(a, Exception) else (a, None) for a in answers]
 
     def run(pages: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for page in pages:
@@ -121,11 +141,17 @@ def hosted_scorer(clients: dict[str, Callable[[str, str, str], str]]) -> Scorer:
         match = tags[tag].search(prompt or "")
         return match.group(1).strip() if match else ""
 
-    def score(path: str, prompts: Sequence[str]) -> list[str]:
+    def one(client: Callable[[str, str, str], str], path: str, prompt: str) -> str | Exception:
+        try:
+            return client(path, body(prompt, "system"), body(prompt, "user"))
+        except Exception as e:
+            return e
+
+    def score(path: str, prompts: Sequence[str]) -> list[str | Exception]:
         known = [p for part, p in PROVIDERS.items() if part in path.lower()]
         if not known:
             raise ValueError(f"Unknown API provider for model {path}")
-        return [clients[known[0]](path, body(p, "system"), body(p, "user")) for p in prompts]
+        return [one(clients[known[0]], path, p) for p in prompts]
 
     return score
 

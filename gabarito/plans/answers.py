@@ -1,14 +1,16 @@
 """Job 2: prompts x models -> answers."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from gabarito.operators.clean import string_columns
 from gabarito.operators.index import renumber
 from gabarito.operators.infer import Scorer, answer_prompts
-from gabarito.operators.upsert import ANSWER_KEYS, upsert
+from gabarito.operators.upsert import ANSWER_KEYS
 from gabarito.schemas import ANSWERS
 from gabarito.sources.csv import write_csv
-from gabarito.sources.tables import read_table, replace_table, table_exists, write_table
+from gabarito.sources.tables import read_table, table_exists, write_table
+from gabarito.staging import delete_path, small_join, staged
 
 
 def answers_table(prompts: DataFrame, paths: list[str], scorer: Scorer, **options) -> DataFrame:
@@ -23,11 +25,39 @@ def store_answers(answers: DataFrame, path: str) -> None:
 
 
 def store_answers_by_model(spark: SparkSession, answers: DataFrame, path: str) -> None:
-    """Upsert by model: what the batch's models had on other benchmarks goes, too."""
-    old = read_table(spark, path, ANSWERS) if table_exists(spark, path) else None
-    replace_table(upsert(old, answers, ["model_name"]), path, ANSWER_KEYS)
+    """Upsert by model: what the batch's models had on other benchmarks goes, too.
+
+    The batch is scored once, into a staged copy. Its partitions are overwritten first, then the
+    other files of its models are removed; no other model's files are read or written. A run
+    that stops in between leaves old partitions behind, and repeating it removes them.
+    """
+    batch = staged(answers, "answers")
+    keys = batch.select(*ANSWER_KEYS).distinct().collect()  # a row for each model and benchmark
+    old = None
+    if keys and table_exists(spark, path):
+        models = sorted({k.model_name for k in keys})
+        covered = F.concat_ws("\0", *ANSWER_KEYS).isin(["\0".join(k) for k in keys])
+        stale = read_table(spark, path, ANSWERS).where(F.col("model_name").isin(models) & ~covered)
+        old = [r.file for r in stale.select(F.input_file_name().alias("file")).distinct().collect()]
+    write_table(batch, path, ANSWER_KEYS)
+    for file in old or []:
+        delete_path(spark, file)
 
 
 def export_answers(answers: DataFrame, path: str) -> None:
-    """CSV form: ids renumbered from 1 in (model, benchmark, id) order, backslashes protected."""
-    write_csv(renumber(answers, ["model_name", "benchmark", "id"]), path, escape=True)
+    """CSV form: ids renumbered from 1 in (model, benchmark, id) order, backslashes protected.
+
+    The answers are staged once. Prompt ids run without gaps within a model and benchmark, so a
+    group's offset gives the new ids; only where they do not are rows numbered by their key.
+    """
+    rows = staged(answers, "answers")
+    groups = rows.groupBy(*ANSWER_KEYS).agg(F.min("id").alias("__first"), F.max("id").alias("__last"), F.count("*").alias("__n"))
+    groups = staged(groups, "groups")
+    if groups.where("__last - __first + 1 <> __n").isEmpty():
+        before = Window.orderBy(*ANSWER_KEYS).rowsBetween(Window.unboundedPreceding, -1)
+        shifts = groups.select(*ANSWER_KEYS, (F.coalesce(F.sum("__n").over(before), F.lit(0)) - F.col("__first") + 1).alias("__shift"))
+        numbered = small_join(rows, shifts, ANSWER_KEYS, spread=F.col("id"))
+        numbered = numbered.withColumn("id", F.col("id") + F.col("__shift")).select(rows.columns)
+    else:
+        numbered = renumber(rows, [*ANSWER_KEYS, "id"])
+    write_csv(numbered, path, escape=True)

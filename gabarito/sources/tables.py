@@ -10,7 +10,7 @@ from pyspark.sql.types import StructType
 from gabarito.operators.clean import clean_benchmark
 from gabarito.registry import Benchmark
 from gabarito.sources.csv import read_csv
-from gabarito.staging import staged
+from gabarito.staging import scratch_path
 
 # Columns that keep the order of a source: file and position in it.
 SOURCE_ORDER = ["source_file", "source_row"]
@@ -53,12 +53,20 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None)
 
 
 def replace_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """Overwrite a whole table with rows that may derive from it: staged first, then swapped in."""
-    rows = staged(df, "replace")
+    """Overwrite a whole table with rows that may derive from it: staged first, then swapped in.
+
+    If the second write fails, the error names the staged copy, which holds all rows.
+    """
+    spark, copy = df.sparkSession, scratch_path(df.sparkSession, "replace")
+    df.write.parquet(copy)
+    rows = spark.read.schema(df.schema).parquet(copy).select(df.columns)
     if partition_by:
         rows = rows.hint("rebalance", *partition_by)
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    try:
+        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    except Exception as e:
+        raise RuntimeError(f"{path} could not be replaced; its new rows are in {copy}") from e
 
 
 def resolve_split(spark: SparkSession, folder: str, declared: str | None) -> str:
@@ -98,7 +106,7 @@ def load_benchmark(spark: SparkSession, root: str, bench: Benchmark) -> DataFram
     return load(bench.subset)
 
 
-def preview(rows: DataFrame, bench: Benchmark) -> DataFrame:
-    """First row of a benchmark rendered through its template."""
-    cleaned = clean_benchmark(rows.limit(1), bench)
+def preview(rows: DataFrame, bench: Benchmark, order: list[str] | None = None) -> DataFrame:
+    """First row of a benchmark, by file and place in it, rendered through its template."""
+    cleaned = clean_benchmark(rows.orderBy(*(order or SOURCE_ORDER)).limit(1), bench)
     return cleaned.select(bench.template(cleaned).alias("turns")).select("turns.*")

@@ -26,9 +26,26 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+_scratch: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _scratch.append(path)
+    return path
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder on whatever file system holds it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove all staged copies this process has made; for the end of a job that has stored its result."""
+    while _scratch:
+        delete_path(spark, _scratch.pop())
 
 
 def pinned(df: DataFrame) -> DataFrame:
