@@ -10,7 +10,7 @@ side, so attaching shots shuffles nothing.
 import random
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,6 +18,8 @@ from gabarito.staging import small_join
 
 # Seed of the first experiment; experiment i uses SEED + i (fixed value).
 SEED = 42
+# Modulus and factor of a multiplicative generator, for draws that run in the JVM.
+PRIME, FACTOR = 2_147_483_647, 48_271
 
 
 def draw_ranks(sizes: DataFrame, n_shots: int, n_experiments: int, seed: int = SEED) -> DataFrame:
@@ -50,6 +52,7 @@ def slots(ranks: DataFrame) -> DataFrame:
 
 def mark_drawn(items: DataFrame, ranks: DataFrame, column: str = "drawn") -> DataFrame:
     """Flag the few items any draw can use, so that a table laid out by the flag serves them alone."""
+    # (benchmark, idx) names one item, so no key is hot and nothing has to be spread.
     few = slots(ranks).select("benchmark", "idx").distinct().withColumn(column, F.lit(True))
     marked = small_join(items, few, ["benchmark", "idx"], "left")
     return marked.withColumn(column, F.coalesce(column, F.lit(False)))
@@ -57,6 +60,7 @@ def mark_drawn(items: DataFrame, ranks: DataFrame, column: str = "drawn") -> Dat
 
 def shot_sides(pool: DataFrame, ranks: DataFrame, shot: Column) -> DataFrame:
     """(benchmark, experiment, pairs): per drawn rank the row at it and the row after it."""
+    # A key is one item here too.
     found = small_join(
         pool.select("benchmark", "idx", shot.alias("shot")), slots(ranks), ["benchmark", "idx"]
     )
@@ -90,26 +94,35 @@ def without_shots(items: DataFrame, n_experiments: int, shot: Column) -> DataFra
     return with_experiments(items, n_experiments).withColumn("shots", none)
 
 
+def row_ranks(n_rows: Column, row: Column, experiment: Column, n_shots: int, run_seed: int) -> Column:
+    """Distinct ranks of a row's own draw, by integer arithmetic on the run, the row and the experiment.
+
+    Two steps of a multiplicative generator give a start and a step; the ranks are `n_shots`
+    steps around the other rows. A step is short enough for a round never to close. Too few
+    other rows fail the job.
+    """
+    others = n_rows - 1
+    first = ((F.lit(run_seed * 69621) + experiment * 40692 + row) % PRIME * FACTOR + 12345) % PRIME
+    second = (first * FACTOR + row % PRIME + 1) % PRIME
+    start = (first * PRIME + second) % others
+    step = 1 + second % F.floor(others / n_shots)
+    ranks = F.transform(F.sequence(F.lit(0), F.lit(n_shots - 1)), lambda pos: (start + pos * step) % others)
+    short = F.raise_error(F.concat(F.lit("too few rows to draw shots from: "), n_rows.cast("string")))
+    return F.when(others < n_shots, short.cast("array<bigint>")).otherwise(ranks)
+
+
 def with_shots_per_row(
     items: DataFrame, n_shots: int, n_experiments: int, run_seed: int, shot: Column
 ) -> DataFrame:
     """Like `with_shots`, every row drawing its own shots (the unseeded mode).
 
     The draw is a function of `run_seed` and the row, so a lost task redraws the same shots.
-    Positions are joined on (benchmark, idx), which spreads a large benchmark.
+    Positions are joined on (benchmark, idx), which spreads a large benchmark. `items` is read
+    three times and should be a staged table.
     """
-
-    @F.pandas_udf(T.ArrayType(T.LongType()))
-    def draw(n_rows: pd.Series, key: pd.Series) -> pd.Series:
-        return pd.Series(
-            [random.Random(int(k)).sample(range(int(n) - 1), n_shots) for n, k in zip(n_rows, key)]
-        )
-
     rows = with_experiments(items, n_experiments)
-    key = F.xxhash64(F.lit(run_seed), F.col("benchmark"), F.col("idx"), F.col("experiment"))
-    drawn = rows.select(
-        "benchmark", F.col("idx").alias("q"), "experiment", F.posexplode(draw("n_rows", key)).alias("pos", "rank")
-    )
+    ranks = row_ranks(F.col("n_rows"), F.col("idx"), F.col("experiment").cast("long"), n_shots, run_seed)
+    drawn = rows.select("benchmark", F.col("idx").alias("q"), "experiment", F.posexplode(ranks).alias("pos", "rank"))
     wanted = drawn.withColumn(
         "idx", F.when(F.col("rank") < F.col("q"), F.col("rank")).otherwise(F.col("rank") + 1)
     )
@@ -121,9 +134,3 @@ def with_shots_per_row(
         shots.select("benchmark", "idx", "experiment", F.col("found.shot").alias("shots")),
         ["benchmark", "idx", "experiment"],
     )
-
-
-def literal_ranks(spark: SparkSession, benchmarks: list[str], ranks: list[list[int]]) -> DataFrame:
-    """The same given rank lists, one per experiment, for every benchmark."""
-    rows = [(b, e, r) for b in benchmarks for e, r in enumerate(ranks)]
-    return spark.createDataFrame(rows, "benchmark string, experiment int, ranks array<long>")

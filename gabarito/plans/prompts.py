@@ -24,16 +24,36 @@ from gabarito.sources.tables import SOURCE_ORDER, load_benchmark
 from gabarito.staging import pinned, staged
 
 
-def rendered_items(sources: dict[str, DataFrame], order: list[str]) -> DataFrame:
+def cleaned_sources(sources: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    return {name: clean_benchmark(rows, benchmark(name)) for name, rows in sources.items()}
+
+
+def rendered_items(cleaned: dict[str, DataFrame], order: list[str]) -> DataFrame:
     """Clean rows of all benchmarks in one shape: benchmark, row key, label, turns."""
-    parts = []
-    for name, rows in sources.items():
-        bench = benchmark(name)
-        cleaned = clean_benchmark(rows, bench)
-        parts.append(cleaned.select("benchmark", *order, "label", bench.template(cleaned).alias("turns")))
+    parts = [
+        rows.select("benchmark", *order, "label", benchmark(name).template(rows).alias("turns"))
+        for name, rows in cleaned.items()
+    ]
     return reduce(DataFrame.unionByName, parts)
 
 
+def heads(cleaned: dict[str, DataFrame], order: list[str], percent: float) -> tuple[dict[str, DataFrame], DataFrame]:
+    """The first `percent` of every benchmark's rows, and their index, made from staged keys.
+
+    Only the last kept key of each benchmark is collected, to cut the rows where they are read.
+    """
+    keys = reduce(DataFrame.unionByName, (rows.select("benchmark", *order) for rows in cleaned.values()))
+    index = pinned(head_percent(dense_index(staged(keys, "keys"), ["benchmark"], order), percent))
+    last = {r.benchmark: r.last for r in index.groupBy("benchmark").agg(F.max(F.struct(*order)).alias("last")).collect()}
+
+    def head(name: str, rows: DataFrame) -> DataFrame:
+        if name not in last:
+            return rows.where(F.lit(False))
+        return rows.where(F.struct(*order) <= F.struct(*[F.lit(last[name][c]).alias(c) for c in order]))
+
+    return {name: head(name, rows) for name, rows in cleaned.items()}, index
+
+
 def staged_items(
     sources: dict[str, DataFrame],
     order: list[str],
@@ -42,11 +62,17 @@ def staged_items(
 ) -> tuple[DataFrame, DataFrame | None]:
     """Items with dense `idx`, group size and `id_bench`, and the ranks drawn for them.
 
-    Only keys are needed to number the items and to draw, so both come first; the items are
-    then written once, the few that a draw can use in a partition of their own.
+    The sources are read once, into a staged copy of the rendered items whose keys are then
+    numbered; a head is cut by key before anything is rendered, which reads the keys first. The
+    few items that a draw can use are laid out in a partition of their own.
     """
-    rendered = rendered_items(sources, order)
-    index = head_percent(dense_index(rendered, ["benchmark"], order), percent)
+    cleaned = cleaned_sources(sources)
+    index = None
+    if percent < 100:
+        cleaned, index = heads(cleaned, order, percent)
+    rendered = staged(rendered_items(cleaned, order), "rendered")
+    if index is None:
+        index = dense_index(rendered.select("benchmark", *order), ["benchmark"], order)
     ranks = draw(index.where(F.col("idx") == 0).select("benchmark", "n_rows"))
     items = rendered.join(index, ["benchmark", *order]).withColumn("id_bench", bench_id())
     if ranks is None:
@@ -66,11 +92,13 @@ def build_prompts(
     fixed_seed: bool = True,
     seed: int = SEED,
     chat_templates: dict[str, Renderer] | None = None,
-    ranks: DataFrame | None = None,
+    ranks: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """The prompts table of `sources` (benchmark name -> source rows with a unique `order` key).
 
-    Ranks are drawn by seed unless given; without a fixed seed every row draws its own.
+    Ranks are drawn by seed, unless a function of (benchmark, n_rows) gives them; without a
+    fixed seed every row draws its own. Planning runs jobs: the keys are numbered, the draw is
+    made and the items are staged before this returns.
     """
     if not 0 <= percent <= 100:
         raise ValueError(f"percent must be between 0 and 100, got {percent}")
@@ -79,7 +107,7 @@ def build_prompts(
     def draw(sizes: DataFrame) -> DataFrame | None:
         if n_shots == 0 or not fixed_seed:
             return None
-        return ranks if ranks is not None else draw_ranks(sizes, n_shots, n_experiments, seed)
+        return ranks(sizes) if ranks else draw_ranks(sizes, n_shots, n_experiments, seed)
 
     items, drawn = staged_items(sources, order or SOURCE_ORDER, percent, draw)
     shot = F.struct("id_bench", "turns")
