@@ -2,8 +2,10 @@
 
 prompts  source folders -> prompts table
 answers  prompts table -> answers table, with a scorer given as `module:function`
-score    answers table -> eval table
+score    answers table -> eval table, and its summary pivots
 board    eval table + metadata tables -> leaderboard
+preview  the first item of each benchmark, rendered
+merge    CSV shards of answers -> answers table
 """
 
 import argparse
@@ -11,7 +13,14 @@ import importlib
 
 from pyspark.sql import SparkSession
 
-from gabarito.operators.board import custom_flags
+from gabarito.operators.board import (
+    board_schema,
+    custom_flags,
+    metric_pivot,
+    parse_error_pivot,
+    run_summary,
+    unmapped_benchmarks,
+)
 from gabarito.operators.models import BASE, HOSTED, INSTRUCT
 from gabarito.plans.answers import answers_table, store_answers
 from gabarito.plans.leaderboard import store_board
@@ -19,7 +28,9 @@ from gabarito.plans.prompts import build_prompts_from
 from gabarito.plans.scoring import store_eval
 from gabarito.registry import BENCHMARKS
 from gabarito.schemas import ANSWERS, EVAL, PROMPTS
-from gabarito.sources.tables import read_table, write_table
+from gabarito.sources.csv import read_shards, write_csv
+from gabarito.sources.tables import load_benchmark, preview, read_table, read_table_or_csv, write_table
+from gabarito.staging import clear_scratch
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
@@ -55,6 +66,18 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     score.add_argument("--answers", required=True)
     score.add_argument("--eval", required=True)
 
+    score.add_argument("--csv", help="CSV form of the answers, read where there is no table")
+    score.add_argument("--summary", help="folder for the metric and error pivots, as CSV")
+
+    shown = jobs.add_parser("preview")
+    shown.add_argument("--sources", required=True)
+    shown.add_argument("--benchmarks", nargs="+", required=True, choices=sorted(BENCHMARKS))
+
+    merge = jobs.add_parser("merge")
+    merge.add_argument("--shards", required=True)
+    merge.add_argument("--answers", required=True)
+    merge.add_argument("--expected", type=int)
+
     board = jobs.add_parser("board")
     board.add_argument("--eval", required=True)
     board.add_argument("--board", required=True)
@@ -99,12 +122,30 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         options |= {"tasks": args.tasks, "structured": args.structured}
         store_answers(answers_table(prompts, args.models, load(args.scorer), **options), args.answers)
     elif args.job == "score":
-        store_eval(spark, read_table(spark, args.answers, ANSWERS), args.eval)
+        if args.csv:
+            rows = read_table_or_csv(spark, args.answers, args.csv, ANSWERS)
+        else:
+            rows = read_table(spark, args.answers, ANSWERS)
+        store_eval(spark, rows, args.eval)
+        if args.summary:
+            scored = read_table(spark, args.eval, EVAL)
+            names = sorted(r.benchmark for r in scored.select("benchmark").distinct().collect())
+            write_csv(metric_pivot(scored, names), f"{args.summary}/metrics")
+            write_csv(parse_error_pivot(scored, names), f"{args.summary}/parse_errors")
+    elif args.job == "merge":
+        rows = read_shards(spark, args.shards, ANSWERS, expected=args.expected)
+        store_answers(rows.select(ANSWERS.names), args.answers)
+    elif args.job == "preview":
+        for name in args.benchmarks:
+            rows = preview(load_benchmark(spark, args.sources, BENCHMARKS[name]), BENCHMARKS[name])
+            for turns in rows.collect():  # one row
+                print(f"[{name}]", *[f"{k}: {v}" for k, v in turns.asDict().items()], sep="\n")
     else:
         flags = custom_flags(spark, args.models, args.custom_flags) if args.custom_flags else None
+        scored = read_table(spark, args.eval, EVAL)
         store_board(
             spark,
-            read_table(spark, args.eval, EVAL),
+            scored,
             args.board,
             read_table(spark, args.overrides),
             overwrite=args.overwrite,
@@ -113,12 +154,17 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             exclude=args.exclude,
             compat=args.compat,
         )
+        models = scored.select("model_name").distinct()
+        stored = read_table(spark, args.board, board_schema(args.compat))
+        run_summary(models, stored, read_table(spark, args.overrides)).show()
+        unmapped_benchmarks(scored).show(100, truncate=False)
 
 
 def main(argv: list[str] | None = None) -> None:
     args = arguments(argv)
     spark = SparkSession.builder.appName(f"gabarito-{args.job}").getOrCreate()
     run(spark, args)
+    clear_scratch(spark)  # not after a failure, which may name a staged copy
 
 
 if __name__ == "__main__":

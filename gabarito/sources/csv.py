@@ -1,7 +1,10 @@
 """CSV forms of the pipeline tables."""
 
 import re
+import warnings
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,23 +24,52 @@ FORMAT = {
 }
 # What a quoted empty field reads as until it becomes '' again; the reader would make it null.
 EMPTY = "\x01"
+FILE = "__file"
 NESTED = (T.ArrayType, T.StructType, T.MapType)
 
 
+def files_below(spark: SparkSession, path: str | list[str]) -> list[str]:
+    """Files that a read of `path` takes in; their contents are not read."""
+    found = spark.read.format("binaryFile").load(path).select("path").collect()
+    return sorted(r.path for r in found)
+
+
 def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
-    """CSV with a fixed schema, columns matched by name, index columns dropped.
+    """CSV with a fixed schema, columns matched by each file's own header, index columns dropped.
 
-    Nested columns are stored as JSON.
+    Files may hold their columns in different orders: they are read in groups of equal headers,
+    and a column that a group lacks is null. Nested columns are stored as JSON. Headers are read
+    file by file when this is called.
     """
-    header = spark.read.options(**FORMAT).csv(path).columns
+    return _read_csv(spark, path, schema).drop(FILE)
+
+
+def _read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
+    headers: dict[tuple[str, ...], list[str]] = {}
+    for file in files_below(spark, path):
+        header = spark.read.options(**FORMAT).csv(literal_path(file)).columns
+        headers.setdefault(tuple(header), []).append(literal_path(file))
+    groups = [_read_group(spark, files, header, schema) for header, files in headers.items() if header]
+    if not groups:
+        return spark.createDataFrame([], schema).withColumn(FILE, F.lit(None).cast("string"))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), groups)
+
+
+def literal_path(file: str) -> str:
+    """A path whose pattern characters stand for themselves."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", file)
+
+
+def _read_group(spark: SparkSession, files: list[str], header: tuple[str, ...], schema: T.StructType) -> DataFrame:
     nested = {f.name: f.dataType for f in schema if isinstance(f.dataType, NESTED)}
     flat = {f.name: f.dataType for f in schema if f.name not in nested}
     names = [T.StructField(c, flat.get(c, T.StringType())) for c in header]
-    rows = spark.read.options(**FORMAT, emptyValue=EMPTY).schema(T.StructType(names)).csv(path)
+    rows = spark.read.options(**FORMAT, emptyValue=EMPTY).schema(T.StructType(names)).csv(files)
     text = [f.name for f in names if isinstance(f.dataType, T.StringType)]
     filled = {c: F.when(F.col(f"`{c}`") == EMPTY, "").otherwise(F.col(f"`{c}`")) for c in text}
     rows = drop_index_columns(rows.withColumns(filled))
-    return rows.withColumns({c: F.from_json(c, t) for c, t in nested.items() if c in header})
+    rows = rows.withColumns({c: F.from_json(c, t) for c, t in nested.items() if c in header})
+    return rows.withColumn(FILE, F.input_file_name())
 
 
 def write_csv(df: DataFrame, path: str, escape: bool = False) -> None:
@@ -55,11 +87,25 @@ def write_shards(df: DataFrame, path: str, shard: str = "shard") -> None:
     df.write.mode("overwrite").options(**FORMAT).partitionBy(shard).csv(path)
 
 
-def read_shards(spark: SparkSession, path: str, schema: T.StructType, shard: str = "shard") -> DataFrame:
-    """All shard folders below `path` as one table, with the shard each row came from."""
-    folder = F.regexp_extract(F.input_file_name(), f"/{re.escape(shard)}=([0-9]+)/", 1)
-    rows = read_csv(spark, f"{path.rstrip('/')}/{shard}=*", schema)
-    return rows.withColumn(shard, folder.cast("int"))
+def read_shards(
+    spark: SparkSession, path: str, schema: T.StructType, shard: str = "shard", expected: int | None = None
+) -> DataFrame:
+    """All shard folders below `path` as one table, with the shard each row came from.
+
+    Missing ones of the `expected` shards are warned about; no shard at all is an error.
+    """
+    pattern = f"/{re.escape(shard)}=([0-9]+)/"
+    try:
+        files = files_below(spark, f"{path.rstrip('/')}/{shard}=*")
+    except AnalysisException:
+        files = []
+    there = {int(m[1]) for f in files if (m := re.search(pattern, f))}
+    if not there:
+        raise FileNotFoundError(f"no shard below {path}")
+    if expected is not None and (missing := sorted(set(range(expected)) - there)):
+        warnings.warn(f"shards {missing} of {expected} are missing below {path}", stacklevel=2)
+    rows = _read_csv(spark, f"{path.rstrip('/')}/{shard}=*", schema)
+    return rows.withColumn(shard, F.regexp_extract(FILE, pattern, 1).cast("int")).drop(FILE)
 
 
 def missing_shards(shards: DataFrame, expected: int, shard: str = "shard") -> DataFrame:
