@@ -1,5 +1,8 @@
 """Cleaning, indexing, sharding, source and few-shot queries."""
 
+import random
+import warnings
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,20 +29,50 @@ from gabarito.operators.index import (
     round_robin_shard,
     with_dense_index,
 )
-from gabarito.operators.shots import draw_ranks, literal_ranks, with_shots, with_shots_per_row
+from gabarito.operators.shots import (
+    FACTOR,
+    PRIME,
+    draw_ranks,
+    with_experiments,
+    with_shots,
+    with_shots_per_row,
+)
+from gabarito.plans.answers import store_answers_by_model
 from gabarito.registry import benchmark
-from gabarito.sources.csv import read_csv, read_shards, write_csv, write_shards
-from gabarito.sources.tables import read_table, union_subsets, write_table
-from gabarito.staging import scratch_path
+from gabarito.schemas import ANSWERS
+from gabarito.sources.csv import read_csv, read_shards, write_csv
+from gabarito.sources.tables import (
+    load_benchmark,
+    read_table,
+    read_table_or_csv,
+    union_subsets,
+    write_table,
+)
+from gabarito.staging import scratch_path, staged
 
 QUERIES = {}
 SQL = {}
 
-# Drawn positions used where SQL has to know them; all below the smallest table's size.
-RANKS = [[3, 71, 0, 42], [17, 5, 64, 29]]
-RANKS_SQL = "ranks AS (SELECT * FROM (VALUES " + ", ".join(
-    f"({e}, {p}, {r})" for e, one in enumerate(RANKS) for p, r in enumerate(one)
-) + ") t(experiment, pos, rank))"
+# Drawn positions that SQL can repeat: distinct, and spread over a whole benchmark from its last row on.
+SHOTS, EXPERIMENTS = 4, 2
+
+
+def spread_ranks(sizes: DataFrame) -> DataFrame:
+    """(benchmark, experiment, ranks) from (benchmark, n_rows)."""
+    rank = "transform(sequence(0, {k} - 1), pos -> n_rows - 2 - pos * ((n_rows - 1) div {k}) - experiment * ((n_rows - 1) div 9))"
+    return with_experiments(sizes, EXPERIMENTS).select("benchmark", "experiment", F.expr(rank.format(k=SHOTS)).alias("ranks"))
+
+
+def ranks_sql(indexed: str) -> str:
+    """The same, one row each, over a view with the benchmark and n_rows of every item."""
+    return f"""ranks AS (
+        SELECT benchmark, experiment, pos,
+            n_rows - 2 - pos * ((n_rows - 1) // {SHOTS}) - experiment * ((n_rows - 1) // 9) AS rank
+        FROM (SELECT DISTINCT benchmark, n_rows FROM {indexed}),
+            (SELECT unnest(range({EXPERIMENTS})) AS experiment), (SELECT unnest(range({SHOTS})) AS pos))"""
+
+
+RANKS_SQL = ranks_sql("indexed")
 
 
 def gappy_parts(spark: SparkSession, sf: str) -> DataFrame:
@@ -214,13 +247,18 @@ PAIR = ["hatebr", "oab"]
 
 def indexed_pair(spark: SparkSession, sf: str) -> DataFrame:
     rows = keyed_items(spark, sf, PAIR)
-    return with_dense_index(rows, ["benchmark"], ["item_key"]).withColumn("id_bench", bench_id())
+    indexed = with_dense_index(rows, ["benchmark"], ["item_key"]).withColumn("id_bench", bench_id())
+    return staged(indexed, "items")
+
+
+def sizes_of(items: DataFrame) -> DataFrame:
+    return items.where(F.col("idx") == 0).select("benchmark", "n_rows")
 
 
 SHOTS_SQL = """shots AS (
     SELECT q.benchmark, q.idx, q.item_key, q.label, q.n_rows, experiment, pos, s.item_key AS shot_key,
         s.label AS shot_label, s.benchmark || '_' || s.idx AS shot_id
-    FROM indexed q, ranks r JOIN indexed s
+    FROM indexed q JOIN ranks r ON r.benchmark = q.benchmark JOIN indexed s
         ON s.benchmark = q.benchmark AND s.idx = r.rank + CASE WHEN r.rank < q.idx THEN 0 ELSE 1 END
     WHERE q.benchmark IN ('hatebr', 'oab'))"""
 
@@ -229,7 +267,7 @@ def fewshot_shots(spark: SparkSession, sf: str) -> DataFrame:
     """Every item's shots, one row each: never the item itself."""
     items = indexed_pair(spark, sf)
     shot = F.struct(F.col("item_key").alias("shot_key"), F.col("label").alias("shot_label"))
-    rows = with_shots(items, literal_ranks(spark, PAIR, RANKS), shot)
+    rows = with_shots(items, spread_ranks(sizes_of(items)), shot)
     return rows.select(
         "benchmark", "item_key", "experiment", F.posexplode("shots").alias("pos", "shot")
     ).select("benchmark", "item_key", "experiment", "pos", "shot.*")
@@ -248,7 +286,7 @@ SQL["fewshot_shots"] = query(
 def fewshot_indices(spark: SparkSession, sf: str) -> DataFrame:
     """Ids of the shots in draw order."""
     items = indexed_pair(spark, sf)
-    rows = with_shots(items, literal_ranks(spark, PAIR, RANKS), F.col("id_bench"))
+    rows = with_shots(items, spread_ranks(sizes_of(items)), F.col("id_bench"))
     return rows.select("id_bench", "experiment", F.array_join("shots", ",").alias("shot_indices"))
 
 
@@ -264,14 +302,29 @@ SQL["fewshot_indices"] = query(
 
 
 def fewshot_seeded(spark: SparkSession, sf: str) -> DataFrame:
-    """Ranks drawn by seed 42, 43, ...; how many depends on the benchmark, so SQL cannot know them."""
+    """Ranks drawn by seed 42, 43 and 44."""
     items = indexed_pair(spark, sf)
-    sizes = items.where(F.col("idx") == 0).select("benchmark", "n_rows")
-    rows = with_shots(items, draw_ranks(sizes, 5, 3), F.col("id_bench"))
+    rows = with_shots(items, draw_ranks(sizes_of(items), 5, 3), F.col("id_bench"))
     return rows.select("id_bench", "experiment", F.array_join("shots", ",").alias("shot_indices"))
 
 
+# What Python's generator draws for the row counts of the two benchmarks in the test tables.
+SIZES = [87, 399, 3980, 200, 2000, 20000]
+SEEDED = ", ".join(
+    f"({n}, {e}, {pos}, {rank})"
+    for n in SIZES
+    for e in range(3)
+    for pos, rank in enumerate(random.Random(42 + e).sample(range(n - 1), 5))
+)
 QUERIES["fewshot_seeded"] = fewshot_seeded
+SQL["fewshot_seeded"] = query(
+    """SELECT benchmark || '_' || idx AS id_bench, CAST(experiment AS INTEGER) AS experiment,
+        string_agg(benchmark || '_' || (rank + CASE WHEN rank < idx THEN 0 ELSE 1 END), ',' ORDER BY pos) AS shot_indices
+    FROM indexed JOIN seeded USING (n_rows) WHERE benchmark IN ('hatebr', 'oab') GROUP BY benchmark, idx, experiment""",
+    KEYED_SQL,
+    INDEXED_SQL,
+    f"seeded AS (SELECT * FROM (VALUES {SEEDED}) t(n_rows, experiment, pos, rank))",
+)
 
 
 def fewshot_per_row(spark: SparkSession, sf: str) -> DataFrame:
@@ -281,13 +334,30 @@ def fewshot_per_row(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES["fewshot_per_row"] = fewshot_per_row
+SQL["fewshot_per_row"] = query(
+    f"""SELECT benchmark || '_' || idx AS id_bench, CAST(experiment AS INTEGER) AS experiment,
+        string_agg(benchmark || '_' || (rank + CASE WHEN rank < idx THEN 0 ELSE 1 END), ',' ORDER BY pos) AS shot_indices
+    FROM (
+        SELECT *, ((first * {PRIME} + second) % (n_rows - 1)
+            + pos * (1 + second % ((n_rows - 1) // 5))) % (n_rows - 1) AS rank
+        FROM (
+            SELECT *, (first * {FACTOR} + idx % {PRIME} + 1) % {PRIME} AS second
+            FROM (
+                SELECT benchmark, idx, n_rows, experiment, pos,
+                    ((7 * 69621 + experiment * 40692 + idx) % {PRIME} * {FACTOR} + 12345) % {PRIME} AS first
+                FROM indexed, (SELECT unnest(range(2)) AS experiment), (SELECT unnest(range(5)) AS pos)
+                WHERE benchmark IN ('hatebr', 'oab'))))
+    GROUP BY benchmark, idx, experiment""",
+    KEYED_SQL,
+    INDEXED_SQL,
+)
 
 
 def experiment_melt(spark: SparkSession, sf: str) -> DataFrame:
     """One row per (item, experiment) with sequential ids."""
     items = indexed_pair(spark, sf)
-    rows = with_shots(items, literal_ranks(spark, PAIR, RANKS), F.col("id_bench"))
-    ids = prompt_ids(rows, len(RANKS), ["oab", "hatebr"])
+    rows = with_shots(items, spread_ranks(sizes_of(items)), F.col("id_bench"))
+    ids = prompt_ids(rows, EXPERIMENTS, ["oab", "hatebr"])
     return ids.select("id", "id_bench", "benchmark", "label", F.array_join("shots", ",").alias("shot_indices"))
 
 
@@ -367,11 +437,19 @@ SQL["csv_roundtrip"] = query("SELECT * FROM text_answers", TEXT_ANSWERS_SQL)
 
 
 def shard_union(spark: SparkSession, sf: str) -> DataFrame:
-    """One CSV folder per shard, read back as one table."""
-    rows = text_answers(spark, sf).withColumn("shard", F.pmod("item_key", F.lit(4)).cast("int"))
+    """One CSV folder per shard, some with their columns in another order, read as one table; one is missing."""
+    rows = text_answers(spark, sf)
     path = scratch_path(spark, "shards")
-    write_shards(rows, path)
-    return read_shards(spark, path, rows.drop("shard").schema)
+    shard = F.pmod("item_key", F.lit(4)).cast("int")
+    for number in range(4):
+        columns = rows.columns if number % 2 else sorted(rows.columns)
+        write_csv(rows.where(shard == number).select(columns), f"{path}/shard={number}")
+    with warnings.catch_warnings(record=True) as caught:
+        warnings.simplefilter("always")
+        read = read_shards(spark, path, rows.schema, expected=5)
+    if not any("[4] of 5" in str(w.message) for w in caught):
+        raise ValueError("the missing shard went unnoticed")
+    return read.select(*rows.columns, "shard")
 
 
 QUERIES["shard_union"] = shard_union
@@ -380,6 +458,38 @@ SQL["shard_union"] = query(
 )
 
 
+def table_or_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """Half the answers as a table, half as CSV only: each is found where it is."""
+    rows = text_answers(spark, sf)
+    paths = [scratch_path(spark, "either") for _ in range(2)]
+    write_table(rows.where("item_key % 2 = 0"), paths[0])
+    write_csv(rows.where("item_key % 2 = 1"), f"{paths[1]}-csv")
+    read = [read_table_or_csv(spark, p, f"{p}-csv", rows.schema) for p in paths]
+    return read[0].unionByName(read[1].select(rows.columns))
+
+
+QUERIES["table_or_csv"] = table_or_csv
+SQL["table_or_csv"] = query("SELECT * FROM text_answers", TEXT_ANSWERS_SQL)
+
+
+def loaded_subsets(spark: SparkSession, sf: str) -> DataFrame:
+    """A benchmark of two subsets read from its folder: one has a test split, the other only train."""
+    root = scratch_path(spark, "sources")
+    bench = replace(benchmark("mmlu_pro_x"), split=None)
+    for subset, split, table in (("pt", "test", "customer"), ("en", "train", "supplier")):
+        rows = V.table(spark, sf, table)
+        key, name = rows.columns[:2]
+        rows = rows.select(F.col(key).alias("item_key"), F.col(name).alias("question"))
+        write_table(rows, f"{root}/{bench.name}/{subset}/{split}")
+    return load_benchmark(spark, root, bench).select("item_key", "question", "subset_name")
+
+
+QUERIES["load_subsets"] = loaded_subsets
+SQL["load_subsets"] = """
+SELECT c_custkey AS item_key, c_name AS question, 'pt' AS subset_name FROM customer
+UNION ALL SELECT s_suppkey, s_name, 'en' FROM supplier"""
+
+
 def partition_overwrite(spark: SparkSession, sf: str) -> DataFrame:
     """Upsert as a dynamic overwrite of just the (model, benchmark) partitions of the batch."""
     keys = ["model_name", "benchmark"]
@@ -396,15 +506,38 @@ SQL["partition_overwrite"] = query(
 )
 
 
+def stored_by_model(spark: SparkSession, sf: str) -> DataFrame:
+    """A new batch of one model on one benchmark: all its other stored answers go, the other model's stay."""
+    path = scratch_path(spark, "answers")
+    for rows in (V.old_answers(spark, sf), V.new_answers(spark, sf)):
+        store_answers_by_model(spark, as_stored(rows), path)
+    stored = read_table(spark, path, ANSWERS)
+    return stored.select("id", "id_bench", "benchmark", "label", "model_name", "model_answer")
+
+
+def as_stored(rows: DataFrame) -> DataFrame:
+    """Raw answers in the stored schema."""
+    named = rows.withColumns({"id": F.col("item_key"), "id_bench": F.concat_ws("_", "benchmark", F.col("item_key").cast("string"))})
+    return named.select(*[F.col(f.name) if f.name in named.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in ANSWERS])
+
+
+QUERIES["store_by_model"] = stored_by_model
+SQL["store_by_model"] = query(
+    """SELECT item_key AS id, benchmark || '_' || item_key AS id_bench, benchmark, label, model_name, model_answer
+    FROM (SELECT * FROM new_answers UNION ALL SELECT * FROM old_answers WHERE model_name <> 'beta')"""
+)
+
+
 def without_index_columns(spark: SparkSession, sf: str) -> DataFrame:
     rows = V.table(spark, sf, "events").withColumns(
         {"__index_level_0__": F.col("event_id"), "Unnamed: 0": F.col("event_id")}
     )
-    return drop_index_columns(rows).drop("ts")
+    kept = drop_index_columns(rows)
+    return kept.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))  # engines print timestamps differently
 
 
 QUERIES["drop_index_columns"] = without_index_columns
-SQL["drop_index_columns"] = "SELECT event_id, user_id, event_type, value, props FROM events"
+SQL["drop_index_columns"] = "SELECT * REPLACE (strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts) FROM events"
 
 
 def as_strings(spark: SparkSession, sf: str) -> DataFrame:
@@ -425,13 +558,14 @@ SELECT event_id, CAST(user_id AS VARCHAR) AS label, '["x_' || event_type || '","
 
 
 def excluded_models(spark: SparkSession, sf: str) -> DataFrame:
-    rows = V.raw_answers(spark, sf).select("benchmark", "item_key", "model_name")
+    """Rows without a model name stay."""
+    rows = V.raw_answers(spark, sf).select("benchmark", "item_key", F.nullif("model_name", F.lit("gamma")).alias("model_name"))
     return exclude_models(rows, ["beta", "delta"])
 
 
 QUERIES["exclude_models"] = excluded_models
 SQL["exclude_models"] = query(
-    "SELECT benchmark, item_key, model_name FROM raw_answers WHERE model_name <> 'beta'"
+    "SELECT benchmark, item_key, nullif(model_name, 'gamma') AS model_name FROM raw_answers WHERE model_name <> 'beta'"
 )
 
 

@@ -7,18 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog import views as V
-from catalog.items import (
-    KEYED_SQL,
-    PAIR,
-    RANKS,
-    RANKS_SQL,
-)
+from catalog.items import EXPERIMENTS, KEYED_SQL, SHOTS, ranks_sql, spread_ranks
 from catalog.sql import parse, query, quoted
 from gabarito.functions import prompts as P
-from gabarito.functions.choices import drop_placeholders, render_choices, render_letters
+from gabarito.functions.choices import columns_to_texts, drop_placeholders, render_choices, render_letters
 from gabarito.functions.text import escape_xml, mid_truncate, model_short_name, unescape_xml
-from gabarito.operators.clean import bench_id, clean_benchmark
-from gabarito.operators.index import with_dense_index
+from gabarito.operators.clean import clean_benchmark
 from gabarito.operators.infer import answer_prompts, hosted_messages
 from gabarito.operators.models import (
     for_each_listed_model,
@@ -29,8 +23,8 @@ from gabarito.operators.models import (
     provider,
     split_hosted,
 )
-from gabarito.operators.shots import literal_ranks, with_shots
-from gabarito.plans.prompts import build_prompts
+from gabarito.operators.shots import with_shots
+from gabarito.plans.prompts import build_prompts, staged_items
 from gabarito.registry import (
     ENTAILMENT_NO,
     ENTAILMENT_USER,
@@ -42,6 +36,8 @@ from gabarito.registry import (
     SATISFIES_USER,
     SATISFIES_YES,
     TONE_USER,
+    UNREGISTERED,
+    Benchmark,
     benchmark,
     pattern_of,
 )
@@ -247,6 +243,115 @@ SQL["prompt_choice_columns"] = query(
 )
 
 
+# --- whole families, every benchmark in the shape its source stores
+
+
+def choice_source(spark: SparkSession, sf: str, bench: Benchmark) -> DataFrame:
+    """Choice items in the columns that a benchmark declares."""
+    items = V.items_choice(spark, sf)
+    record = F.struct(F.col("choices").alias("text"), F.array(F.lit("A")).alias("label"))
+    gold = (F.ascii("label") - 65) if bench.gold else F.col("label")
+    if "statement" in bench.columns:
+        stored = F.to_json(record) if bench.sanitize else record
+        return items.select("item_key", F.col("question").alias("statement"), stored.alias("alternatives"), gold.alias("answer"))
+    if "answerKey" in bench.columns:
+        context = F.concat(F.lit("context of "), "question").alias("right_context")
+        return items.select("item_key", context, "question", record.alias("choices"), gold.alias("answerKey"))
+    if "choices" in bench.columns:
+        return items.select("item_key", "question", F.to_json(record).alias("choices"), gold.alias("answer"))
+    question, *options, answer = bench.columns
+    texts = [F.get("choices", F.lit(i)).alias(o) for i, o in enumerate(options)]
+    return items.select("item_key", F.col("question").alias(question), *texts, gold.alias(answer))
+
+
+def family(rendered: list[tuple[str, Benchmark, DataFrame]]) -> DataFrame:
+    parts = []
+    for name, bench, rows in rendered:
+        cleaned = clean_benchmark(rows, bench)
+        turns = bench.template(cleaned).alias("turns")
+        parts.append(cleaned.select(F.lit(name).alias("benchmark"), "item_key", "label", turns).select("benchmark", "item_key", "label", "turns.*"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+PORTUGUESE = (P.SYSTEM_PT, P.CHOICE_USER_PT, P.CHOICE_PREFIX_PT)
+ENGLISH = (P.SYSTEM_EN, P.CHOICE_USER_EN, P.CHOICE_PREFIX_EN)
+CHOICE_FAMILY = {
+    **{n: ("choices", PORTUGUESE) for n in ("bluex", "enem", "oab", "poscomp", "energy_regulacao", "mmlu", "mmlu_hard", "supergpqa")},
+    **{n: ("choices", ENGLISH) for n in ("mmlu_en", "mmlu_redux_en")},
+    "supergpqa_en": (REAL_CHOICES, PORTUGUESE),
+    **{n: ("choices[1:4]", PORTUGUESE) for n in ("include", "mmmlu")},
+}
+OTHER_FAMILY = {
+    **{n: ("choices", PORTUGUESE) for n in ("bluex", "enem", "gpqa_diamond")},
+    "mmlu_en_alt": ("choices", ENGLISH),
+}
+
+
+def choice_family(spark: SparkSession, sf: str) -> DataFrame:
+    """All choice benchmarks, and the descriptors outside a default run."""
+    known = [(n, benchmark(n)) for n in CHOICE_FAMILY] + [(f"other {b.name}", b) for b in UNREGISTERED]
+    return family([(name, bench, choice_source(spark, sf, bench)) for name, bench in known])
+
+
+QUERIES["prompt_choice_all"] = choice_family
+SQL["prompt_choice_all"] = query(
+    " UNION ALL ".join(
+        f"SELECT '{prefix}{name}' AS benchmark, * FROM ({choice_turns_sql('items_choice', texts, *wording)})"
+        for prefix, names in (("", CHOICE_FAMILY), ("other ", OTHER_FAMILY))
+        for name, (texts, wording) in names.items()
+    )
+)
+
+
+def offensive_family(spark: SparkSession, sf: str) -> DataFrame:
+    items = V.items_yes_no(spark, sf)
+    toxic = items.select("item_key", F.col("sentence").alias("text"), (F.col("label") == "1").alias("is_toxic"))
+    rows = {"hatebr": items, "portuguese_hate_speech": items, "toxsyn_pt": toxic}
+    return family([(name, benchmark(name), source) for name, source in rows.items()])
+
+
+QUERIES["prompt_offensive_all"] = offensive_family
+SQL["prompt_offensive_all"] = query(
+    " UNION ALL ".join(
+        f"SELECT '{n}' AS benchmark, * FROM turns_hatebr" for n in ("hatebr", "portuguese_hate_speech", "toxsyn_pt")
+    ),
+    YES_NO_SQL,
+)
+
+
+def integer_family(spark: SparkSession, sf: str) -> DataFrame:
+    items = integer_items(spark, sf)
+    rows = {"aime24": items, "aime25": items.withColumnRenamed("problem_pt", "question_pt")}
+    return family([(name, benchmark(name), source) for name, source in rows.items()])
+
+
+QUERIES["prompt_integer_all"] = integer_family
+SQL["prompt_integer_all"] = query(
+    f"""SELECT benchmark, item_key, label, {quoted(P.SYSTEM_PT)} AS system,
+        {sql_fill(P.INTEGER_USER, problem="problem_pt")} AS "user",
+        'Resposta: ' || label AS with_answer, 'Resposta: ' AS without_answer
+    FROM items_integer, (VALUES ('aime24'), ('aime25')) b(benchmark)"""
+)
+
+
+def choices_from_columns(spark: SparkSession, sf: str) -> DataFrame:
+    """Option columns of which some are null, skipped or kept."""
+    key = F.col("p_partkey")
+    rows = V.table(spark, sf, "part").select(
+        key.alias("item_key"), F.when(key % 3 != 0, F.col("p_brand")).alias("a"), F.col("p_type").alias("b"), F.when(key % 2 == 0, F.col("p_name")).alias("c")
+    )
+    shown = lambda skip: F.array_join(columns_to_texts(["a", "b", "c"], skip), "|", "None")
+    return rows.select("item_key", shown(True).alias("present"), shown(False).alias("every"))
+
+
+QUERIES["choices_from_columns"] = choices_from_columns
+SQL["choices_from_columns"] = """
+SELECT item_key, array_to_string(list_filter(texts, lambda t: t IS NOT NULL), '|') AS present,
+    array_to_string(list_transform(texts, lambda t: coalesce(t, 'None')), '|') AS every
+FROM (SELECT p_partkey AS item_key,
+    [CASE WHEN p_partkey % 3 <> 0 THEN p_brand END, p_type, CASE WHEN p_partkey % 2 = 0 THEN p_name END] AS texts FROM part)"""
+
+
 # --- pieces of a prompt
 
 
@@ -302,11 +407,9 @@ SQL["structured_instruction"] = query(
 
 def shot_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Both benchmarks' items with turns, two experiments of four shots."""
-    yes_no = turns_of(V.items_yes_no(spark, sf), "hatebr").withColumn("benchmark", F.lit("hatebr"))
-    choice = turns_of(statement_items(spark, sf), "oab").withColumn("benchmark", F.lit("oab"))
-    items = with_dense_index(yes_no.unionByName(choice), ["benchmark"], ["item_key"])
-    items = items.withColumn("id_bench", bench_id())
-    return with_shots(items, literal_ranks(spark, PAIR, RANKS), F.struct("id_bench", "turns"))
+    sources = {"hatebr": V.items_yes_no(spark, sf), "oab": statement_items(spark, sf)}
+    items, ranks = staged_items(sources, ["item_key"], 100, spread_ranks)
+    return with_shots(items, ranks, F.struct("id_bench", "turns"), pool=items.where("drawn"))
 
 
 TURNS_SQL = [
@@ -315,7 +418,7 @@ TURNS_SQL = [
     """turns AS (SELECT 'hatebr' AS benchmark, * FROM turns_hatebr UNION ALL SELECT 'oab', * FROM turns_oab)""",
     """placed AS (SELECT *, row_number() OVER (PARTITION BY benchmark ORDER BY item_key) - 1 AS idx,
         count(*) OVER (PARTITION BY benchmark) AS n_rows FROM turns)""",
-    RANKS_SQL,
+    ranks_sql("placed"),
     """with_shots AS (
         SELECT q.benchmark, q.item_key, q.idx, q.label, q.system, q."user", q.without_answer, experiment,
             string_agg('User: ' || s."user" || chr(10) || chr(10) || 'Assistant: ' || s.with_answer,
@@ -323,7 +426,7 @@ TURNS_SQL = [
             string_agg('Shot ' || (pos + 1) || ':' || chr(10) || 'Usuário: ' || s."user" || chr(10)
                 || 'Assistente: ' || s.with_answer, chr(10) || chr(10) ORDER BY pos) AS listed,
             string_agg(s.benchmark || '_' || s.idx, ',' ORDER BY pos) AS shot_indices
-        FROM placed q, ranks r JOIN placed s
+        FROM placed q JOIN ranks r ON r.benchmark = q.benchmark JOIN placed s
             ON s.benchmark = q.benchmark AND s.idx = r.rank + CASE WHEN r.rank < q.idx THEN 0 ELSE 1 END
         GROUP BY ALL)""",
     """prompts AS (
@@ -423,7 +526,7 @@ SQL["prompts_by_listed_model"] = SQL["prompt_for_model"]
 
 
 def prompts_table(spark: SparkSession, sf: str) -> DataFrame:
-    """Job 1 from source tables to the prompts table, with fixed ranks."""
+    """Job 1 from source tables to the prompts table, with computed ranks."""
     sources = {
         "hatebr": V.items_yes_no(spark, sf),
         "oab": statement_items(spark, sf),
@@ -432,13 +535,27 @@ def prompts_table(spark: SparkSession, sf: str) -> DataFrame:
         sources,
         JOB_MODELS,
         order=["item_key"],
-        n_shots=len(RANKS[0]),
-        n_experiments=len(RANKS),
-        ranks=literal_ranks(spark, PAIR, RANKS),
+        n_shots=SHOTS,
+        n_experiments=EXPERIMENTS,
+        ranks=spread_ranks,
     )
     return table.withColumn("shot_indices", F.array_join("shot_indices", ","))
 
 
+def prompts_table_head(spark: SparkSession, sf: str) -> DataFrame:
+    """Job 1 over the first tenth of either benchmark, without shots."""
+    sources = {"hatebr": V.items_yes_no(spark, sf), "oab": statement_items(spark, sf)}
+    table = build_prompts(sources, JOB_MODELS[:1], order=["item_key"], percent=10)
+    return table.select("id", "id_bench", "benchmark", "label")
+
+
+QUERIES["prompts_table_head"] = prompts_table_head
+SQL["prompts_table_head"] = query(
+    """SELECT row_number() OVER (ORDER BY benchmark, idx) - 1 AS id, benchmark || '_' || idx AS id_bench, benchmark, label
+    FROM placed WHERE idx < ceil(n_rows / 10.0)""",
+    *TURNS_SQL[:4],
+)
+
 QUERIES["prompts_table"] = prompts_table
 SQL["prompts_table"] = query(
     """SELECT row_number() OVER (ORDER BY benchmark, idx, experiment) - 1 AS id, id_bench, benchmark,

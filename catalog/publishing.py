@@ -14,7 +14,11 @@ from gabarito.operators.upsert import (
     upsert_board,
     upsert_eval,
 )
+from gabarito.plans.leaderboard import store_board
 from gabarito.registry import AREAS, BOARD, DESCRIPTIONS, board_table
+from gabarito.schemas import EVAL
+from gabarito.sources.tables import read_table
+from gabarito.staging import scratch_path
 
 QUERIES = {}
 SQL = {}
@@ -54,22 +58,23 @@ def upserted_eval(spark: SparkSession, sf: str) -> DataFrame:
     rows = V.answers(spark, sf)
     old = evaluate(rows.where(F.col("item_key") % 2 == 0))
     new = evaluate(rows.where((F.col("model_name") == "beta") & (F.col("benchmark") == "tweetsentbr")))
-    merged = upsert_eval(old.where(F.col("benchmark") != "assin2sts"), new)
-    return V.rounded(merged, ["accuracy"]).select("model_name", "benchmark", "accuracy")
+    return V.rounded(upsert_eval(old, new), EVAL.names[2:])
 
 
 QUERIES["upsert_eval"] = upserted_eval
 SQL["upsert_eval"] = query(
-    """SELECT model_name, benchmark, round(count(*) FILTER (t = parsed_model_answer) / count(*), 6) AS accuracy
-    FROM (SELECT *, label AS t FROM answers) WHERE parsed_model_answer IS NOT NULL AND benchmark <> 'assin2sts'
-        AND CASE WHEN model_name = 'beta' THEN benchmark = 'tweetsentbr' ELSE item_key % 2 = 0 END GROUP BY ALL"""
+    "SELECT model_name, benchmark, " + ", ".join(f"round({c}, 6) AS {c}" for c in EVAL.names[2:]) + " FROM eval_rows"
+).replace(
+    "FROM raw_answers r JOIN descriptors USING (benchmark)",
+    """FROM raw_answers r JOIN descriptors USING (benchmark)
+    WHERE CASE WHEN model_name = 'beta' THEN benchmark = 'tweetsentbr' ELSE item_key % 2 = 0 END""",
 )
 
 
 def board_version(spark: SparkSession, sf: str, divisor: int, version: int) -> DataFrame:
     key = F.col("model_key")
     return V.supplier_models(spark, sf).where(key % divisor == 0).select(
-        F.col("model_name").alias("Modelo"),
+        "model_name",
         (F.col("s_acctbal") + version).alias("score"),
         (key + version * 1000000).alias("seq"),
     )
@@ -85,15 +90,15 @@ def appended_board(spark: SparkSession, sf: str) -> DataFrame:
     return upsert_board(board_version(spark, sf, 2, 1), board_version(spark, sf, 3, 0), overwrite=False)
 
 
-VERSION = """SELECT s_name AS "Modelo", s_acctbal + {v} AS score, s_suppkey + {v} * 1000000 AS seq
+VERSION = """SELECT s_name AS model_name, s_acctbal + {v} AS score, s_suppkey + {v} * 1000000 AS seq
     FROM supplier WHERE s_suppkey % {d} = 0"""
 QUERIES["upsert_board"] = upserted_board
 SQL["upsert_board"] = f"""
 WITH old AS ({VERSION.format(v=1, d=1)} UNION ALL {VERSION.format(v=2, d=2)}), new AS ({VERSION.format(v=0, d=3)})
-SELECT "Modelo", score, seq FROM new UNION ALL
-SELECT "Modelo", score, seq FROM (
-    SELECT *, row_number() OVER (PARTITION BY "Modelo" ORDER BY seq DESC) AS rn FROM old
-    WHERE "Modelo" NOT IN (SELECT "Modelo" FROM new)) WHERE rn = 1"""
+SELECT model_name, score, seq FROM new UNION ALL
+SELECT model_name, score, seq FROM (
+    SELECT *, row_number() OVER (PARTITION BY model_name ORDER BY seq DESC) AS rn FROM old
+    WHERE model_name NOT IN (SELECT model_name FROM new)) WHERE rn = 1"""
 QUERIES["append_board"] = appended_board
 SQL["append_board"] = f"{VERSION.format(v=1, d=2)} UNION ALL {VERSION.format(v=0, d=3)}"
 
@@ -300,7 +305,7 @@ DESCRIPTION_COLUMNS = ",\n".join(
 )
 QUERIES["leaderboard"] = wide_leaderboard
 SQL["leaderboard"] = query(
-    f"""SELECT CASE model_name WHEN 'alpha' THEN 'SFT' ELSE 'Base' END AS "T", model_name AS "Modelo", 'Base' AS "Tipo",
+    f"""SELECT model_name, CASE model_name WHEN 'alpha' THEN 'SFT' ELSE 'Base' END AS "T", model_name AS "Modelo", 'Base' AS "Tipo",
         CAST(NULL AS VARCHAR) AS "Arquitetura", 'Original' AS "Tipo de Peso", CAST(NULL AS VARCHAR) AS "Precisão",
         CASE model_name WHEN 'alpha' THEN 'apache-2.0' ELSE 'unknown' END AS "Licença",
         CASE model_name WHEN 'alpha' THEN 7.0 ELSE 0.0 END::DOUBLE AS "#Params (B)", CAST(0 AS BIGINT) AS "Hub Likes",
@@ -312,6 +317,37 @@ SQL["leaderboard"] = query(
 )
 
 
+def stored_again(spark: SparkSession, sf: str) -> DataFrame:
+    """A board stored twice, kept and overwritten; both models show the same hub id."""
+    answers = V.answers(spark, sf)
+    overrides = spark.createDataFrame([("alpha", "org/alpha"), ("beta", "org/beta")], "model_name string, model_id string")
+    fetched = spark.createDataFrame(
+        [("org/alpha", "hub/shared"), ("org/beta", "hub/shared")], "model_id string, hub_id string"
+    ).withColumns(
+        {c: F.lit(None).cast(kind) for c, kind in [("sha", "string"), ("likes", "long"), ("private", "boolean"), ("license", "string"), ("architectures", "array<string>"), ("precision", "string"), ("params_total", "long"), ("base_model", "array<string>"), ("is_adapter", "boolean")]}
+    )
+    first, second = evaluate(answers.where(F.col("item_key") % 2 == 0)), evaluate(answers)
+    boards = []
+    for overwrite in (False, True):
+        path = scratch_path(spark, "board")
+        for rows in (first, second, second):
+            store_board(spark, rows, path, overrides, overwrite=overwrite, fetched=fetched)
+        stored = read_table(spark, path, B.board_schema())
+        boards.append(stored.select("model_name", "Modelo", F.round(B.OVERALL, 6).alias("overall"), F.lit(overwrite).alias("overwritten")))
+    return boards[0].unionByName(boards[1])
+
+
+QUERIES["board_stored_again"] = stored_again
+OVERALL_SQL = """SELECT model_name, 'hub/shared' AS "Modelo",
+    round(sum(score) FILTER (benchmark IN (SELECT benchmark FROM existing)) / (SELECT count(*) FROM existing), 6) AS overall,
+    {} AS overwritten FROM scores WHERE model_name <> 'gamma' GROUP BY model_name"""
+EVEN = "FROM raw_answers r JOIN descriptors USING (benchmark)"
+SQL["board_stored_again"] = "SELECT * FROM ({}) UNION ALL SELECT * FROM ({})".format(
+    query(OVERALL_SQL.format("false")).replace(EVEN, f"{EVEN} WHERE item_key % 2 = 0"),
+    query(OVERALL_SQL.format("true")),
+)
+
+
 def run_summary(spark: SparkSession, sf: str) -> DataFrame:
     models = V.supplier_models(spark, sf).select("model_name")
     return B.run_summary(models, board_version(spark, sf, 3, 1), V.metadata_overrides(spark, sf))

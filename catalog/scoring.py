@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from catalog import views as V
 from catalog.sql import parse, query
-from gabarito.functions.parsers import PARSERS, integer_math
+from gabarito.functions.parsers import PARSERS
 from gabarito.operators import metrics as M
 from gabarito.operators.infer import parse_answers
 from gabarito.schemas import EVAL, METRICS
@@ -95,13 +95,13 @@ def parse_free_text(spark: SparkSession, sf: str) -> DataFrame:
     """All five parsers on whole documents, the longest and least regular texts at hand."""
     text = F.col("text")
     return V.table(spark, sf, "documents").select(
-        "doc_id", *[parse(text).alias(name) for name, parse in PARSERS.items() if parse is not integer_math]
+        "doc_id", *[parse(text).alias(name) for name, parse in PARSERS.items()]
     )
 
 
 QUERIES["parse_free_text"] = parse_free_text
 SQL["parse_free_text"] = "SELECT doc_id, " + ", ".join(
-    f"{parse(p, 'text')} AS {p}" for p in PARSERS if p != "integer_exact_math"
+    f"{parse(p, 'text')} AS {p}" for p in PARSERS
 ) + " FROM documents"
 
 

@@ -17,12 +17,12 @@ PARSE = {
     "multiple_choice_full_word": r"""CASE WHEN regexp_matches({t}, '\S') THEN
         upper(substr(regexp_replace(regexp_extract({t}, '\S+'), '[.,!?;:]+$', ''), 1, 1)) ||
         lower(substr(regexp_replace(regexp_extract({t}, '\S+'), '[.,!?;:]+$', ''), 2)) END""",
-    "continue_value": r"nullif(replace(regexp_extract({t}, '\d+([\.,]?\d+)?'), ',', '.'), '')",
+    "continue_value": r"nullif(replace(regexp_extract(translate({t}, '０１２３４５６７８９', '0123456789'), '\d+([\.,]?\d+)?'), ',', '.'), '')",
     "integer_exact_math": r"""CAST(TRY_CAST(nullif(regexp_extract(
         replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
-            {t}, '\\\(|\\\)|\\\[|\\\]', '', 'g'), '\$+', '', 'g'), '\\mathrm\{{|\}}', '', 'g'),
+            translate({t}, '０１２３４５６７８９', '0123456789'), '\\\(|\\\)|\\\[|\\\]', '', 'g'), '\$+', '', 'g'), '\\mathrm\{{|\}}', '', 'g'),
             '\^\s*\\?circ|\\(deg|circ)', '', 'g'), '°', ''),
-        '[-+]?\d+'), '') AS BIGINT) AS VARCHAR)""",
+        '[-+]?\d+'), '') AS HUGEINT) AS VARCHAR)""",
 }
 
 
@@ -87,6 +87,7 @@ raw_tone AS (
 raw_number AS (
     SELECT 'assin2sts' AS benchmark, item_key, label, model_name,
         CASE WHEN h = 9 THEN NULL WHEN h = 8 THEN 'sem valor'
+            WHEN h = 6 THEN translate(CAST(x // 100 AS VARCHAR) || '.' || lpad(CAST(x % 100 AS VARCHAR), 2, '0'), '0123456789', '０１２３４５６７８９')
             WHEN h = 7 THEN CAST(x // 100 AS VARCHAR) || ',' || lpad(CAST(x % 100 AS VARCHAR), 2, '0')
             ELSE 'valor ' || CAST(x // 100 AS VARCHAR) || '.' || lpad(CAST(x % 100 AS VARCHAR), 2, '0')
         END AS model_answer
@@ -95,7 +96,7 @@ raw_number AS (
 raw_integer AS (
     SELECT 'aime24' AS benchmark, item_key, label, model_name,
         CASE WHEN h = 9 THEN NULL WHEN h = 4 THEN '\(' || label || '^\circ\)'
-            WHEN h = 5 THEN '$0' || label || '$' WHEN h = 6 THEN label || '.0'
+            WHEN h = 5 THEN translate('$0' || label || '$', '0123456789', '０１２３４５６７８９') WHEN h = 6 THEN label || '.0'
             WHEN h = 7 THEN CAST(CAST(label AS INTEGER) + 1 AS VARCHAR) WHEN h = 8 THEN 'x'
             ELSE label END AS model_answer
     FROM (SELECT *, (item_key * 7 + m * 13) % 10 AS h FROM items_integer, models)),

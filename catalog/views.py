@@ -97,6 +97,11 @@ def two_decimals(hundredths: Column, point: str = ".") -> Column:
     return F.concat(whole, F.lit(point), F.lpad(F.pmod(hundredths, F.lit(100)).cast("string"), 2, "0"))
 
 
+def wide_digits(text: Column) -> Column:
+    """Digits of another script."""
+    return F.translate(text, "0123456789", "０１２３４５６７８９")
+
+
 def answer_text(benchmark: str, h: Column, m: Column) -> Column:
     """Ten answer forms per benchmark, right, odd, wrong, unreadable and missing."""
     label = F.col("label")
@@ -127,11 +132,11 @@ def answer_text(benchmark: str, h: Column, m: Column) -> Column:
         return by_form(F.concat(label, F.lit(".")), forms)
     if benchmark == "assin2sts":
         x = F.col("hundredths") + m * 700 + h * 100
-        forms = {7: two_decimals(x, ","), 8: F.lit("sem valor")}
+        forms = {6: wide_digits(two_decimals(x)), 7: two_decimals(x, ","), 8: F.lit("sem valor")}
         return by_form(F.concat(F.lit("valor "), two_decimals(x)), forms)
     forms = {
         4: F.concat(F.lit("\\("), label, F.lit("^\\circ\\)")),
-        5: F.concat(F.lit("$0"), label, F.lit("$")),
+        5: wide_digits(F.concat(F.lit("$0"), label, F.lit("$"))),
         6: F.concat(label, F.lit(".0")),
         7: (label.cast("int") + 1).cast("string"),
         8: F.lit("x"),

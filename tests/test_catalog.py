@@ -17,9 +17,6 @@ SQL = {name: sql for name, sql in contract.oracle_sql().items() if name in OWN}
 
 pytestmark = pytest.mark.skipif(not TABLES, reason="no test tables here")
 
-# Draws that SQL cannot repeat; tests/test_index_shots.py checks them against plain Python.
-WITHOUT_SQL = {"fewshot_seeded", "fewshot_per_row"}
-
 
 @pytest.fixture(scope="module")
 def duck():
@@ -30,7 +27,7 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(SQL) == set(QUERIES) - WITHOUT_SQL
+    assert set(SQL) == set(QUERIES)
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
@@ -46,11 +43,6 @@ def test_query_equals_sql(spark, duck, name):
     assert got
 
 
-@pytest.mark.parametrize("name", sorted(WITHOUT_SQL))
-def test_query_without_sql_runs(spark, name):
-    assert QUERIES[name](spark, str(DATA)).count() > 0
-
-
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 

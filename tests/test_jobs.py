@@ -251,3 +251,127 @@ def test_prompts_survive_csv(spark, tmp_path):
     df = spark.createDataFrame(rows, PROMPTS)
     C.write_csv(df, str(tmp_path / "p"))
     assert sorted(C.read_csv(spark, str(tmp_path / "p"), PROMPTS).collect()) == sorted(df.collect())
+
+
+def counted(spark, calls, scorer=None):
+    """A scorer that counts the prompts it is given."""
+
+    def score(path, prompts):
+        calls.add(len(prompts))
+        return scorer(path, prompts) if scorer else ["Sim"] * len(prompts)
+
+    return score
+
+
+def few_prompts(spark, n=10):
+    rows = [(i, f"hatebr_{i}", "hatebr", f'{{"tok_instruct": {{"prompt": "p{i}", "models": ["org/m"]}}}}', [], "1") for i in range(n)]
+    return spark.createDataFrame(rows, PROMPTS)
+
+
+@pytest.mark.parametrize("store", ["by_pair", "by_model", "export"])
+def test_every_prompt_is_scored_once(spark, tmp_path, store):
+    calls = spark.sparkContext.accumulator(0)
+    answers = answers_table(few_prompts(spark), ["org/m"], counted(spark, calls))
+    path = str(tmp_path / "a")
+    if store == "by_pair":
+        store_answers(answers, path)
+    elif store == "by_model":
+        store_answers_by_model(spark, answers, path)
+        assert calls.value == 10
+        store_answers_by_model(spark, answers, path)
+        calls.add(-10)
+    else:
+        export_answers(answers, path)
+    assert calls.value == 10
+
+
+def test_good_rows_are_never_called_again(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def score(path, prompts):
+        seen.add(sum(p == "good" for p in prompts))
+        return [ValueError("busy") if p == "bad" else p for p in prompts]
+
+    df = spark.createDataFrame([(i, "m", "bad" if i == 3 else "good") for i in range(6)], "id int, model_path string, prompt string")
+    got = {r.id: (r.model_answer, r.error) for r in I.score_batches(df.coalesce(1), score, 6).collect()}
+    assert got[3] == (None, "busy") and got[0] == ("good", None)
+    assert seen.value == 5
+
+
+def test_programming_errors_fail_the_job(spark):
+    def score(path, prompts):
+        return [p.missing_method() for p in prompts]
+
+    df = spark.createDataFrame([(1, "m", "x")], "id int, model_path string, prompt string")
+    with pytest.raises(PySparkException, match="missing_method"):
+        I.score_batches(df, score, 6).collect()
+
+
+def test_replacing_a_model_leaves_other_files_alone(spark, tmp_path):
+    path = tmp_path / "a"
+    rows = stored("m", "oab", 3) + stored("m", "enem", 2) + stored("k", "oab", 2)
+    store_answers_by_model(spark, spark.createDataFrame(rows, ANSWERS), str(path))
+    others = {p: p.stat().st_mtime_ns for p in (path / "model_name=k").rglob("*.parquet")}
+    store_answers_by_model(spark, spark.createDataFrame(stored("m", "oab", 1), ANSWERS), str(path))
+    assert others and {p: p.stat().st_mtime_ns for p in others} == others
+    assert not list((path / "model_name=m" / "benchmark=enem").glob("*.parquet"))
+    assert S.read_table(spark, str(path), ANSWERS).where("model_name = 'm'").count() == 1
+
+
+def test_export_numbers_gappy_ids(spark, tmp_path):
+    rows = [r for r in stored("m", "oab", 5) if r[0] != 2] + stored("k", "enem", 2)
+    export_answers(spark.createDataFrame(rows, ANSWERS), str(tmp_path / "e"))
+    back = C.read_csv(spark, str(tmp_path / "e"), ANSWERS).orderBy("id").collect()
+    assert [(r.id, r.id_bench) for r in back] == [(1, "enem_0"), (2, "enem_1"), (3, "oab_0"), (4, "oab_1"), (5, "oab_3"), (6, "oab_4")]
+
+
+def test_boards_with_hub_ids_do_not_multiply(spark, tmp_path):
+    evals = spark.createDataFrame([("one", "oab", 0.5, None, None, None, None, 0.0, 0.0), ("two", "oab", 0.7, None, None, None, None, 0.0, 0.0)], EVAL)
+    overrides = spark.createDataFrame([("one", "org/one"), ("two", "org/two")], "model_name string, model_id string")
+    hub = "model_id string, hub_id string, sha string, likes long, private boolean, license string, architectures array<string>, "
+    hub += "precision string, params_total long, base_model array<string>, is_adapter boolean"
+    fetched = spark.createDataFrame([(m, "hub/same", *[None] * 9) for m in ("org/one", "org/two")], hub)
+    path = str(tmp_path / "board")
+    for overwrite in (False, False, False, True):
+        store_board(spark, evals, path, overrides, overwrite=overwrite, fetched=fetched)
+        rows = S.read_table(spark, path).collect()
+        assert sorted((r.model_name, r.Modelo, r.OAB) for r in rows) == [("one", "hub/same", 0.5), ("two", "hub/same", 0.7)]
+
+
+def test_job_one_reads_its_sources_once(spark):
+    from gabarito.plans.prompts import build_prompts
+
+    read = spark.sparkContext.accumulator(0)
+
+    def counting(pages):
+        for page in pages:
+            read.add(len(page))
+            yield page
+
+    rows = spark.createDataFrame([(i, f"s{i}", str(i % 2)) for i in range(50)], "item_key long, sentence string, label string")
+    source = rows.mapInPandas(counting, rows.schema)
+    build_prompts({"hatebr": source}, MODELS, order=["item_key"], n_shots=2).count()
+    assert read.value == 50
+    head = build_prompts({"hatebr": source}, MODELS, order=["item_key"], percent=10)
+    assert sorted(r.id for r in head.select("id").collect()) == list(range(5))
+    assert read.value <= 150  # the keys, then the head
+
+
+def test_null_benchmarks_fail_and_null_models_stay(spark):
+    from gabarito.operators.clean import exclude_models
+    from gabarito.operators.metrics import evaluate
+
+    rows = spark.createDataFrame([("m", "hatebr", "1", "1"), ("m", None, "1", "1")], "model_name string, benchmark string, label string, parsed_model_answer string")
+    with pytest.raises(PySparkException, match="unknown benchmark: null"):
+        evaluate(rows).collect()
+    names = spark.createDataFrame([("a",), (None,), ("b",)], "model_name string")
+    assert sorted(map(str, (r[0] for r in exclude_models(names, ["a"]).collect()))) == ["None", "b"]
+
+
+def test_failed_replacement_names_its_copy(spark, tmp_path, monkeypatch):
+    df = spark.range(3)
+    target = tmp_path / "t"
+    target.write_text("a file where the folder should be")
+    with pytest.raises(RuntimeError, match="its new rows are in") as problem:
+        S.replace_table(df, f"{target}/below")
+    assert spark.read.parquet(str(problem.value).rsplit(" ", 1)[-1]).count() == 3
