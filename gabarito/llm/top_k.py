@@ -28,8 +28,15 @@ SLACK = 1e-6
 EXACT = 2.0**52  # sums of products below this are exact in floating point
 
 MATRIX = "dimension int, width int, longest double, ids binary, values binary"
-NAMES = [x.split()[0] for x in MATRIX.split(", ")]
-TYPES = [pa.int32(), pa.int32(), pa.float64(), pa.binary(), pa.binary()]
+SEEDED = "dimension int, width int, ids binary, values binary, thresholds binary, reach double"
+FOUND = "query_id long, vec_id long, score long"
+ARROW = {"int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "binary": pa.binary()}
+
+
+def batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    """Rows of a table whose columns are declared like `a int, b binary`."""
+    fields = [pa.field(name, ARROW[kind]) for name, kind in (f.split() for f in schema.split(", "))]
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), fields)], schema=pa.schema(fields))
 
 
 def integer_vectors(df: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
@@ -63,17 +70,13 @@ def matrices(rows: DataFrame, per: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list] = {}
-
-        def out(dimension: int) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(stored(held.pop(dimension)), TYPES)], names=NAMES)
-
-        for batch in batches:
-            for vec_id, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        for part in batches:
+            for vec_id, v in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                 held.setdefault(len(v), []).append((vec_id, v))
                 if len(held[len(v)]) == per:
-                    yield out(len(v))
-        for dimension in list(held):
-            yield out(dimension)
+                    yield batch([stored(held.pop(len(v)))], MATRIX)
+        for left in held.values():
+            yield batch([stored(left)], MATRIX)
 
     return rows.select("vec_id", "v").mapInArrow(run, MATRIX)
 
@@ -171,18 +174,16 @@ def top_products(
     parts = max(1, -(-vectors.count() // ROWS_PER_PARTITION))
     by_length = vectors.repartitionByRange(parts, F.desc("length"), F.col("vec_id"))
     by_length = by_length.sortWithinPartitions(F.desc("length"), "vec_id")
-    buckets = staged(matrices(by_length, BUCKET_ROWS), "buckets").withColumn("bucket", F.monotonically_increasing_id())
-    buckets = buckets.toDF("dimension", "width", "longest", "ids", "values", "bucket")
+    buckets = staged(matrices(by_length, BUCKET_ROWS).withColumn("bucket", F.monotonically_increasing_id()), "buckets")
     queries = vectors.where(F.col("vec_id") % query_every == 0)
     blocks = matrices(queries.coalesce(max(1, parts // 4)), BLOCK_QUERIES)
 
     # Thresholds from the bucket of the longest vectors of the dimension.
     seeds = buckets.groupBy("dimension").agg(F.max_by(F.struct("ids", "values", "width"), "longest").alias("seed"))
-    seeded = "dimension int, width int, ids binary, values binary, thresholds binary, reach double"
 
     def with_thresholds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for r in batch.to_pylist():
+        for part in batches:
+            for r in part.to_pylist():
                 query_ids, q = loaded(r["ids"], r["values"], r["width"], r["dimension"])
                 ids, v = loaded(r["seed"]["ids"], r["seed"]["values"], r["seed"]["width"], r["dimension"])
                 scores = products(q, v).astype(np.float64)
@@ -191,14 +192,10 @@ def top_products(
                 theta = ordered[:, k - 1] if len(ids) >= k else np.full(len(q), -np.inf)
                 with np.errstate(divide="ignore", invalid="ignore"):
                     reach = np.where(theta > 0, theta / lengths(q), -np.inf).min()
-                row = (r["dimension"], r["width"], r["ids"], r["values"], theta.tobytes(), float(reach))
-                names = [x.split()[0] for x in seeded.split(", ")]
-                yield pa.RecordBatch.from_arrays([pa.array([x]) for x in row], names=names).cast(
-                    pa.schema([pa.field(n, t) for n, t in zip(names, [pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.float64()])])
-                )
+                yield batch([(r["dimension"], r["width"], r["ids"], r["values"], theta.tobytes(), float(reach))], SEEDED)
 
-    blocks = staged(blocks.join(seeds, "dimension").mapInArrow(with_thresholds, seeded), "queries")
-    blocks = blocks.withColumn("block", F.monotonically_increasing_id())
+    blocks = blocks.join(seeds, "dimension").mapInArrow(with_thresholds, SEEDED)
+    blocks = staged(blocks.withColumn("block", F.monotonically_increasing_id()), "queries")
 
     # Blocks meet the buckets that are long enough for one of their queries.
     pairs = blocks.select("dimension", "block", "reach").join(buckets.select("dimension", "bucket", "longest"), "dimension")
@@ -207,17 +204,15 @@ def top_products(
     met = pairs.join(blocks.drop("reach"), "block").join(renamed, "bucket")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(batch.num_rows):
-                (r,) = batch.slice(at, 1).to_pylist()
+        for part in batches:
+            for at in range(part.num_rows):
+                (r,) = part.slice(at, 1).to_pylist()
                 query_ids, q = loaded(r["ids"], r["values"], r["width"], r["dimension"])
                 ids, v = loaded(r["v_ids"], r["v_values"], r["v_width"], r["dimension"])
                 found = searched(query_ids, q, np.frombuffer(r["thresholds"]), ids, v, k)
                 if found:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, pa.int64()) for c in zip(*found)], names=["query_id", "vec_id", "score"]
-                    )
+                    yield batch(found, FOUND)
 
-    found = met.mapInArrow(search, "query_id long, vec_id long, score long")
+    found = met.mapInArrow(search, FOUND)
     place = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
