@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructField, StructType
 
 PACKAGE = Path(__file__).resolve().parent.parent
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 SLICE_ROWS = 4096
 
 _shipped: set[str] = set()

@@ -32,7 +32,7 @@ WORDS = 5
 PERCENT = (75, 100)
 BLOCKS = 64  # hash ranges, at least
 SHINGLES_PER_BLOCK = 8_000_000
-SHINGLES_PER_FLUSH = 1_500_000
+SHINGLES_PER_FLUSH = 1_000_000
 CLASS_BYTES = 12
 NEIGHBOURS = 128  # classes compared with each other in one neighbourhood
 BLOCK_ROWS = 256  # classes of one side of a block
@@ -46,7 +46,7 @@ class WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        if len(self) > 300_000:
+        if len(self) > 150_000:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value
@@ -198,6 +198,7 @@ def by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np
         parts = [entries(r) for r in held]
         classes, number = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
         starts = np.cumsum([0] + [len(p[0]) for p in parts])
+        number = number.astype(np.int32)
         owners = np.concatenate([number[s + p[2].astype(np.int64)] for s, p in zip(starts, parts)])
         return classes, np.concatenate([p[1] for p in parts]), owners, np.concatenate([p[3] for p in parts])
 

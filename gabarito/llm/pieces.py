@@ -7,7 +7,6 @@ never crosses into the next word, so words are encoded on their own and remember
 """
 
 import gc
-import hashlib
 import heapq
 import re
 from collections.abc import Callable
@@ -20,7 +19,7 @@ from gabarito.llm.common import append_columns
 
 MARK = "▁"
 WORD = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
-REMEMBERED = 250_000  # words, and as many parts of words, in each of a worker's two memories
+REMEMBERED = 250_000  # words in each of a task's two memories
 SHORT = 48
 NEVER = 1 << 60
 PLACE_BITS = 40
@@ -49,14 +48,6 @@ class MergeVocabulary:
         self.unknown = lib.unk_id()
         order = {score: n for n, score in enumerate(sorted(set(self.scores.values()), reverse=True))}
         self.ranks = {piece: order[score] for piece, score in self.scores.items()}
-        joint = {a + b for piece in self.scores for a, b in zip(piece, piece[1:])}
-        self.joint = joint  # neighbouring characters that some merge may bring together
-
-    def parts(self, word: str) -> list[str]:
-        """`word` cut where no piece holds both neighbours, so that no merge crosses a cut."""
-        joint = self.joint
-        cuts = [i for i in range(1, len(word)) if word[i - 1 : i + 1] not in joint]
-        return [word[i:j] for i, j in zip([0, *cuts], [*cuts, len(word)])] if cuts else [word]
 
     def merge_short(self, part: str) -> list[str]:
         """The agenda as a plain list of ranks by place: its least entry, the leftmost of equals, is merged."""
@@ -113,18 +104,18 @@ class MergeVocabulary:
             place = after[place]
         return out
 
-    def encode_part(self, part: str) -> list[int]:
+    def encode_word(self, word: str) -> tuple[int, ...]:
         """Ids of the symbols that remain; one without an id is spelled in bytes."""
-        out = []
-        for symbol in self.merge_short(part) if len(part) <= SHORT else self.merge_long(part):
-            found = self.ids.get(symbol)
-            if found is not None:
-                out.append(found)
-            elif self.bytes:
-                out.extend(self.bytes[b] for b in symbol.encode())
-            else:
-                out.append(self.unknown)
-        return out
+        symbols = self.merge_short(word) if len(word) <= SHORT else self.merge_long(word)
+        try:
+            return tuple([self.ids[s] for s in symbols])
+        except KeyError:
+            return tuple([i for s in symbols for i in self.spelled(s)])
+
+    def spelled(self, symbol: str) -> list[int]:
+        if symbol in self.ids:
+            return [self.ids[symbol]]
+        return [self.bytes[b] for b in symbol.encode()] if self.bytes else [self.unknown]
 
 
 class Encoder:
@@ -136,32 +127,18 @@ class Encoder:
         # What was met lately, and what was met before that: a full memory becomes the older one.
         self.known: dict[str, tuple[int, ...]] = {}
         self.known_before: dict[str, tuple[int, ...]] = {}
-        self.parts: dict[str, tuple[int, ...]] = {}
-        self.parts_before: dict[str, tuple[int, ...]] = {}
-
-    def encode_word(self, word: str) -> tuple[int, ...]:
-        ids: list[int] = []
-        for part in self.vocabulary.parts(word):
-            found = self.parts.get(part)
-            if found is None:
-                found = self.parts_before.get(part) or tuple(self.vocabulary.encode_part(part))
-                self.parts[part] = found
-            ids += found
-        return tuple(ids)
 
     def learn(self, words: set[str]) -> None:
         """Encode the new words and compare them with the library."""
         if len(self.known) > REMEMBERED:
             self.known, self.known_before = {}, self.known
-        if len(self.parts) > REMEMBERED:
-            self.parts, self.parts_before = {}, self.parts
         known, before, fresh = self.known, self.known_before.get, []
         for word in words:
             if word not in known:
                 found = before(word)
                 if found is None:
                     fresh.append(word)
-                    found = self.encode_word(word)
+                    found = self.vocabulary.encode_word(word)
                 known[word] = found
         if self.check:
             # The library puts one mark before a text; a word's own first mark stands for it.
@@ -180,18 +157,6 @@ class Encoder:
         return self.vocabulary.library.decode(ids) if ids else []
 
 
-_encoders: dict[tuple[bytes, bool], Encoder] = {}
-
-
-def worker_encoder(model: bytes, check: bool) -> Encoder:
-    """The encoder of this Python worker, which keeps its words from task to task."""
-    key = (hashlib.sha256(model).digest(), check)
-    if key not in _encoders:
-        _encoders.clear()
-        _encoders[key] = Encoder(model, check)
-    return _encoders[key]
-
-
 def encode_texts(
     df: DataFrame,
     model_path: str,
@@ -211,7 +176,7 @@ def encode_texts(
         model = df.sparkSession.sparkContext.broadcast(f.read())
 
     def start() -> Callable[[list], list]:
-        encoder = worker_encoder(model.value, check)
+        encoder = Encoder(model.value, check)  # a task's own: idle workers hold no words
 
         def compute(texts: list) -> list:
             # Nothing here is cyclic, and the collector would walk the remembered words again and again.

@@ -20,7 +20,7 @@ from gabarito.llm.common import append_columns
 MARK = "▁"
 PRE_TOKEN = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 UNKNOWN_PENALTY = 10.0  # below the worst piece, as the library has it
-REMEMBERED = 300_000  # terminal counts in each of a worker's two memories
+REMEMBERED = 200_000  # terminal counts in each of a task's two memories
 FIELDS = [StructField("n_pretokens", LongType()), StructField("n_tokens", LongType())]
 
 
@@ -108,17 +108,6 @@ class Trie:
         return [(len(words), sum(map(terminal.__getitem__, words))) for words in split]
 
 
-_tries: dict[bytes, Trie] = {}
-
-
-def worker_trie(model: bytes) -> Trie:
-    """The trie of this Python worker, which keeps terminal counts from task to task."""
-    if model not in _tries:
-        _tries.clear()
-        _tries[model] = Trie(Unigram(model))
-    return _tries[model]
-
-
 def count_tokens(df: DataFrame, model_path: str, text_col: str = "text", keep_text: bool = True) -> DataFrame:
     """`df` with `n_pretokens` and `n_tokens` of every whole text.
 
@@ -131,7 +120,7 @@ def count_tokens(df: DataFrame, model_path: str, text_col: str = "text", keep_te
         model = df.sparkSession.sparkContext.broadcast(f.read())
 
     def start() -> Callable[[list], list]:
-        trie = worker_trie(model.value)
+        trie = Trie(Unigram(model.value))  # a task's own: idle workers hold no words
 
         def compute(texts: list) -> list:
             # Nothing here is cyclic, and the collector would walk the trie again and again.
