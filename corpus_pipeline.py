@@ -19,7 +19,7 @@ from gabarito.llm.queries import PIECES, digest
 from gabarito.llm.secret_scan import redacted, scan_secrets
 from gabarito.staging import scratch_path, small_join
 
-LEAST_SCORE = 0.4  # of the language network; labelled documents of four languages lie above
+LEAST_SCORE = 0.3  # of the language network; a short clean text in a known language lies above
 
 
 def keeping(docs: DataFrame, names: list[str], stage: Callable[[DataFrame], DataFrame]) -> DataFrame:
