@@ -3,7 +3,8 @@
 Encoding is the score-ordered agenda: all adjacent symbol pairs whose join is in the vocabulary
 wait in a heap, the best score (then the leftmost) is merged first, and a merge offers its two
 new neighbours. As no entry of the vocabulary has a word mark after another character, a merge
-never crosses into the next word, so words are encoded on their own and remembered.
+never crosses into the next word, so words are encoded on their own and remembered. Where no
+entry has another character after a letter either, words are cut there, too.
 """
 
 import gc
@@ -19,6 +20,10 @@ from gabarito.llm.common import append_columns
 
 MARK = "▁"
 WORD = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
+# The same, cut after each run of Latin letters as well.
+LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
+LETTERS_END = re.compile(f"[{LETTERS}][^{LETTERS}{MARK}]")
+SHORT_WORD = re.compile(f"{MARK}*[^{LETTERS}{MARK}]*[{LETTERS}]+|{MARK}*[^{LETTERS}{MARK}]+|{MARK}+")
 REMEMBERED = 250_000  # words in each of a task's two memories
 SHORT = 48
 NEVER = 1 << 60
@@ -46,6 +51,7 @@ class MergeVocabulary:
         if any(MARK in p.lstrip(MARK) for p in self.scores):
             raise ValueError("a piece has a word mark after another character")
         self.unknown = lib.unk_id()
+        self.word = WORD if any(map(LETTERS_END.search, self.scores)) else SHORT_WORD
         order = {score: n for n, score in enumerate(sorted(set(self.scores.values()), reverse=True))}
         self.ranks = {piece: order[score] for piece, score in self.scores.items()}
 
@@ -119,7 +125,11 @@ class MergeVocabulary:
 
 
 class Encoder:
-    """Encodes whole texts; a word is encoded, and compared with the library, when it is new."""
+    """Encodes whole texts; a word is encoded when it is new.
+
+    With `check`, new words that begin with a mark are compared with the library in batches, and
+    so is the first whole text of each batch.
+    """
 
     def __init__(self, model: bytes, check: bool = True):
         self.vocabulary = MergeVocabulary(model)
@@ -142,16 +152,20 @@ class Encoder:
                 known[word] = found
         if self.check:
             # The library puts one mark before a text; a word's own first mark stands for it.
-            own = [w for w in fresh if w != MARK]
+            own = [w for w in fresh if w[0] == MARK and w != MARK]
             for word, ids in zip(own, self.vocabulary.library.encode([w[1:] for w in own], num_threads=1)):
                 if tuple(ids) != known[word]:
                     raise ValueError(f"agenda and library differ on {word!r}: {known[word]} / {ids}")
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        words = [WORD.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
+        cut = self.vocabulary.word.findall
+        words = [cut(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
         self.learn({w for ws in words for w in ws})
         ids_of = self.known.__getitem__
-        return [list(chain.from_iterable(map(ids_of, ws))) for ws in words]
+        out = [list(chain.from_iterable(map(ids_of, ws))) for ws in words]
+        if self.check and texts and self.vocabulary.library.encode(texts[0]) != out[0]:
+            raise ValueError(f"agenda and library differ on a text that begins {texts[0][:80]!r}")
+        return out
 
     def decode(self, ids: list[list[int]]) -> list[str]:
         return self.vocabulary.library.decode(ids) if ids else []
@@ -168,8 +182,8 @@ def encode_texts(
 
     Null texts count as empty: no ids, empty decoded text. Texts of any length are encoded
     whole. Repeated rows stay. Columns named `ids` or `decoded` give way. An empty table gives
-    no rows. With `check`, every distinct word a task meets is also encoded by the library in
-    batches, and a difference fails the job. The model must be merge-type without unused
+    no rows. With `check`, the distinct words that a task meets after a blank, and a whole text
+    of each batch, are also encoded by the library, and a difference fails the job. The model must be merge-type without unused
     pieces; its file is read once here and sent to the tasks.
     """
     with open(model_path, "rb") as f:
