@@ -89,7 +89,9 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
             clean["n_chars"] = F.when(touched, F.length(redacted())).otherwise(F.col("n_chars")).cast(rows.schema["n_chars"].dataType)
         return found.withColumns(clean)
 
-    return keeping(docs, ["spans"], stage)
+    # The scan's result and its own working columns.
+    names = ["spans", "_row", "_base", "_candidates", "_verdicts", "_owner", "_repository"]
+    return keeping(docs, names, stage)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
