@@ -9,10 +9,11 @@ positional and suffix filters thin the candidates, and a pair is verified once.
    their hash range, which counts the classes of each. A shingle of one class links nothing.
 3. `_lists`: the shared shingles of a class come back together, in rare-first order. Shingles of
    one class fill a prefix first, so most classes have nothing left to look for and drop out.
-4. Classes are gathered into neighbourhoods by the prefix shingles they share, and linked in
-   pieces of bounded size. Copies of one text find each other here, without all their pairs.
-5. What is neither connected nor compared yet is compared in blocks of bounded size: the pieces
-   of a neighbourhood, then neighbourhoods that share a prefix shingle.
+4. Classes are gathered into neighbourhoods by the prefix shingles they share. All pairs of a
+   neighbourhood are verified, in blocks of two pieces of bounded size.
+5. Pairs that share a prefix shingle across neighbourhoods are verified in such blocks too, at the
+   first shingle that their prefixes share. So every candidate pair is verified once.
+6. A block counts the links of its classes and connects them, so no table of pairs is written.
 """
 
 from collections.abc import Iterator
@@ -34,8 +35,8 @@ BLOCKS = 64  # hash ranges, at least
 SHINGLES_PER_BLOCK = 8_000_000
 SHINGLES_PER_FLUSH = 1_000_000
 CLASS_BYTES = 12
-NEIGHBOURS = 128  # classes compared with each other in one neighbourhood
-BLOCK_ROWS = 256  # classes of one side of a block
+NEIGHBOURS = 512  # classes of a piece of a neighbourhood
+BLOCK_ROWS = 256  # classes of one side of a block of a shingle
 SET_BYTES = 4 << 20  # and the bytes of their sets
 ROUNDS = 3  # of gathering classes into neighbourhoods
 
@@ -346,74 +347,64 @@ class Ranked:
         return rows[(bound >= least) & (b * overlap >= a * union)]  # suffix, then the exact test
 
 
-class Union:
-    def __init__(self, keys: list[int]):
-        self.root = {k: k for k in keys}
+LINK = "a long, b long, n_links long"
+LINK_NAMES = [x.split()[0] for x in LINK.split(", ")]
 
-    def find(self, k: int) -> int:
-        while self.root[k] != k:
-            self.root[k] = self.root[self.root[k]]
-            k = self.root[k]
-        return k
 
-    def join(self, a: int, b: int) -> bool:
-        a, b = self.find(a), self.find(b)
-        self.root[max(a, b)] = min(a, b)
-        return a != b
+class Linked:
+    """Links among the classes of one block, which are numbered in order of `cid`."""
 
-
-LINK = "a long, b long"
-AT_ONCE = 32
-
-
-def stars(union: Union) -> list[tuple[int, int]]:
-    """Every member that is not the smallest of its set, with the smallest."""
-    return [(k, root) for k in union.root if (root := union.find(k)) != k]
-
-
-def linked_in(rows: list[dict]) -> list[tuple[int, int]]:
-    """Classes of one neighbourhood, each with the smallest one that it is connected with there."""
-    sets = Ranked(rows)
-    union = Union(sets.ids)
-    order = np.argsort(sets.n, kind="stable")
-    for i, x in enumerate(order.tolist()):
-        left = order[:i]
-        while len(left):
-            mine = union.find(sets.ids[x])
-            left = left[[union.find(sets.ids[y]) != mine for y in left.tolist()]]
-            for y in sets.similar(x, left[:AT_ONCE]).tolist():
-                union.join(sets.ids[x], sets.ids[y])
-            left = left[AT_ONCE:]
-    return stars(union)
-
-
-def linked_across(rows: list[dict], only_rank: bool = False) -> list[tuple[int, int]]:
-    """Components joined by links between the left and the right rows of one block.
-
-    Rows with equal `compared` have met before. With `only_rank` the key is a shingle, and a
-    pair counts only if it is the first that their prefixes share.
+    def __init__(self, rows: list[dict]):
+        self.rows = sorted({r["cid"]: r for r in rows}.values(), key=lambda r: r["cid"])
+        self.sets = Ranked(self.rows)
+        self.copies = np.array([r["copies"] for r in self.rows], np.int64)
+        self.n_links = np.zeros(len(self.rows), np.int64)
+        self.least = np.arange(len(self.rows))
+
+    def verify(self, x: int, others: np.ndarray, only_rank: int | None = None) -> None:
+        if not len(others):
+            return
+        found = self.sets.similar(x, others, only_rank)
+        if not len(found):
+            return
+        self.n_links[x] += self.copies[found].sum()
+        self.n_links[found] += self.copies[x]
+        met = np.unique(np.append(self.least[found], self.least[x]))
+        if len(met) > 1:
+            self.least[np.isin(self.least, met)] = met[0]
+
+    def out(self) -> list[tuple[int, int, int]]:
+        """Every class with links, the least one it is connected with here, and the rows it links with."""
+        ids = self.sets.ids
+        return [(ids[k], ids[self.least[k]], int(self.n_links[k])) for k in np.flatnonzero(self.n_links).tolist()]
+
+
+def linked_in(rows: list[dict]) -> list[tuple[int, int, int]]:
+    """All pairs between pieces `i` and `j` of a neighbourhood, or within one where they are the same."""
+    block = Linked(rows)
+    i, j = rows[0]["i"], rows[0]["j"]
+    own = np.array([r["own"] for r in block.rows])
+    right = np.flatnonzero(own == j)
+    for x in np.flatnonzero(own == i).tolist():
+        block.verify(x, right[right > x] if i == j else right)
+    return block.out()
+
+
+def linked_over_shingle(rows: list[dict]) -> list[tuple[int, int, int]]:
+    """Pairs of a left and a right row that lie in different neighbourhoods, if `key` is the first shingle their prefixes share.
+
+    Rows outside the most common neighbourhood are left somewhere and right somewhere, so
+    two of them count where the smaller one is left.
     """
-    unique = list({r["cid"]: r for r in rows}.values())
-    sets = Ranked(unique)
-    at = {r["cid"]: k for k, r in enumerate(unique)}
-    rank = sets.rank(rows[0]["key"]) if only_rank else None
-    component = [r["component"] for r in unique]
-    union = Union(sorted(set(component)))
-    group = np.array([r["compared"] for r in unique])
+    block = Linked(rows)
+    at = {r["cid"]: k for k, r in enumerate(block.rows)}
+    rank = block.sets.rank(rows[0]["key"])
+    label = np.array([r["label"] for r in block.rows])
+    outside = np.array([r["outside"] for r in block.rows])
     right = np.array(sorted({at[r["cid"]] for r in rows if not r["left"]}), np.int64)
     for x in sorted({at[r["cid"]] for r in rows if r["left"]}):
-        left = right[group[right] != group[x]]
-        while len(left):
-            mine = union.find(component[x])
-            left = left[[union.find(component[y]) != mine for y in left.tolist()]]
-            for y in sets.similar(x, left[:AT_ONCE], rank).tolist():
-                union.join(component[x], component[y])
-            left = left[AT_ONCE:]
-    return stars(union)
-
-
-def linked_over_shingle(rows: list[dict]) -> list[tuple[int, int]]:
-    return linked_across(rows, only_rank=True)
+        block.verify(x, right[(label[right] != label[x]) & (~outside[right] | (right > x))], rank)
+    return block.out()
 
 
 def links_by(rows: DataFrame, keys: list[str], linked) -> DataFrame:
@@ -426,7 +417,7 @@ def links_by(rows: DataFrame, keys: list[str], linked) -> DataFrame:
 
         def out() -> pa.RecordBatch | None:
             found = linked(held) if len(held) > 1 else []
-            return batch_of(found, ["a", "b"], [pa.int64(), pa.int64()]) if found else None
+            return batch_of(found, LINK_NAMES, [pa.int64()] * 3) if found else None
 
         for batch in batches:
             for row in batch.to_pylist():
@@ -448,8 +439,12 @@ def pieces_for(rows: str, size: str, per: int):
     return F.greatest(F.ceil(F.col(rows) / per), F.ceil(F.col(size) / SET_BYTES), F.lit(1)).cast("int")
 
 
-def class_links(lists: DataFrame) -> DataFrame:
-    """Pairs (node, component) over the classes of `lists` (with `cid`), by verified links."""
+def class_links(lists: DataFrame, copies: DataFrame) -> DataFrame:
+    """(a, b, n_links): a class of `lists` (with `cid`), one it is connected with, and rows it links with.
+
+    Every pair of linked classes is counted in one row of either class, by the `copies` of the
+    other, and the pairs (a, b) connect what the links connect.
+    """
     postings = staged(lists.select("cid", F.col("n"), F.explode("prefix").alias("shingle")), "postings")
 
     # Neighbourhoods: the least class within a few steps over shared prefix shingles.
@@ -458,99 +453,73 @@ def class_links(lists: DataFrame) -> DataFrame:
         least = labels.groupBy("shingle").agg(F.min("label").alias("label"))
         label = postings.join(least, "shingle").groupBy("cid").agg(F.min("label").alias("label"))
         labels = postings.join(label, "cid").select("cid", "shingle", "label")
-    label = staged(label, "neighbourhoods")
+    label = staged(label.join(copies, "cid"), "neighbourhoods")
     size = F.octet_length("shingles") + F.octet_length("counts")
+    sizes = lists.select("cid", size.alias("bytes"))
+    sets = lists.select("cid", "n", "shingles", "counts")
+
+    # All pairs of a neighbourhood: a class goes to the blocks of its piece with every piece.
     totals = (
-        label.join(lists.select("cid", size.alias("bytes")), "cid")
+        label.join(sizes, "cid")
         .groupBy("label")
         .agg(F.count("*").alias("rows"), F.sum("bytes").alias("bytes"))
         .where("rows > 1")
         .select("label", pieces_for("rows", "bytes", NEIGHBOURS).alias("pieces"))
     )
-    # The least class is in every piece of its neighbourhood, so that pieces can connect.
     own = F.pmod(F.xxhash64("cid"), F.col("pieces")).cast("int")
-    pieces = label.join(totals, "label").select(
-        "cid",
-        "label",
-        own.alias("own"),
-        F.explode(F.when(F.col("cid") == F.col("label"), F.sequence(F.lit(0), F.col("pieces") - 1)).otherwise(F.array(own))).alias("piece"),
+    pieces = (
+        label.join(staged(totals, "totals"), "label")
+        .select("cid", "copies", "label", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("other"))
+        .select("cid", "copies", "label", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
     )
-    pieces = staged(pieces, "pieces")
-    sets = lists.select("cid", "n", "shingles", "counts")
-    near = links_by(pieces.join(sets, "cid").drop("own"), ["label", "piece"], linked_in)
-    first = components(near, "a", "b")
-
-    # The pieces of a neighbourhood against each other, where they are not connected yet.
-    placed = label.join(pieces.where("piece = own").select("cid", "own"), "cid", "left")
-    placed = staged(placed.select("cid", "label", F.coalesce("own", F.lit(0)).alias("own")), "placed")
-    members = with_components(placed, first).select("cid", F.col("label").alias("key"), "component", F.col("own").alias("compared"))
-    second = components(links_of(first).unionByName(compared_across(members, lists, linked_across)), "a", "b")
-
-    # The classes of a prefix shingle that lie in different neighbourhoods and components.
-    members = with_components(postings.join(placed, "cid"), second)
-    members = members.select("cid", F.col("shingle").alias("key"), "component", F.col("label").alias("compared"))
-    return components(links_of(second).unionByName(compared_across(members, lists, linked_over_shingle)), "a", "b")
-
-
-def links_of(found: DataFrame) -> DataFrame:
-    return found.select(F.col("node").alias("a"), F.col("component").alias("b"))
-
+    near = links_by(pieces.join(sets, "cid"), ["label", "i", "j"], linked_in)
+    return staged(near.unionByName(links_across(postings.select("cid", F.col("shingle").alias("key")).join(label, "cid"), sizes, sets)), "class-links")
 
-def with_components(rows: DataFrame, found: DataFrame) -> DataFrame:
-    return rows.join(found, F.col("cid") == F.col("node"), "left").withColumn("component", F.coalesce("component", "cid")).drop("node")
 
+def links_across(members: DataFrame, sizes: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between members of a key (a prefix shingle) that differ in `label`.
 
-def compared_across(members: DataFrame, lists: DataFrame, linked) -> DataFrame:
-    """Links between members of a key that differ in `component` and in `compared`.
-
-    All members of a key meet those outside its most common component, in blocks.
+    All members of a key meet those outside its most common label, in blocks.
     """
     members = staged(members, "members")
-    open_ = (
-        members.groupBy("key")
-        .agg(*[f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in ("component", "compared")])
-        .where("min_component < max_component AND min_compared < max_compared")
-        .select("key")
-    )
-    size = (F.octet_length("shingles") + F.octet_length("counts")).alias("bytes")
-    members = members.join(staged(open_, "open"), "key").join(lists.select("cid", size), "cid")
-    members = staged(members, "members")
+    open_ = members.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least < most").select("key")
+    members = staged(members.join(staged(open_, "open"), "key").join(sizes, "cid"), "members")
     plan = (
-        members.groupBy("key", "component")
+        members.groupBy("key", "label")
         .agg(F.count("*").alias("rows"), F.sum("bytes").alias("bytes"))
         .groupBy("key")
         .agg(
             F.sum("rows").alias("rows"),
             F.sum("bytes").alias("bytes"),
-            F.max(F.struct("rows", "bytes", "component")).alias("most"),
+            F.max(F.struct("rows", "bytes", "label")).alias("most"),
         )
         .select(
             "key",
-            F.col("most.component").alias("common"),
+            F.col("most.label").alias("common"),
             (F.col("rows") - F.col("most.rows")).alias("few"),
             (F.col("bytes") - F.col("most.bytes")).alias("few_bytes"),
             pieces_for("rows", "bytes", BLOCK_ROWS).alias("rights"),
         )
         .select("key", "common", "rights", pieces_for("few", "few_bytes", BLOCK_ROWS).alias("lefts"))
     )
-    dealt = members.join(staged(plan, "plan"), "key")
+    dealt = members.join(staged(plan, "plan"), "key").withColumn("outside", F.col("label") != F.col("common"))
     every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
     one = lambda n: F.pmod(F.xxhash64("cid"), F.col(n)).cast("int")
-    kept = ["cid", "key", "component", "compared"]
-    left = dealt.where("component <> common").select(*kept, F.lit(True).alias("left"), one("lefts").alias("i"), F.explode(every("rights")).alias("j"))
+    kept = ["cid", "copies", "key", "label", "outside"]
+    left = dealt.where("outside").select(*kept, F.lit(True).alias("left"), one("lefts").alias("i"), F.explode(every("rights")).alias("j"))
     right = dealt.select(*kept, F.lit(False).alias("left"), F.explode(every("lefts")).alias("i"), one("rights").alias("j"))
-    sets = lists.select("cid", "n", "shingles", "counts")
-    return links_by(left.unionByName(right).join(sets, "cid"), ["key", "i", "j"], linked)
+    return links_by(left.unionByName(right).join(sets, "cid"), ["key", "i", "j"], linked_over_shingle)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`id`, `n_shingles`, `class` and `component_id` of every row of `docs`.
+    """`id`, `n_shingles`, `class`, `component_id` and `n_links` of every row of `docs`.
 
     Words are what lies between blanks and control characters 9 to 13, with A-Z lowered; a set
     is the distinct five-word shingles, or all words when there are fewer. Sets link at a
-    Jaccard similarity of 0.75, and `component_id` is the smallest id reachable. Null, empty or
-    wordless texts have size 0, no class and their own id. Equal sets are one class, whatever
-    their number; repeated rows stay, with equal results. An empty table gives no rows. Other
+    Jaccard similarity of 0.75, `component_id` is the smallest id reachable and `n_links` the
+    number of other rows that a row links with, rows of an equal set included. Null, empty or
+    wordless texts have size 0, no class, no links and their own id. Equal sets are one class,
+    whatever their number; repeated rows stay, with equal results. An empty table gives no rows. Other
     columns of `docs` are not read. Shingles are 64-bit and classes 96-bit hashes.
     """
     sets = staged(shingle_sets(docs, id_col, text_col), "sets")
@@ -559,17 +528,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     blocks = max(BLOCKS, -(-total // SHINGLES_PER_BLOCK))
     lists = _lists(_shared(_postings(docs, text_col, blocks), blocks), blocks)
     lists = staged(lists.withColumn("cid", F.monotonically_increasing_id()), "lists")
-    joined = class_links(lists)
-    component = (
-        lists.select("class", "cid")
-        .join(joined, F.col("cid") == F.col("node"), "left")
-        .select("class", F.coalesce("component", "cid").alias("component"))
-        .join(classes, "class")
-    )
+    copies = staged(lists.select("class", "cid").join(classes, "class"), "copies")
+    links = class_links(lists, copies.select("cid", "copies"))
+    joined = components(links.select("a", "b"), "a", "b")
+    counted = links.groupBy(F.col("a").alias("cid")).agg(F.sum("n_links").alias("n_links"))
+    component = copies.join(joined, F.col("cid") == F.col("node"), "left").select("class", "cid", "least", F.coalesce("component", "cid").alias("component"))
     smallest = component.groupBy("component").agg(F.min("least").alias("smallest"))
-    reached = component.join(smallest, "component").select("class", "smallest")
-    named = classes.join(reached, "class", "left").select("class", F.coalesce("smallest", "least").alias("component_id"))
+    reached = component.join(smallest, "component").join(counted, "cid", "left").select("class", "smallest", "n_links")
+    named = classes.join(reached, "class", "left").select(
+        "class",
+        F.coalesce("smallest", "least").alias("component_id"),
+        (F.col("copies") - 1 + F.coalesce("n_links", F.lit(0))).alias("n_links"),
+    )
     named = staged(named, "named")  # so that only two shuffles meet below, and a hot class can be split
-    whole = sets.where(F.col("class").isNotNull()).join(named, "class").select("id", "n_shingles", "class", "component_id")
-    empty = sets.where(F.col("class").isNull()).select("id", "n_shingles", "class", F.col("id").alias("component_id"))
-    return whole.unionByName(empty)
+    columns = ["id", "n_shingles", "class", "component_id", "n_links"]
+    whole = sets.where(F.col("class").isNotNull()).join(named, "class").select(columns)
+    empty = sets.where(F.col("class").isNull()).withColumns({"component_id": F.col("id"), "n_links": F.lit(0).cast("long")})
+    return whole.unionByName(empty.select(columns))

@@ -83,6 +83,21 @@ def test_small_bounds_change_nothing(docs_of, corpus, monkeypatch):
     assert got(docs_of(corpus)) == by_all_pairs(corpus)
 
 
+def links_by_all_pairs(rows):
+    sets = [shingles(t) for _, t in rows]
+    linked = lambda a, b: bool(a & b) and 100 * len(a & b) >= 75 * len(a | b)
+    return sorted((i, sum(linked(a, b) for m, b in enumerate(sets) if m != k)) for k, ((i, _), a) in enumerate(zip(rows, sets)))
+
+
+@pytest.mark.parametrize("bounds", [{}, {"NEIGHBOURS": 4, "BLOCK_ROWS": 3, "ROUNDS": 1}, {"NEIGHBOURS": 4, "BLOCK_ROWS": 3, "ROUNDS": 2}])
+def test_every_link_is_counted_once(docs_of, corpus, monkeypatch, bounds):
+    """Links inside groups that are connected already count too, whatever the blocks."""
+    for name, value in bounds.items():
+        monkeypatch.setattr(jaccard_join, name, value)
+    found = sorted((r["id"], r["n_links"]) for r in near_duplicates(docs_of(corpus)).collect())
+    assert found == links_by_all_pairs(corpus)
+
+
 def test_edge_of_the_threshold(docs_of):
     words = [f"w{i}" for i in range(104)]
     # 100 shingles against a beginning with 75, and against one with 74.
