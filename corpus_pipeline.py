@@ -17,7 +17,7 @@ from gabarito.llm.language_id import UNDETERMINED, identify_languages, train_on_
 from gabarito.llm.pieces import encode_texts
 from gabarito.llm.queries import PIECES, digest
 from gabarito.llm.secret_scan import redacted, scan_secrets
-from gabarito.staging import scratch_path, small_join
+from gabarito.staging import BROADCAST_LIMIT, pinned_and_measured, scratch_path, small_join
 
 LEAST_SCORE = 0.3  # of the language network; a short clean text in a known language lies above
 
@@ -50,18 +50,29 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document of the smallest doc_id of every group of near duplicates.
 
-    A row that repeats both doc_id and text goes as well. Documents without a doc_id stay, as
-    do those without words. The ids to drop are few against the texts, which are not shuffled
-    while the ids can be broadcast.
+    A row is its doc_id and text, told by a 128-bit hash of the text, so rows that share a
+    doc_id but not a text are judged one by one; of a group's rows with the smallest doc_id the
+    one with the smallest hash stays. A row that repeats both goes as well. Documents without
+    a doc_id stay, as do those without words. The rows to drop are few against the texts, which
+    are not shuffled while they can be broadcast.
     """
     ship(spark)
-    found = near_duplicates(docs)
-    dropped = found.where(F.col("id") != F.col("component_id")).select(F.col("id").alias("doc_id")).distinct()
-    kept = small_join(docs, dropped, ["doc_id"], how="left_anti", spread=F.xxhash64("text"))
-    repeated = docs.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL").select("doc_id")
-    once = small_join(kept, repeated, ["doc_id"], how="left_anti", spread=F.xxhash64("text"))
-    again = small_join(kept, repeated, ["doc_id"], how="left_semi", spread=F.xxhash64("text"))
-    return once.unionByName(again.dropDuplicates(["doc_id", "text"])).select(docs.columns)
+    key = ["doc_id", "_hash_1", "_hash_2"]
+
+    def stage(rows: DataFrame) -> DataFrame:
+        rows = rows.withColumns({key[1]: F.xxhash64("text"), key[2]: F.xxhash64(F.lit(1), "text")})
+        row = F.when(F.col("doc_id").isNotNull(), F.struct(*key))
+        found = near_duplicates(rows.select(row.alias("row"), "text"), id_col="row")
+        dropped = found.where(F.col("id") != F.col("component_id")).select("id.*").distinct()
+        kept = small_join(rows, dropped, key, how="left_anti")
+        repeated = rows.groupBy(*key).count().where("count > 1 AND doc_id IS NOT NULL").select(*key)
+        repeated, size = pinned_and_measured(repeated)
+        if size <= BROADCAST_LIMIT:
+            repeated = F.broadcast(repeated)
+        again = kept.join(repeated, key, "left_semi").dropDuplicates(["doc_id", "text"])
+        return kept.join(repeated, key, "left_anti").unionByName(again)
+
+    return keeping(docs, key[1:], stage)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

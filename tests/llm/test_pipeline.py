@@ -54,6 +54,16 @@ def test_stages_one_by_one(spark, folder):
         assert r["ids"] == library.encode(r["text"] or "") and r["n_tokens"] == len(r["ids"])
 
 
+def test_rows_of_one_doc_id_are_judged_by_their_texts(spark, folder, docs_of):
+    """A near copy under a doc_id takes no other text of that id with it."""
+    text = lambda k: f"{k} tells a long and quite different story about {k} in the town of {k} beside the river {k}"
+    rows = [(1, text("a")), (7, text("a")), (7, text("b")), (7, text("c")), (9, text("c")), (7, text("c")), (7, text("d").upper()), (7, text("d"))]
+    rows += [(None, text("a")), (None, text("a")), (7, None), (7, None), (7, "")]
+    kept = [(r["doc_id"], (r["text"] or "").lower()) for r in STAGES["distinct_documents"](spark, docs_of(rows), folder).collect()]
+    want = [(1, text("a")), (7, text("b")), (7, text("c")), (7, text("d")), (None, text("a")), (None, text("a")), (7, ""), (7, "")]
+    assert sorted(kept, key=repr) == sorted(want, key=repr)
+
+
 def test_whole_run(spark, folder):
     done = corpus_pipeline.run(spark, folder)
     assert sorted(r["doc_id"] for r in done.collect()) == [*range(40), 201]
