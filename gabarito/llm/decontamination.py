@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
 from gabarito.llm.common import append_columns
+from gabarito.staging import staged
 
 WINDOW = 13
 # Windows searched for in one pass; about 100 MB of tables in a Python worker.
@@ -156,33 +157,39 @@ def find_benchmark_words(
     count once, and an empty benchmark hits nothing. Rows of `docs` stay as they are, repeated
     ones too; columns named like a result give way. The distinct windows are counted first
     (this runs a job). They reach the tasks in slices of `patterns_per_pass`; one slice is one
-    pass over the documents without any shuffle. More slices are further passes whose findings,
-    only of documents with some, are joined by `id_col`, which must then be unique.
+    pass over the documents without any shuffle. For more slices the documents are staged with
+    a row number, by which the findings of further passes, only of rows with some, are joined.
+    Every row is judged by its own text; `id_col` is not read.
     """
     found = windows(benchmark, item_col, item_text_col, window)
     passes = max(1, -(-found.count() // patterns_per_pass))
+    row = "_row"
+    while row in [c.lower() for c in docs.columns]:
+        row += "_"
+    if passes > 1:
+        docs = staged(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
     scans = []
     for number in range(passes):
         part = found.where(F.pmod(F.xxhash64("pattern"), F.lit(passes)) == number) if passes > 1 else found
         patterns = [(r["pattern"], r["item"]) for r in part.select("pattern", "item").collect()]
-        scans.append(scan(docs, text_col, patterns))
+        scans.append(scan(docs.select(row, text_col) if number else docs, text_col, patterns))
     first, *others = scans
     if not others:
         return first
     more = None
     for other in others:
-        hits = other.where(F.size("spans") > 0).select(id_col, "spans", "items")
+        hits = other.where(F.size("spans") > 0).select(row, "spans", "items")
         more = hits if more is None else more.unionByName(hits)
-    more = more.groupBy(id_col).agg(
+    more = more.groupBy(row).agg(
         F.flatten(F.collect_list("spans")).alias("_spans"), F.flatten(F.collect_list("items")).alias("_items")
     )
     empty = F.array()
     return (
-        first.join(more, id_col, "left")
+        first.join(more, row, "left")
         .withColumn("spans", merged_spans(F.concat("spans", F.coalesce("_spans", empty.cast(ArrayType(SPAN))))))
         .withColumn("items", F.array_sort(F.array_distinct(F.concat("items", F.coalesce("_items", empty.cast("array<string>"))))))
         .drop("_spans", "_items")
-        .select(first.columns)
+        .select([c for c in first.columns if c != row])
     )
 
 

@@ -59,6 +59,15 @@ def test_several_passes_change_nothing(tables):
     assert got(df, benchmark, window=3, patterns_per_pass=17) == by_hand(docs, items, 3)
 
 
+def test_several_passes_judge_rows_without_unique_ids(tables, docs_of):
+    """Null and repeated ids: each row gets the findings of its own text in every pass."""
+    docs, items, _, benchmark = tables
+    docs = [(None if k % 3 == 0 else k % 5, t) for k, (_, t) in enumerate(docs)]
+    df = docs_of(docs).withColumn("_ROW", F.lit(1))
+    assert got(df, benchmark, window=3, patterns_per_pass=17) == by_hand(docs, items, 3)
+    assert find_benchmark_words(df, benchmark, window=3, patterns_per_pass=17).columns == find_benchmark_words(df, benchmark, window=3).columns
+
+
 def test_share_of_one_in_twenty(docs_of, spark):
     benchmark = spark.createDataFrame([("q", "alpha")], "item_id string, text string")
     docs = [(1, "alpha " + "x " * 19), (2, "alpha " + "x " * 20), (3, "x")]
