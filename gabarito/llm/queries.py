@@ -9,6 +9,7 @@ from gabarito.llm.common import table
 from gabarito.llm.decontamination import find_benchmark_words, is_contaminated, n_hit
 from gabarito.llm.jaccard_join import near_duplicates
 from gabarito.llm.language_id import fold, identify_languages, train_on_sample
+from gabarito.llm.periodic_runs import find_runs, listed, strongest, with_repeated_tail
 from gabarito.llm.pieces import encode_texts
 from gabarito.llm.secret_scan import KINDS, base_spans, scan_secrets, written
 from gabarito.llm.sharding import shuffle_into_shards
@@ -16,6 +17,7 @@ from gabarito.llm.token_counts import count_tokens
 from gabarito.llm.top_k import top_products
 from gabarito.llm.toxicity import learn_toxicity, score_toxicity
 from gabarito.llm.warc import read_archives, write_archives
+from gabarito.llm.whitening import whiten
 from gabarito.staging import scratch_path
 
 QUERIES = {}
@@ -253,3 +255,36 @@ scored AS (
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scored)
 SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 5
 """
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All usable embeddings on their eight leading components; the job fails if a deviation exceeds a long."""
+    found = whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return found.withColumn("deviation", F.col("deviation").cast("long")).select(
+        "vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"
+    )
+
+
+QUERIES["op12_whitening"] = op12_whitening
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of every whole text, after the tails of a tenth of the texts were made to repeat."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10)
+    text = F.coalesce("text", F.lit(""))
+    edited = F.when(h % 10 == 0, with_repeated_tail(text, g, 3 + g % 8)).otherwise(text)
+    found = find_runs(table(spark, sf_dir, "documents").select("doc_id", edited.alias("text")), keep_text=False)
+    return found.withColumn("best", strongest(F.col("runs"))).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        digest(listed(F.col("runs"))).alias("runs_sha256"),
+        digest(F.col("collapsed")).alias("collapsed_sha256"),
+    )
+
+
+QUERIES["op13_periodic_runs"] = op13_periodic_runs
