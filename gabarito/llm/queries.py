@@ -18,6 +18,7 @@ from gabarito.llm.top_k import top_products
 from gabarito.llm.toxicity import learn_toxicity, score_toxicity
 from gabarito.llm.warc import read_archives, write_archives
 from gabarito.llm.whitening import whiten
+from gabarito.llm.winnowing import edited_by_next, written as written_prints
 from gabarito.staging import scratch_path
 
 QUERIES = {}
@@ -257,6 +258,71 @@ SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE
 """
 
 
+def op11_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and its edited text; rows are told apart by file and position."""
+    row_key = [F.xxhash64("_metadata.file_path"), F.col("_metadata.row_index")]
+    return edited_by_next(table(spark, sf_dir, "documents"), row_key).select(
+        "doc_id",
+        "n_chars",
+        digest(F.col("edited")).alias("edited_sha256"),
+        written_prints(F.col("prints")).alias("fingerprint"),
+        written_prints(F.col("edited_prints")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
+
+
+QUERIES["op11_winnowing"] = op11_winnowing
+SQL["op11_winnowing"] = r"""
+WITH docs AS (
+    SELECT doc_id, coalesce(text, '') AS text, row_number() OVER (ORDER BY doc_id NULLS FIRST) AS place, count(*) OVER () AS n FROM documents),
+edits AS (
+    SELECT a.place, a.doc_id, a.text, b.place AS next_place,
+        substr(a.text, 1, length(a.text) - length(a.text) // 4) || substr(b.text, 1, length(a.text) // 4) AS edited
+    FROM docs a JOIN docs b ON b.place = a.place % a.n + 1),
+texts AS (SELECT place, 0 AS kind, text FROM edits UNION ALL SELECT place, 1, edited FROM edits),
+tokens AS (
+    SELECT place, kind, regexp_extract_all(lower(text),
+        '[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}]|[^\s\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}]{1,16}') AS ts
+    FROM texts),
+hashed AS (
+    SELECT place, kind, len(ts) AS n, i, CAST('0x' || substr(md5(ts[i]), 1, 7) AS BIGINT) AS h
+    FROM (SELECT place, kind, ts, unnest(range(1, len(ts) + 1)) AS i FROM tokens)),
+rolled AS (
+    SELECT place, kind, n, i, h AS h0, lead(h, 1) OVER w AS h1, lead(h, 2) OVER w AS h2, lead(h, 3) OVER w AS h3, lead(h, 4) OVER w AS h4
+    FROM hashed WINDOW w AS (PARTITION BY place, kind ORDER BY i)),
+grams AS (
+    SELECT place, kind, i, ((((h0 * 1000003 + h1) % 2147483647 * 1000003 + h2) % 2147483647 * 1000003 + h3) % 2147483647 * 1000003 + h4) % 2147483647 AS g
+    FROM rolled WHERE i <= n - 4
+    UNION ALL
+    SELECT place, kind, i, CASE n WHEN 1 THEN h0 WHEN 2 THEN (h0 * 1000003 + h1) % 2147483647
+        WHEN 3 THEN ((h0 * 1000003 + h1) % 2147483647 * 1000003 + h2) % 2147483647
+        ELSE (((h0 * 1000003 + h1) % 2147483647 * 1000003 + h2) % 2147483647 * 1000003 + h3) % 2147483647 END
+    FROM rolled WHERE n < 5 AND i = 1),
+windows AS (
+    SELECT place, kind, i, count(*) OVER (PARTITION BY place, kind) AS m,
+        min(g * 4294967296 - i) OVER (PARTITION BY place, kind ORDER BY i ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING) AS least
+    FROM grams),
+prints AS (
+    SELECT DISTINCT place, kind, (least + 4294967295) // 4294967296 AS hash,
+        (least + 4294967295) // 4294967296 * 4294967296 - least - 1 AS spot
+    FROM windows WHERE i <= greatest(m - 7, 1)),
+lists AS (
+    SELECT place, kind, string_agg(lower(to_hex(CAST(hash AS BIGINT))) || ':' || spot, ' ' ORDER BY spot) AS written, list(DISTINCT hash) AS hashes
+    FROM prints GROUP BY place, kind),
+whole AS (
+    SELECT t.place, t.kind, coalesce(written, '') AS written, coalesce(hashes, []) AS hashes FROM texts t LEFT JOIN lists USING (place, kind)),
+judged AS (
+    SELECT e.doc_id, e.text, e.edited, o.written AS own, d.written AS other, o.hashes AS a, d.hashes AS b, x.hashes AS c
+    FROM edits e JOIN whole o ON o.place = e.place AND o.kind = 0 JOIN whole d ON d.place = e.place AND d.kind = 1
+    JOIN whole x ON x.place = e.next_place AND x.kind = 0)
+SELECT doc_id, CAST(length(text) AS BIGINT) AS n_chars, sha256(edited) AS edited_sha256, own AS fingerprint, other AS edited_fingerprint,
+    CASE WHEN len(a) = 0 AND len(b) = 0 THEN 1.0 ELSE len(list_intersect(a, b)) / CAST(len(a) + len(b) - len(list_intersect(a, b)) AS DOUBLE) END AS near_edited,
+    CASE WHEN len(a) = 0 AND len(c) = 0 THEN 1.0 ELSE len(list_intersect(a, c)) / CAST(len(a) + len(c) - len(list_intersect(a, c)) AS DOUBLE) END AS near_next
+FROM judged
+"""
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All usable embeddings on their eight leading components; the job fails if a deviation exceeds a long."""
     found = whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
