@@ -122,8 +122,8 @@ def edited_by_next(df: DataFrame, row_key: list[Column] | None = None, id_col: s
     `row_key` are expressions that tell the rows of `df` apart and stay the same when it is read
     again, such as file and row position. Without them the table is written once and its rows
     are numbered. Every exchange is on that key, so repeated ids, or texts, are spread like any
-    others. Neighbours are found on narrow rows; a text is exchanged once, and of the next text
-    only the borrowed characters and the print hashes travel.
+    others. Neighbours are found on narrow rows; a text is exchanged once with its prints, and
+    of the next text only the borrowed characters and the print hashes travel.
     """
     own = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), *[k.alias(f"k{i}") for i, k in enumerate(row_key or [])])
     if row_key:
@@ -132,15 +132,22 @@ def edited_by_next(df: DataFrame, row_key: list[Column] | None = None, id_col: s
     else:
         own = staged(own.withColumn("key", F.monotonically_increasing_id()), "documents")
     order = dense_index(own.select("id", F.xxhash64("text").alias("h"), F.length("text").alias("n"), "key"), [], ["id", "h", "n", "key"], "at", "rows")
-    order = pinned(order.select("key", "n", "at", "rows"))
-    before = order.select(F.col("key").alias("to"), F.floor(F.col("n") / 4).cast("int").alias("lent"), ((F.col("at") + 1) % F.col("rows")).alias("at"))
-    links = order.select("key", "at").join(before, "at").select("key", "to", "lent")
-    rows = own.withColumn("prints", prints(F.col("text")))
+    order = pinned(order.select("key", "id", "n", "at", "rows"))
+    before = order.select(
+        F.col("key").alias("to"),
+        F.col("id").alias("to_id"),
+        F.floor(F.col("n") / 4).cast("int").alias("lent"),
+        ((F.col("at") + 1) % F.col("rows")).alias("at"),
+    )
+    links = order.select("key", F.col("id").alias("next_id"), "at").join(before, "at").drop("at")
+    # Sender and receiver need the same columns of the rows, so that their exchange is one and the same.
+    rows = own.select("key", "text", prints(F.col("text")).alias("prints"))
     sent = rows.join(links, "key").select(
         F.col("to").alias("key"),
+        F.col("to_id").alias("id"),
         F.substring("text", F.lit(1), F.col("lent")).alias("borrowed"),
         hash_set(F.col("prints")).alias("next_set"),
-        F.col("id").alias("next_id"),
+        "next_id",
     )
     n = F.length("text")
     met = rows.join(sent, "key").select(
