@@ -39,12 +39,16 @@ def batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), fields)], schema=pa.schema(fields))
 
 
-def integer_vectors(df: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
-    """`vec_id`, `v` (array of long) and its length, of the rows that take part, each once."""
+def integer_vectors(df: DataFrame, id_col: str, vector_col: str, scale: int, k: int) -> DataFrame:
+    """`vec_id`, `v` (array of long) and its length, of the rows that take part.
+
+    Of a row that repeats k copies are enough: no query has use for more.
+    """
     finite = F.forall(vector_col, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = df.where(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull()).where(finite)
     whole = F.transform(vector_col, lambda x: F.floor(x.cast("double") * scale).cast("long"))
-    rows = rows.select(F.col(id_col).cast("long").alias("vec_id"), whole.alias("v")).distinct()
+    rows = rows.select(F.col(id_col).cast("long").alias("vec_id"), whole.alias("v")).groupBy("vec_id", "v").count()
+    rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.least("count", F.lit(k)).cast("int")))).drop("copy", "count")
     square = F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
     return rows.withColumn("length", F.sqrt(square))
 
@@ -163,14 +167,14 @@ def top_products(
 
     A component x becomes floor(scale * x). Queries are the rows whose id divides by
     `query_every`, candidates all rows with another id; ties go to the smaller id. Rows with a
-    null id, a null vector, or a null or non-finite component take no part; rows repeated with
-    equal vectors count once; vectors of different dimension do not meet. Scores must fit in 64
-    bits; sums too large for exact floating point are multiplied as integers. With fewer than k
+    null id, a null vector, or a null or non-finite component take no part; a row that repeats
+    counts as often as it does, as candidate and, for its id, as query; vectors of different
+    dimension do not meet. Scores must fit in 64 bits; sums too large for exact floating point are multiplied as integers. With fewer than k
     candidates all are returned, and an empty table gives no rows. Other columns are not read.
     Buckets and blocks of queries are tables in the shared folder, and a task multiplies one
     block with one bucket. Lengths tie by id, so equal vectors fill as many buckets as they need.
     """
-    vectors = staged(integer_vectors(df, id_col, vector_col, scale), "vectors")
+    vectors = staged(integer_vectors(df, id_col, vector_col, scale, k), "vectors")
     parts = max(1, -(-vectors.count() // ROWS_PER_PARTITION))
     by_length = vectors.repartitionByRange(parts, F.desc("length"), F.col("vec_id"))
     by_length = by_length.sortWithinPartitions(F.desc("length"), "vec_id")
