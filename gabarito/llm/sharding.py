@@ -5,6 +5,8 @@ hold exactly and every assignment of rows to shards is equally likely. Then each
 permuted locally, its rows are dealt out by their place, exchanged, and permuted again.
 """
 
+from collections.abc import Callable
+
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -38,13 +40,31 @@ def communication_matrix(sizes: list[int], shards: int, seed: int) -> np.ndarray
 
 
 def drawn(rng: np.random.Generator, good: int, bad: int, sample: int) -> int:
-    """A hypergeometric count; beyond the generator's range its normal limit, kept in bounds."""
-    total = good + bad
-    if total < GENERATOR_LIMIT:
+    """A hypergeometric count. Where the generator does not reach, by inversion from the most likely count.
+
+    The weights of the counts around it follow from exact ratios of neighbours; those beyond
+    a weight of 1e-30 are left out, which is less than the generator's own rounding.
+    """
+    if good + bad < GENERATOR_LIMIT:
         return int(rng.hypergeometric(good, bad, sample)) if sample else 0
-    mean = sample * (good / total)
-    variance = mean * (bad / total) * ((total - sample) / (total - 1))
-    return int(min(max(round(rng.normal(mean, variance**0.5)), sample - bad, 0), good, sample))
+    low, high = max(0, sample - bad), min(good, sample)
+    middle = min(max((good + 1) * (sample + 1) // (good + bad + 2), low), high)
+    up = chain(middle, high, lambda k: ((good - k) * (sample - k), (k + 1) * (bad - sample + k + 1)), 1)
+    down = chain(middle, low, lambda k: (k * (bad - sample + k), (good - k + 1) * (sample - k + 1)), -1)
+    weights = np.concatenate([down[::-1], [1.0], up])
+    place = np.searchsorted(np.cumsum(weights), rng.random() * weights.sum(), "right")
+    return middle - len(down) + min(int(place), len(weights) - 1)
+
+
+def chain(start: int, end: int, ratio: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]], step: int) -> np.ndarray:
+    """Weights of the counts after `start` up to `end`, relative to that of `start`, until they vanish."""
+    parts, last, k, size = [], 1.0, start, 256
+    while k != end and last > 1e-30:
+        size = min(size * 2, abs(end - k))
+        upper, lower = ratio(k + step * np.arange(size, dtype=np.float64))
+        parts.append(last * np.cumprod(upper / lower))
+        last, k = float(parts[-1][-1]), k + step * size
+    return np.concatenate(parts) if parts else np.zeros(0)
 
 
 def shuffle_into_shards(
@@ -60,24 +80,24 @@ def shuffle_into_shards(
     without gaps in uniformly random order. `size` is the UTF-8 bytes of the text plus one;
     a null text has no bytes. `grown_shard` is null, as this law does not grow in place.
     Equal texts are shuffled apart like others, repeated rows and null ids count as rows, and an
-    empty table gives no rows. Columns named like a result give way.
+    empty table gives no rows. Columns named like a result give way, all others stay.
 
     Rows are numbered once, in a table in the shared folder, so lost executors change nothing.
     Only row counts of the source partitions reach the driver. A shard of any size is permuted
     in buckets of random keys, whose counts give the slots at which they begin.
     """
     names = ["size", "text_crc32", "law", "shard", "slot", "grown_shard"]
-    inner = ["_key", "_number", "_part", "_place", "_from", "_bucket", "_order", "_begin"]
     raw = F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8")
-    rows = without(df.withColumns({"_size": (F.octet_length(raw) + 1).cast("long"), "_crc": F.crc32(raw)}), [*names, *inner])
-    # Local permutation: a partition sorted by a random key, numbered in that order.
-    keyed = (
-        rows.drop(text_col)
-        .withColumnsRenamed({"_size": "size", "_crc": "text_crc32"})
-        .withColumn("_key", F.xxhash64(F.lit(seed), F.monotonically_increasing_id(), F.col(id_col).cast("string")))
-        .sortWithinPartitions("_key")
-        .withColumn("_number", F.monotonically_increasing_id())
+    # The other columns travel in one struct, so that none can be taken for a working column.
+    others = [c for c in without(df, names).columns if c != text_col]
+    rows = df.select(
+        F.struct(*[F.col(f"`{c}`") for c in others]).alias("rest") if others else F.lit(None).alias("rest"),
+        (F.octet_length(raw) + 1).cast("long").alias("size"),
+        F.crc32(raw).alias("text_crc32"),
+        F.xxhash64(F.lit(seed), F.monotonically_increasing_id(), F.col(id_col).cast("string")).alias("_key"),
     )
+    # Local permutation: a partition sorted by a random key, numbered in that order.
+    keyed = rows.sortWithinPartitions("_key").withColumn("_number", F.monotonically_increasing_id())
     keyed = staged(
         keyed.withColumns({"_part": F.shiftright("_number", 33), "_place": F.col("_number").bitwiseAND((1 << 33) - 1)}),
         "shuffle",
@@ -97,7 +117,7 @@ def shuffle_into_shards(
     order = F.xxhash64(F.lit(seed + 1), "_number")
     dealt = dealt.withColumns({"_order": order, "_bucket": F.pmod(F.shiftrightunsigned(order, 20), F.lit(buckets)).cast("int")})
     return numbered(dealt, shards, buckets).select(
-        *[c for c in keyed.columns if not c.startswith("_") and c not in names],
+        *["rest.*"] * bool(others),
         "size",
         "text_crc32",
         F.lit("rows").alias("law"),
