@@ -2,7 +2,8 @@
 
 Besides a weight for each term the machine learns a short vector, and the product of two terms'
 vectors is the weight of their meeting in one text: an insult beside the mention of a group says
-more than both alone. The sum over all pairs is computed in linear time.
+more than both alone. The sum over all pairs is computed in linear time, and divided by the number
+of terms, so that long texts do not drown in it.
 """
 
 import zlib
@@ -12,23 +13,23 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, IntegerType, StructField
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField
 
 from gabarito.llm.common import append_columns
 
 TERMS = 1 << 20  # size of the hash space
 BEGINNINGS = (4, 5, 6)
-# A term takes part if this many rows have it and it tells the labels apart by this chi-square.
+# A term takes part if this many rows of the sample have it, whatever their labels.
 LEAST_ROWS = 3
+# A term that alone tells the labels apart by this chi-square has a weight of its own; all have factors.
 LEAST_CHI2 = 6.0
 FACTORS = 6
-EPOCHS = 12
+EPOCHS = 8
 BATCH = 256
 RATE = 0.2
 DECAY = 1e-5
-# Bounds of the training sample: rows of each label, and the characters read of a row.
+# Bound of the training sample: rows of each label.
 ROWS_PER_LABEL = 5_000
-LEARNED_CHARS = 20_000
 THRESHOLD = 0.3
 FIELDS = [StructField("score", DoubleType()), StructField("predicted", IntegerType())]
 
@@ -86,17 +87,18 @@ class FactorizationMachine:
     weights: np.ndarray
     factors: np.ndarray
 
-    def raw(self, flat: np.ndarray, owner: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """Log odds of `n` rows, and the sums of their terms' factors."""
+    def raw(self, flat: np.ndarray, owner: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Log odds of `n` rows, the sums of their terms' factors, and the weight of a pair in each."""
         sums = np.zeros((n, self.factors.shape[1]))
-        squares, linear = np.zeros(n), np.zeros(n)
+        squares, linear, share = np.zeros(n), np.zeros(n), np.ones(n)
         if len(flat):
             begin = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
             rows, chosen = owner[begin], self.factors[flat]
+            share[rows] = 1 / np.diff(np.r_[begin, len(flat)])
             sums[rows] = np.add.reduceat(chosen, begin, axis=0)
             squares[rows] = np.add.reduceat((chosen * chosen).sum(axis=1), begin)
             linear[rows] = np.add.reduceat(self.weights[flat], begin)
-        return self.bias + linear + 0.5 * ((sums * sums).sum(axis=1) - squares), sums
+        return self.bias + linear + 0.5 * share * ((sums * sums).sum(axis=1) - squares), sums, share
 
     def scores(self, rows: list[np.ndarray]) -> np.ndarray:
         """Probabilities from rows of term numbers."""
@@ -107,22 +109,24 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def told_apart(rows: list[np.ndarray], labels: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """Places of the terms that tell the labels apart."""
-    flat, owner = ragged(rows)
-    count = np.bincount(flat, minlength=TERMS)
-    seen = np.bincount(flat, weights[owner], TERMS)
-    ones = np.bincount(flat, (weights * labels)[owner], TERMS)
+def tell_apart(flat: np.ndarray, owner: np.ndarray, labels: np.ndarray, weights: np.ndarray, terms: int) -> np.ndarray:
+    """Which terms tell the labels apart by themselves."""
+    seen = np.bincount(flat, weights[owner], terms)
+    ones = np.bincount(flat, (weights * labels)[owner], terms)
     share = (weights * labels).sum() / weights.sum()
     expected = seen * share
     spread = np.maximum(expected * (1 - share) * (1 - seen / weights.sum()), 1e-9)
-    return np.flatnonzero((count >= LEAST_ROWS) & ((ones - expected) ** 2 / spread >= LEAST_CHI2))
+    return (ones - expected) ** 2 / spread >= LEAST_CHI2
 
 
 def train(rows: list[np.ndarray], labels: np.ndarray, weights: np.ndarray, epochs: int = EPOCHS) -> FactorizationMachine:
-    """Adagrad on weighted log loss over the terms that tell the labels apart."""
+    """Adagrad on weighted log loss over all terms that enough rows have.
+
+    Terms are chosen without regard to the labels, as two of them may matter only together: every
+    term has factors. A weight of its own has a term that tells the labels apart by itself.
+    """
     rng = np.random.default_rng(5)
-    known = told_apart(rows, labels, weights)
+    known = np.flatnonzero(np.bincount(ragged(rows)[0], minlength=TERMS) >= LEAST_ROWS)
     dense = np.full(TERMS, -1, np.int32)
     dense[known] = np.arange(len(known))
     rows = [d[d >= 0] for d in (dense[r] for r in rows)]
@@ -130,24 +134,25 @@ def train(rows: list[np.ndarray], labels: np.ndarray, weights: np.ndarray, epoch
     fm = FactorizationMachine(
         float(np.log(share / (1 - share))), dense, np.zeros(len(known)), rng.normal(scale=0.1, size=(len(known), FACTORS))
     )
+    own = tell_apart(*ragged(rows), labels, weights, len(known)).astype(float)
     weight_steps, factor_steps = np.full(len(known), 1e-3), np.full((len(known), FACTORS), 1e-3)
     for _ in range(epochs):
         order = rng.permutation(len(rows))
         for i in range(0, len(order), BATCH):
             chosen = order[i : i + BATCH]
             flat, owner = ragged([rows[k] for k in chosen])
-            raw, sums = fm.raw(flat, owner, len(chosen))
+            raw, sums, pair = fm.raw(flat, owner, len(chosen))
             wrong = (sigmoid(raw) - labels[chosen]) * weights[chosen] / np.sqrt(len(chosen))
             fm.bias -= RATE * 0.1 * float(wrong.mean())
             touched, at = np.unique(flat, return_inverse=True)
             weight_grad = np.bincount(at, wrong[owner], len(touched)) + DECAY * fm.weights[touched]
-            one = wrong[owner, None] * (sums[owner] - fm.factors[flat])
+            one = (wrong * pair)[owner, None] * (sums[owner] - fm.factors[flat])
             columns = [np.bincount(at, one[:, k], len(touched)) for k in range(FACTORS)]
             factor_grad = np.stack(columns, axis=1) + DECAY * fm.factors[touched]
             weight_steps[touched] += weight_grad**2
             factor_steps[touched] += factor_grad**2
-            fm.weights[touched] -= RATE * weight_grad / np.sqrt(weight_steps[touched])
-            fm.factors[touched] -= RATE * 0.5 * factor_grad / np.sqrt(factor_steps[touched])
+            fm.weights[touched] -= RATE * own[touched] * weight_grad / np.sqrt(weight_steps[touched])
+            fm.factors[touched] -= RATE * factor_grad / np.sqrt(factor_steps[touched])
     return fm
 
 
@@ -158,14 +163,15 @@ def learn_toxicity(
     text_col: str = "text",
     label_col: str = "toxic",
     rows_per_label: int = ROWS_PER_LABEL,
-    learned_chars: int = LEARNED_CHARS,
 ) -> FactorizationMachine | None:
     """A machine learned from at most `rows_per_label` labelled rows of either label.
 
     Rows are drawn by a hash of their id, and weighted so that both labels count as often as
-    among all labelled rows. Of a row the first `learned_chars` characters are learned from.
-    Null labels, ids and texts are left out; without rows of both labels there is no machine.
-    The drawn ids, bounded by the parameter, are broadcast; texts are not shuffled.
+    among all labelled rows. A drawn row is learned from as a whole: its distinct term places are
+    found in the tasks, and only they are collected. Where an id repeats, its rows follow the
+    hash of their text, and the bound holds for rows. Null labels, ids and texts are left out;
+    without rows of both labels there is no machine. The drawn ids, bounded by the parameter, are
+    broadcast; texts are not shuffled.
     """
     rows = labels.select(F.col(id_col).alias("id"), (F.col(label_col) > 0).cast("int").alias("label")).dropna()
     counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
@@ -177,17 +183,23 @@ def learn_toxicity(
         near = int(min(1.0, 1.5 * rows_per_label / n) * (1 << 30))
         own = rows.where((F.col("label") == label) & (place < near)).orderBy(place, "id").limit(rows_per_label)
         drawn = own if drawn is None else drawn.unionByName(own)
-    text = F.substring(text_col, 1, learned_chars).alias("text")
-    texts = docs.select(F.col(id_col).alias("id"), text).where(F.col("text").isNotNull())
-    sample = texts.join(F.broadcast(drawn), "id").orderBy("id", "label", F.xxhash64("text")).collect()
-    places = TermPlaces()
-    found = features([r["text"] for r in sample], places)
-    found = [f.astype(np.int32) for f in found]
-    is_one = np.array([r["label"] for r in sample], float)
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(F.col("text").isNotNull())
+    joined = texts.join(F.broadcast(drawn), "id").select("label", place.alias("place"), F.xxhash64("text").alias("hash"), "text")
+    found = append_columns(joined, "text", [StructField("terms", ArrayType(IntegerType()))], sampled_terms, keep_text=False)
+    sample = []
+    for label in sorted(counts):
+        own = found.where(F.col("label") == label).orderBy("place", "hash").limit(rows_per_label)
+        sample += [(r["label"], np.array(r["terms"], np.int32)) for r in own.collect()]
+    is_one = np.array([label for label, _ in sample], float)
     if len(set(is_one.tolist())) < 2:
         return None
-    weight = np.array([counts[r["label"]] for r in sample]) / np.where(is_one > 0, is_one.sum(), (1 - is_one).sum())
-    return train(found, is_one, weight / weight.mean())
+    weight = np.array([counts[label] for label, _ in sample]) / np.where(is_one > 0, is_one.sum(), (1 - is_one).sum())
+    return train([terms for _, terms in sample], is_one, weight / weight.mean())
+
+
+def sampled_terms() -> Callable[[list], list]:
+    places = TermPlaces()
+    return lambda texts: [[np.sort(f).tolist() for f in features(texts, places)]]
 
 
 def score_toxicity(

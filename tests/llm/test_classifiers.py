@@ -32,9 +32,8 @@ def test_toxicity_held_out(spark):
     assert all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.3) for r in rows)
 
 
-def test_a_pair_counts_beyond_its_terms(monkeypatch):
+def test_a_pair_counts_beyond_its_terms():
     """Two words that only matter together: no sum of weights tells these rows apart."""
-    monkeypatch.setattr(toxicity, "LEAST_CHI2", 0.0)
     rng = random.Random(1)
     texts, labels = [], []
     for _ in range(1200):
@@ -46,6 +45,37 @@ def test_a_pair_counts_beyond_its_terms(monkeypatch):
     assert ((scores > 0.5) == (np.array(labels) > 0)).all()
 
 
+def test_score_is_the_sum_over_all_pairs():
+    rng = np.random.default_rng(8)
+    rows = [rng.choice(40, size=k, replace=False).astype(np.int32) for k in (0, 1, 2, 7, 25) * 8]
+    machine = train(rows, (np.arange(40) % 3 == 0).astype(float), np.ones(40), epochs=2)
+    known = [d[d >= 0] for d in (machine.dense[r] for r in rows)]
+    for terms, score in zip(known, machine.scores(known)):
+        raw = machine.bias + sum(machine.weights[t] for t in terms)
+        for i, a in enumerate(terms):
+            for b in terms[i + 1 :]:
+                raw += float(machine.factors[a] @ machine.factors[b]) / len(terms)
+        assert abs(score - 1 / (1 + np.exp(-np.clip(raw, -30, 30)))) < 1e-9
+
+
+def test_toxic_passage_late_in_a_text_and_a_hot_id(docs_of, spark):
+    long = " ".join(f"calm{i % 50}" for i in range(8000))
+    docs = docs_of([(i, f"{long} vile scoundrel" if i % 2 else long) for i in range(24)] + [(1, f"copy {k}") for k in range(300)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(24)], "doc_id long, toxic int")
+    machine = learn_toxicity(docs.where("text LIKE 'calm%'"), labels)
+    late, calm = (r["score"] for r in score_toxicity(docs_of([(1, f"{long} vile scoundrel"), (2, long)]), machine).orderBy("doc_id").collect())
+    assert late > 0.5 > calm
+    # A repeated id brings no more rows than the bound allows.
+    seen = []
+    original = toxicity.train
+    toxicity.train = lambda rows, labels, weights: seen.append(len(rows)) or original(rows, labels, weights)
+    try:
+        assert learn_toxicity(docs, labels, rows_per_label=10) is not None
+    finally:
+        toxicity.train = original
+    assert seen[0] <= 20
+
+
 TEXTS = [None, "", " ", "123 !?", "the cat and the dog are in the house", "the cat and the dog are in the house", "日本語", "la casa y el perro " * 20_000]
 
 
