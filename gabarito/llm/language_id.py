@@ -6,32 +6,39 @@ its score of a language is the mean over its windows, weighted by their bytes.
 """
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField
 
 from gabarito.llm.common import append_columns
+from gabarito.staging import pinned
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 16
 EMBEDDING = 8
-# Bounds of the training sample: rows of a language, and windows of a row.
-ROWS_PER_LANGUAGE = 400
-WINDOWS_PER_ROW = 6
-EPOCHS = 6
+# Bounds of the training sample: distinct texts of a language, and languages (the most frequent).
+ROWS_PER_LANGUAGE = 200
+LANGUAGES = 1_000
+EPOCHS = 5
 BATCH = 64
 RATE = 0.01
 UNDETERMINED = "und"
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = re.compile(r"[^\W\d_]")  # and some numbers, which `has_letter` leaves out
 BLOCK = 64  # windows convolved at once
 FIELDS = [StructField("lang_pred", StringType()), StructField("score", DoubleType())]
 
 
+def has_letter(text: str | None) -> bool:
+    """Does the text hold a character of a Unicode letter category? Fractions and the like are none."""
+    return any(m[0].isalpha() for m in LETTER.finditer(text or ""))
+
+
 @dataclass
 class ByteNetwork:
     """`filters` holds every width as one matrix over the widest span; narrower ones end in zeros."""
@@ -140,46 +147,63 @@ def train(windows: np.ndarray, labels: np.ndarray, languages: list[str], epochs:
     return net
 
 
+def drawn_texts(rows: DataFrame, counts: dict[str, int], rows_per_language: int) -> DataFrame:
+    """(label, h): the smallest text hashes of every label, each once however often its text occurs.
+
+    Only hashes below a bound are looked at; where repeats leave too few, the bound is raised.
+    """
+    place = F.pmod("h", F.lit(1 << 30)) / float(1 << 30)
+    factor = 4.0
+    while True:
+        bounds = {k: min(1.0, factor * rows_per_language / n) for k, n in counts.items()}
+        bound = F.create_map(*[F.lit(x) for item in bounds.items() for x in item])
+        near = rows.where(place < bound[F.col("label")]).select("label", "h", place.alias("place")).distinct()
+        first = Window.partitionBy("label").orderBy("place", "h")
+        drawn = pinned(near.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= rows_per_language).drop("nth", "place"))
+        found = {r["label"]: r["count"] for r in drawn.groupBy("label").count().collect()}
+        if all(bounds[k] == 1 or found.get(k, 0) >= rows_per_language for k in counts):
+            return drawn
+        factor *= 16
+
+
 def train_on_sample(
     labelled: DataFrame,
     text_col: str = "text",
     label_col: str = "lang",
     rows_per_language: int = ROWS_PER_LANGUAGE,
-    windows_per_row: int = WINDOWS_PER_ROW,
+    languages: int = LANGUAGES,
 ) -> ByteNetwork | None:
-    """A network for the labels of `labelled`, from about `rows_per_language` rows of each.
+    """A network for the `languages` most frequent labels of `labelled`, from `rows_per_language` distinct texts of each.
 
-    Rows are drawn by a hash of their text, so the draw is the same for every partitioning. Of
-    a row `windows_per_row` evenly spaced windows are read. Rows without text or label are left
-    out; with no row left there is no network.
+    Texts are drawn by a hash, so the draw is the same for every partitioning, and a text that
+    occurs very often is drawn like any other. A drawn text is learned from as a whole: its
+    windows are cut in the tasks. Rows without letters or label are left out; with no row left
+    there is no network. What reaches the driver is bounded by texts and languages.
     """
     text, label = F.col(text_col), F.col(label_col)
-    rows = labelled.where(label.isNotNull() & (F.length(text) > 0)).select(text.alias("text"), label.cast("string").alias("label"))
-    counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
+    rows = labelled.where(label.isNotNull() & (F.length(text) > 0)).select(
+        text.alias("text"), label.cast("string").alias("label"), F.xxhash64(text, F.lit(11)).alias("h")
+    )
+    often = rows.groupBy("label").count().orderBy(F.desc("count"), "label").limit(languages)
+    counts = {r["label"]: r["count"] for r in often.collect()}
     if not counts:
         return None
-    languages = sorted(counts)
-    shares = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, rows_per_language / n))])
-    place = F.pmod(F.xxhash64("text", F.lit(11)), F.lit(1 << 20)) / float(1 << 20)
-    last = F.greatest(F.length("text") - WINDOW, F.lit(0))
-    begins = F.transform(
-        F.sequence(F.lit(0), F.lit(windows_per_row - 1)),
-        lambda i: F.substring("text", F.floor(i * last / max(1, windows_per_row - 1)).cast("int") + 1, F.lit(WINDOW)),
-    )
-    drawn = (
-        rows.where(place < shares[F.col("label")])
-        .select("label", F.array_distinct(begins).alias("windows"), F.xxhash64("text").alias("h"))
-        .orderBy("h", "label", "windows")
-        .limit(2 * rows_per_language * len(languages))
-        .collect()
-    )
-    pairs = [(w.encode()[:WINDOW], languages.index(r["label"])) for r in drawn for w in r["windows"]]
-    if not pairs:
+    drawn = drawn_texts(rows, counts, rows_per_language)
+    texts = rows.join(F.broadcast(drawn), ["label", "h"]).groupBy("label", "h").agg(F.any_value("text").alias("text"))
+
+    def windows_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            batch = batch[batch["text"].map(has_letter)]
+            windows, owner, _ = cut([t.encode() for t in batch["text"]])
+            labels, hashes = batch["label"].to_numpy()[owner], batch["h"].to_numpy()[owner]
+            yield pd.DataFrame({"label": labels, "h": hashes, "w": [w.tobytes() for w in windows]})
+
+    found = texts.mapInPandas(windows_of, "label string, h long, w binary").orderBy("label", "h", "w").collect()
+    if not found:
         return None
-    windows = np.zeros((len(pairs), WINDOW), np.uint8)
-    for i, (raw, _) in enumerate(pairs):
-        windows[i, : len(raw)] = np.frombuffer(raw, np.uint8)
-    return train(windows, np.array([k for _, k in pairs]), languages)
+    known = sorted({r["label"] for r in found})
+    windows = np.frombuffer(b"".join(r["w"] for r in found), np.uint8).reshape(len(found), WINDOW)
+    return train(windows, np.array([known.index(r["label"]) for r in found]), known)
 
 
 def identify_languages(df: DataFrame, net: ByteNetwork | None, text_col: str = "text", keep_text: bool = True) -> DataFrame:
@@ -195,7 +219,7 @@ def identify_languages(df: DataFrame, net: ByteNetwork | None, text_col: str = "
         model = shared.value
 
         def compute(texts: list) -> list:
-            judged = [i for i, t in enumerate(texts) if model and t and LETTER.search(t)]
+            judged = [i for i, t in enumerate(texts) if model and has_letter(t)]
             predicted, scores = [UNDETERMINED] * len(texts), [0.0] * len(texts)
             if judged:
                 windows, owner, filled = cut([texts[i].encode() for i in judged])

@@ -6,8 +6,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from gabarito.llm import toxicity
-from gabarito.llm.language_id import cut, identify_languages, train_on_sample
+from gabarito.llm import language_id, toxicity
+from gabarito.llm.language_id import EMBEDDING, WIDTHS, cut, drawn_texts, has_letter, identify_languages, train_on_sample
 from gabarito.llm.queries import QUERIES
 from gabarito.llm.toxicity import TermPlaces, features, learn_toxicity, score_toxicity, train
 
@@ -100,6 +100,49 @@ def test_no_labels_no_network(docs_of, spark):
     assert train_on_sample(docs_of([])) is None
 
 
+def test_a_frequent_text_is_drawn_once(spark):
+    rows = [(f"the cat number {i} is in the house", "en") for i in range(300)] + [("the same dog again and again", "en")] * 20_000
+    rows += [(f"la casa numero {i} del perro", "es") for i in range(300)]
+    df = spark.createDataFrame(rows, "text string, label string").withColumn("h", F.xxhash64("text"))
+    drawn = drawn_texts(df, {"en": 20_300, "es": 300}, 50).collect()
+    assert len(drawn) == len(set(drawn)) == 100
+    for label in ("en", "es"):
+        smallest = sorted((r["h"] % (1 << 30), r["h"]) for r in df.where(F.col("label") == label).select("h").distinct().collect())[:50]
+        assert {r["h"] for r in drawn if r["label"] == label} == {h for _, h in smallest}
+
+
+def test_whole_training_texts_are_read(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(language_id, "train", lambda windows, labels, names: seen.append((windows, labels, names)))
+    long = "é" * 5000 + " fin"
+    train_on_sample(spark.createDataFrame([(long, "fr"), ("½ ² ①", "xx"), ("abc", "en"), ("abc", "en")], "text string, lang string"))
+    ((windows, labels, names),) = seen
+    assert names == ["en", "fr"] and (labels == 0).sum() == 1
+    whole, _, _ = cut([long.encode()])
+    assert sorted(w.tobytes() for w in windows[labels == 1]) == sorted(w.tobytes() for w in whole)
+
+
+def test_letters():
+    assert not any(map(has_letter, [None, "", "½ ² ① 12 _ !", "٣"])) and all(map(has_letter, ["½ a", "ª", "日", "٣ب", "é"]))
+
+
+def test_network_equals_plain_sums(net):
+    """Forward pass by loops: embed, filter, take the maximum, then softmax."""
+    windows, _, _ = cut([b"the cat sat", bytes(range(1, 256)) * 2, b"x"])
+    for window, got in zip(windows, net.predict(windows)):
+        padded = list(window) + [0] * (max(WIDTHS) - 1)
+        pooled = []
+        for f in range(net.filters.shape[1]):
+            values = [
+                sum(float(net.embedding[padded[i + j]] @ net.filters[j * EMBEDDING : (j + 1) * EMBEDDING, f]) for j in range(max(WIDTHS)))
+                for i in range(len(window))
+            ]
+            pooled.append(max(0.0, max(values) + net.bias[f]))
+        scores = np.array([sum(p * net.out[f, k] for f, p in enumerate(pooled)) + net.out_bias[k] for k in range(len(net.languages))])
+        want = np.exp(scores - scores.max())
+        assert np.abs(got - want / want.sum()).max() < 1e-4
+
+
 def test_windows_cover_every_span():
     texts = [b"", b"a", bytes(range(1, 256)) * 5, b"x" * 256, b"y" * 257]
     windows, owner, filled = cut(texts)
