@@ -30,8 +30,7 @@ from gabarito.operators.index import (
     with_dense_index,
 )
 from gabarito.operators.shots import (
-    FACTOR,
-    PRIME,
+    DIGITS,
     draw_ranks,
     with_experiments,
     with_shots,
@@ -334,20 +333,23 @@ def fewshot_per_row(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES["fewshot_per_row"] = fewshot_per_row
+def floyd_sql(shots: int, seed: int) -> str:
+    """Ranks of every (benchmark, idx, experiment), one step of the sampling a subquery."""
+    rows = "SELECT benchmark, idx, n_rows, experiment, CAST([] AS BIGINT[]) AS chosen FROM indexed, (SELECT unnest(range(2)) AS experiment)"
+    for i in range(shots):
+        last = f"(n_rows - 1 - {shots} + {i})"
+        number = f"CAST('0x' || substr(md5(concat_ws(':', '{seed}', benchmark, experiment, idx, {i})), 1, {DIGITS}) AS BIGINT)"
+        rows = f"""SELECT benchmark, idx, n_rows, experiment, CASE WHEN list_contains(chosen, t)
+                THEN chosen[1 : list_position(chosen, t)] || [{last}] || chosen[list_position(chosen, t) + 1 :]
+                ELSE [t] || chosen END AS chosen
+            FROM (SELECT *, {number} % ({last} + 1) AS t FROM ({rows}))"""
+    return rows
+
+
 SQL["fewshot_per_row"] = query(
     f"""SELECT benchmark || '_' || idx AS id_bench, CAST(experiment AS INTEGER) AS experiment,
-        string_agg(benchmark || '_' || (rank + CASE WHEN rank < idx THEN 0 ELSE 1 END), ',' ORDER BY pos) AS shot_indices
-    FROM (
-        SELECT *, ((first * {PRIME} + second) % (n_rows - 1)
-            + pos * (1 + second % ((n_rows - 1) // 5))) % (n_rows - 1) AS rank
-        FROM (
-            SELECT *, (first * {FACTOR} + idx % {PRIME} + 1) % {PRIME} AS second
-            FROM (
-                SELECT benchmark, idx, n_rows, experiment, pos,
-                    ((7 * 69621 + experiment * 40692 + idx) % {PRIME} * {FACTOR} + 12345) % {PRIME} AS first
-                FROM indexed, (SELECT unnest(range(2)) AS experiment), (SELECT unnest(range(5)) AS pos)
-                WHERE benchmark IN ('hatebr', 'oab'))))
-    GROUP BY benchmark, idx, experiment""",
+        array_to_string([benchmark || '_' || (rank + CASE WHEN rank < idx THEN 0 ELSE 1 END) for rank in chosen], ',') AS shot_indices
+    FROM ({floyd_sql(5, 7)}) WHERE benchmark IN ('hatebr', 'oab')""",
     KEYED_SQL,
     INDEXED_SQL,
 )

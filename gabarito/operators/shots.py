@@ -18,8 +18,8 @@ from gabarito.staging import small_join
 
 # Seed of the first experiment; experiment i uses SEED + i (fixed value).
 SEED = 42
-# Modulus and factor of a multiplicative generator, for draws that run in the JVM.
-PRIME, FACTOR = 2_147_483_647, 48_271
+# Hex digits of a digest that make a number, for draws that run in the JVM.
+DIGITS = 15
 
 
 def draw_ranks(sizes: DataFrame, n_shots: int, n_experiments: int, seed: int = SEED) -> DataFrame:
@@ -94,19 +94,35 @@ def without_shots(items: DataFrame, n_experiments: int, shot: Column) -> DataFra
     return with_experiments(items, n_experiments).withColumn("shots", none)
 
 
-def row_ranks(n_rows: Column, row: Column, experiment: Column, n_shots: int, run_seed: int) -> Column:
-    """Distinct ranks of a row's own draw, by integer arithmetic on the run, the row and the experiment.
+def row_number_of(run_seed: int, benchmark: Column, row: Column, experiment: Column, step: Column) -> Column:
+    """A 60-bit number that looks random, the same whenever it is asked for."""
+    name = F.concat_ws(":", F.lit(str(run_seed)), benchmark, *[c.cast("string") for c in (experiment, row, step)])
+    return F.conv(F.substring(F.md5(name.cast("binary")), 1, DIGITS), 16, 10).cast("long")
 
-    Two steps of a multiplicative generator give a start and a step; the ranks are `n_shots`
-    steps around the other rows. A step is short enough for a round never to close. Too few
-    other rows fail the job.
+
+def row_ranks(n_rows: Column, benchmark: Column, row: Column, experiment: Column, n_shots: int, run_seed: int) -> Column:
+    """Distinct ranks of a row's own draw: every ordered choice of `n_shots` other rows is equally likely.
+
+    Floyd's sampling: step i draws a rank up to the last one it may use. A new rank goes to the
+    front; a rank that is there already is kept, and the last one is put behind it. So k draws
+    give a uniform sample in uniform order, without a list of the other rows. The remainder of a
+    60-bit number favours no rank by more than a row count in 2^60. Too few other rows fail the job.
     """
     others = n_rows - 1
-    first = ((F.lit(run_seed * 69621) + experiment * 40692 + row) % PRIME * FACTOR + 12345) % PRIME
-    second = (first * FACTOR + row % PRIME + 1) % PRIME
-    start = (first * PRIME + second) % others
-    step = 1 + second % F.floor(others / n_shots)
-    ranks = F.transform(F.sequence(F.lit(0), F.lit(n_shots - 1)), lambda pos: (start + pos * step) % others)
+    steps = F.transform(
+        F.sequence(F.lit(0), F.lit(n_shots - 1)),
+        lambda i: F.struct(
+            (others - n_shots + i).alias("last"),
+            (row_number_of(run_seed, benchmark, row, experiment, i) % (others - n_shots + i + 1)).alias("rank"),
+        ),
+    )
+
+    def step(chosen: Column, s: Column) -> Column:
+        at = F.array_position(chosen, s["rank"]).cast("int")
+        behind = F.concat(F.slice(chosen, F.lit(1), at), F.array(s["last"]), F.slice(chosen, at + 1, F.size(chosen)))
+        return F.when(at > 0, behind).otherwise(F.concat(F.array(s["rank"]), chosen))
+
+    ranks = F.aggregate(steps, F.array().cast("array<bigint>"), step)
     short = F.raise_error(F.concat(F.lit("too few rows to draw shots from: "), n_rows.cast("string")))
     return F.when(others < n_shots, short.cast("array<bigint>")).otherwise(ranks)
 
@@ -117,20 +133,23 @@ def with_shots_per_row(
     """Like `with_shots`, every row drawing its own shots (the unseeded mode).
 
     The draw is a function of `run_seed` and the row, so a lost task redraws the same shots.
-    Positions are joined on (benchmark, idx), which spreads a large benchmark. `items` is read
-    three times and should be a staged table.
+    Every row asks for itself and for its shots. The requests are looked up by
+    (benchmark, idx), which spreads a large benchmark, and what is found goes to the row that
+    asked in one exchange. `items` is read twice and should be a staged table.
     """
-    rows = with_experiments(items, n_experiments)
-    ranks = row_ranks(F.col("n_rows"), F.col("idx"), F.col("experiment").cast("long"), n_shots, run_seed)
-    drawn = rows.select("benchmark", F.col("idx").alias("q"), "experiment", F.posexplode(ranks).alias("pos", "rank"))
-    wanted = drawn.withColumn(
-        "idx", F.when(F.col("rank") < F.col("q"), F.col("rank")).otherwise(F.col("rank") + 1)
-    )
-    found = wanted.join(items.select("benchmark", "idx", shot.alias("shot")), ["benchmark", "idx"])
-    shots = found.groupBy("benchmark", F.col("q").alias("idx"), "experiment").agg(
-        F.sort_array(F.collect_list(F.struct("pos", "shot"))).alias("found")
+    ranks = row_ranks(
+        F.col("n_rows"), F.col("benchmark"), F.col("idx"), F.col("experiment").cast("long"), n_shots, run_seed
     )
-    return rows.join(
-        shots.select("benchmark", "idx", "experiment", F.col("found.shot").alias("shots")),
-        ["benchmark", "idx", "experiment"],
+    keys = with_experiments(items.select("benchmark", "idx", "n_rows"), n_experiments)
+    places = F.transform(ranks, lambda rank: F.when(rank < F.col("idx"), rank).otherwise(rank + 1))
+    asked = F.concat(F.array(F.col("idx").cast("long")), places)
+    requests = keys.select("benchmark", F.col("idx").alias("__q"), "experiment", F.posexplode(asked).alias("__pos", "__idx"))
+    row = F.struct(*[F.col(f"`{c}`") for c in items.columns])
+    found = requests.join(
+        items.select(F.col("benchmark"), F.col("idx").cast("long").alias("__idx"), row.alias("__row"), shot.alias("__shot")),
+        ["benchmark", "__idx"],
     )
+    own = F.any_value(F.when(F.col("__pos") == 0, F.col("__row")), F.lit(True)).alias("__row")
+    drawn = F.collect_list(F.when(F.col("__pos") > 0, F.struct("__pos", "__shot")))
+    met = found.groupBy("benchmark", "__q", "experiment").agg(own, F.sort_array(drawn).alias("__drawn"))
+    return met.select("__row.*", "experiment", F.col("__drawn.__shot").alias("shots"))

@@ -109,6 +109,37 @@ def test_row_draws_are_distinct_and_repeatable(spark):
     assert len({tuple(s) for s in rows.values()}) > 40
 
 
+def test_every_ordered_pair_of_positions_is_equally_frequent(spark):
+    """Seven rows, two shots: 30 ordered pairs of the six others, over 700 experiments of each row."""
+    rows = S.with_experiments(spark.range(7).select(F.lit("b").alias("benchmark"), F.col("id").alias("idx")), 700)
+    ranks = S.row_ranks(F.lit(7), F.col("benchmark"), F.col("idx"), F.col("experiment").cast("long"), 2, 5)
+    counts = {tuple(r.ranks): r["count"] for r in rows.groupBy(ranks.alias("ranks")).count().collect()}
+    assert set(counts) == {(a, b) for a in range(6) for b in range(6) if a != b}
+    expected = 7 * 700 / 30
+    assert all(abs(n - expected) < 5 * expected**0.5 for n in counts.values())
+    assert sum((n - expected) ** 2 / expected for n in counts.values()) < 65  # 29 degrees of freedom, one in 10,000
+
+
+def test_all_rows_drawn_and_three_of_many(spark):
+    rows = S.with_experiments(spark.range(40).select(F.col("id").alias("idx")), 100)
+    draw = lambda n, k: S.row_ranks(F.lit(n), F.lit("b"), F.col("idx"), F.col("experiment").cast("long"), k, 1)
+    orders = {tuple(r.x) for r in rows.select(draw(4, 3).alias("x")).collect()}
+    assert orders == {(a, b, 3 - a - b) for a in range(3) for b in range(3) if a != b}
+    # Neighbours at equal distance are as rare as chance makes them.
+    drawn = [sorted(r.x) for r in rows.select(draw(101, 3).alias("x")).collect()]
+    assert sum(c - b == b - a for a, b, c in drawn) / len(drawn) < 0.03
+
+
+def test_row_draws_keep_all_columns(spark):
+    items = indexed(spark, {"a": 6}).withColumns({"pos": F.lit(1), "row": F.lit("x"), "a.b": F.lit(2)})
+    rows = S.with_shots_per_row(items, 2, 1, 3, F.struct("text", "row"))
+    assert rows.columns == [*items.columns, "experiment", "shots"]
+    texts = {r.idx: r.text for r in items.collect()}
+    for r in rows.collect():
+        assert r.text == texts[r.idx] and len(r.shots) == 2 and r["a.b"] == 2
+        assert {s.text for s in r.shots} <= set(texts.values()) - {r.text}
+
+
 def test_no_shots_and_too_many(spark):
     items = indexed(spark, {"a": 5})
     none = S.without_shots(items, 2, F.struct("id_bench"))
