@@ -508,11 +508,16 @@ SQL["partition_overwrite"] = query(
 )
 
 
+# What a partition folder's name has to escape, or could be taken to have escaped.
+ODD_NAME = " a:b%20=é*?"
+
+
 def stored_by_model(spark: SparkSession, sf: str) -> DataFrame:
     """A new batch of one model on one benchmark: all its other stored answers go, the other model's stay."""
     path = scratch_path(spark, "answers")
     for rows in (V.old_answers(spark, sf), V.new_answers(spark, sf)):
-        store_answers_by_model(spark, as_stored(rows), path)
+        odd = rows.withColumn("model_name", F.concat("model_name", F.lit(ODD_NAME)))
+        store_answers_by_model(spark, as_stored(odd), path)
     stored = read_table(spark, path, ANSWERS)
     return stored.select("id", "id_bench", "benchmark", "label", "model_name", "model_answer")
 
@@ -525,7 +530,7 @@ def as_stored(rows: DataFrame) -> DataFrame:
 
 QUERIES["store_by_model"] = stored_by_model
 SQL["store_by_model"] = query(
-    """SELECT item_key AS id, benchmark || '_' || item_key AS id_bench, benchmark, label, model_name, model_answer
+    f"""SELECT item_key AS id, benchmark || '_' || item_key AS id_bench, benchmark, label, model_name || '{ODD_NAME}' AS model_name, model_answer
     FROM (SELECT * FROM new_answers UNION ALL SELECT * FROM old_answers WHERE model_name <> 'beta')"""
 )
 

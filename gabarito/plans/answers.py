@@ -9,8 +9,9 @@ from gabarito.operators.infer import Scorer, answer_prompts
 from gabarito.operators.upsert import ANSWER_KEYS
 from gabarito.schemas import ANSWERS
 from gabarito.sources.csv import write_csv
-from gabarito.sources.tables import read_table, table_exists, write_table
-from gabarito.staging import delete_path, small_join, staged
+from gabarito.sources.replacing import replace_owners
+from gabarito.sources.tables import write_table
+from gabarito.staging import small_join, staged
 
 
 def answers_table(prompts: DataFrame, paths: list[str], scorer: Scorer, **options) -> DataFrame:
@@ -28,20 +29,10 @@ def store_answers_by_model(spark: SparkSession, answers: DataFrame, path: str) -
     """Upsert by model: what the batch's models had on other benchmarks goes, too.
 
     The batch is scored once, into a staged copy. Its partitions are overwritten first, then the
-    other files of its models are removed; no other model's files are read or written. A run
-    that stops in between leaves old partitions behind, and repeating it removes them.
+    other partitions of its models are removed; no other model's files are read or written. A
+    run that stops in between is finished by the next one (`sources.replacing`).
     """
-    batch = staged(answers, "answers")
-    keys = batch.select(*ANSWER_KEYS).distinct().collect()  # a row for each model and benchmark
-    old = None
-    if keys and table_exists(spark, path):
-        models = sorted({k.model_name for k in keys})
-        covered = F.concat_ws("\0", *ANSWER_KEYS).isin(["\0".join(k) for k in keys])
-        stale = read_table(spark, path, ANSWERS).where(F.col("model_name").isin(models) & ~covered)
-        old = [r.file for r in stale.select(F.input_file_name().alias("file")).distinct().collect()]
-    write_table(batch, path, ANSWER_KEYS)
-    for file in old or []:
-        delete_path(spark, file)
+    replace_owners(answers, path, ANSWER_KEYS)
 
 
 def export_answers(answers: DataFrame, path: str) -> None:

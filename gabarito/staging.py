@@ -37,9 +37,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
-    """Remove a file or folder on whatever file system holds it."""
+    """Remove a file or folder, if it is there, on whatever file system holds it."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.delete(target, True) and files.exists(target):
+        raise OSError(f"could not remove {path}")
 
 
 def clear_scratch(spark: SparkSession) -> None:

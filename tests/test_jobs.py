@@ -1,5 +1,6 @@
 """Sources, generation and the four jobs end to end."""
 
+import json
 import random
 
 import pandas as pd
@@ -20,6 +21,7 @@ from gabarito.plans.scoring import score_answers, store_eval
 from gabarito.registry import BENCHMARKS
 from gabarito.schemas import ANSWERS, EVAL, PROMPTS
 from gabarito.sources import csv as C
+from gabarito.sources import replacing
 from gabarito.sources import tables as S
 
 
@@ -318,6 +320,54 @@ def test_replacing_a_model_leaves_other_files_alone(spark, tmp_path):
     assert S.read_table(spark, str(path), ANSWERS).where("model_name = 'm'").count() == 1
 
 
+NAMES = ["two words", "a:b", "50%", "x=y", "è-é", "m%20n", "{1,2}*?[a]", "tab\there", "plain"]
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_replacement_holds_for_any_name(spark, tmp_path, name):
+    path = str(tmp_path / "with blank" / "a")
+    store_answers_by_model(spark, spark.createDataFrame(stored(name, "oab", 3) + stored(name, "b %:=é", 2) + stored("k", "oab", 2), ANSWERS), path)
+    store_answers_by_model(spark, spark.createDataFrame(stored(name, "b %:=é", 1), ANSWERS), path)
+    left = sorted((r.model_name, r.benchmark) for r in S.read_table(spark, path, ANSWERS).collect())
+    assert left == sorted([("k", "oab")] * 2 + [(name, "b %:=é")])
+
+
+@pytest.mark.parametrize("stop", ["write_table", "Folder.rename", "Folder.remove"])
+def test_a_stopped_replacement_is_finished_by_the_next(spark, tmp_path, monkeypatch, stop):
+    path = str(tmp_path / "a")
+    store_answers_by_model(spark, spark.createDataFrame(stored("m", "oab", 3) + stored("m", "enem", 2) + stored("k", "oab", 2), ANSWERS), path)
+
+    def stopped(*args):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as m:
+        owner = replacing.Folder if "." in stop else replacing
+        m.setattr(owner, stop.split(".")[-1], stopped)
+        with pytest.raises(KeyboardInterrupt):
+            store_answers_by_model(spark, spark.createDataFrame(stored("m", "oab", 1), ANSWERS), path)
+    store_answers_by_model(spark, spark.createDataFrame(stored("n", "oab", 1), ANSWERS), path)
+    left = sorted((r.model_name, r.id_bench) for r in S.read_table(spark, path, ANSWERS).collect())
+    assert left == [("k", "oab_0"), ("k", "oab_1"), ("m", "oab_0"), ("n", "oab_0")]
+    assert not replacing.finish_replacement(spark, path, ["model_name", "benchmark"])
+
+
+def test_a_lost_batch_removes_nothing(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "a")
+    store_answers_by_model(spark, spark.createDataFrame(stored("m", "oab", 1), ANSWERS), path)
+    folder = replacing.Folder(spark, path)
+    folder.write(replacing.WRITING, json.dumps({"batch": str(tmp_path / "gone"), "schema": ANSWERS.json(), "stale": ["model_name=m/benchmark=oab"]}))
+    with pytest.warns(UserWarning, match="store them again"):
+        store_answers_by_model(spark, spark.createDataFrame(stored("k", "oab", 1), ANSWERS), path)
+    assert S.read_table(spark, path, ANSWERS).count() == 2
+
+
+@pytest.mark.parametrize("model, bench", [(None, "oab"), ("m", None), ("", "oab")])
+def test_answers_need_a_model_and_a_benchmark(spark, tmp_path, model, bench):
+    with pytest.raises(ValueError, match="model_name and benchmark"):
+        store_answers_by_model(spark, spark.createDataFrame(stored(model, bench, 1), ANSWERS), str(tmp_path / "a"))
+    store_answers_by_model(spark, spark.createDataFrame([], ANSWERS), str(tmp_path / "a"))
+
+
 def test_export_numbers_gappy_ids(spark, tmp_path):
     rows = [r for r in stored("m", "oab", 5) if r[0] != 2] + stored("k", "enem", 2)
     export_answers(spark.createDataFrame(rows, ANSWERS), str(tmp_path / "e"))
