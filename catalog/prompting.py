@@ -3,6 +3,7 @@
 from collections.abc import Sequence
 from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +14,7 @@ from gabarito.functions import prompts as P
 from gabarito.functions.choices import columns_to_texts, drop_placeholders, render_choices, render_letters
 from gabarito.functions.text import escape_xml, mid_truncate, model_short_name, unescape_xml
 from gabarito.operators.clean import clean_benchmark
-from gabarito.operators.infer import answer_prompts, hosted_messages
+from gabarito.operators.infer import Scorer, answer_prompts, hosted_messages
 from gabarito.operators.models import (
     for_each_listed_model,
     group_models,
@@ -23,6 +24,7 @@ from gabarito.operators.models import (
     provider,
     split_hosted,
 )
+from gabarito.operators.resume import score_resumable
 from gabarito.operators.shots import with_shots
 from gabarito.plans.prompts import build_prompts, staged_items
 from gabarito.registry import (
@@ -41,6 +43,7 @@ from gabarito.registry import (
     benchmark,
     pattern_of,
 )
+from gabarito.staging import scratch_path
 
 QUERIES = {}
 SQL = {}
@@ -660,15 +663,18 @@ def parity_scorer(path: str, prompts: Sequence[str]) -> list[str]:
     return ["Sim, claro" if len(p) % 2 == 0 else "não" for p in prompts]
 
 
-def batch_generate(spark: SparkSession, sf: str) -> DataFrame:
-    """Prompts x models through a batch scorer; a failing row costs only itself."""
+def job_prompts(spark: SparkSession, sf: str) -> DataFrame:
     turns = turns_of(V.items_yes_no(spark, sf), "hatebr")
     none = F.filter(F.array("turns"), lambda t: F.lit(False))
     pattern = F.lit("yes_no")
     chat = P.build_chat(F.col("turns"), none, pattern)
     packed = pack_prompts(chat, F.col("turns"), none, pattern, group_models(JOB_MODELS))
-    prompts = turns.select("item_key", F.lit("hatebr").alias("benchmark"), packed.alias("prompt"))
-    answered = answer_prompts(prompts, JOB_PATHS, parity_scorer, batch_size=16, max_chars=5000)
+    return turns.select("item_key", F.lit("hatebr").alias("benchmark"), packed.alias("prompt"))
+
+
+def batch_generate(spark: SparkSession, sf: str) -> DataFrame:
+    """Prompts x models through a batch scorer; a failing row costs only itself."""
+    answered = answer_prompts(job_prompts(spark, sf), JOB_PATHS, parity_scorer, batch_size=16, max_chars=5000)
     return answered.select("item_key", "model_name", "model_answer", "parsed_model_answer", "error")
 
 
@@ -687,3 +693,33 @@ SQL["batch_generate"] = query(
                     || 'Assistant: ' || without_answer END AS prompt FROM turns_hatebr, models)))""",
     YES_NO_SQL,
 )
+
+
+def stopping_scorer(path, prompts):
+    """Breaks down on a prompt whose length ends in 3, which ends its task."""
+    if any(len(p) % 10 == 3 for p in prompts):
+        raise AssertionError("stopped")
+    return parity_scorer(path, prompts)
+
+
+def resume_answers(spark: SparkSession, sf: str) -> DataFrame:
+    """A run that breaks down half way, and one that takes its logged answers and asks for the rest."""
+    prompts, folder = job_prompts(spark, sf), scratch_path(spark, "log")
+
+    def answered(scorer: Scorer) -> DataFrame:
+        def score(rows: DataFrame) -> DataFrame:
+            return score_resumable(rows, scorer, folder, ["item_key"], batch_size=2)
+
+        return answer_prompts(prompts, JOB_PATHS, scorer, max_chars=5000, score=score)
+
+    try:
+        answered(stopping_scorer)
+    except PySparkException as e:
+        if "stopped" not in str(e):
+            raise
+    rows = answered(parity_scorer)
+    return rows.select("item_key", "model_name", "model_answer", "parsed_model_answer", "error")
+
+
+QUERIES["resume_answers"] = resume_answers
+SQL["resume_answers"] = SQL["batch_generate"]

@@ -23,17 +23,8 @@ Scorer = Callable[[str, Sequence[str]], Sequence[str | Exception]]
 PROGRAMMING_ERRORS = (TypeError, NameError, AttributeError, ImportError, SyntaxError, AssertionError)
 
 
-def score_batches(df: DataFrame, scorer: Scorer, batch_size: int = 32, attempts: int = 3) -> DataFrame:
-    """Adds `model_answer` and `error` to a table with `model_path` and `prompt`.
-
-    A row that fails is called up to `attempts` times: its answer is then null and `error` says
-    why. Rows that got an answer are never called again. A scorer reports a failed row with an
-    exception in its place; when it raises instead, the whole call failed, and its rows are
-    called one by one. Programming errors fail the job. Rows keep their order and every one
-    comes back.
-    """
-    fields = [*df.schema.fields, T.StructField("model_answer", T.StringType())]
-    schema = T.StructType([*fields, T.StructField("error", T.StringType())])
+def caller(scorer: Scorer, attempts: int) -> Callable[[str, list[str]], list[tuple[str | None, str | None]]]:
+    """(model path, prompts) -> (answer, error) of each prompt, failed ones called up to `attempts` times."""
 
     def once(path: str, prompts: list[str]) -> list[str | Exception]:
         try:
@@ -63,6 +54,23 @@ def score_batches(df: DataFrame, scorer: Scorer, batch_size: int = 32, attempts:
                     answers[i] = answer
         return [(None, str(a)) if isinstance(a, Exception) else (a, None) for a in answers]
 
+    return call
+
+
+def score_batches(df: DataFrame, scorer: Scorer, batch_size: int = 32, attempts: int = 3) -> DataFrame:
+    """Adds `model_answer` and `error` to a table with `model_path` and `prompt`.
+
+    A row that fails is called up to `attempts` times: its answer is then null and `error` says
+    why. Rows that got an answer are never called again. A scorer reports a failed row with an
+    exception in its place; when it raises instead, the whole call failed, and its rows are
+    called one by one. Programming errors fail the job. Rows keep their order and every one
+    comes back.
+    """
+    fields = [*df.schema.fields, T.StructField("model_answer", T.StringType())]
+    schema = T.StructType([*fields, T.StructField("error", T.StringType())])
+
+    call = caller(scorer, attempts)
+
     def run(pages: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for page in pages:
             page = page.reset_index(drop=True)
@@ -89,12 +97,14 @@ def answer_prompts(
     structured: bool = False,
     sentinel: bool = False,
     tasks: int | None = None,
+    score: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Prompts x models -> answers: resolve the prompt, generate, parse.
 
     `max_chars` cuts the middle out of longer prompts. `tasks` spreads slow scoring over that
     many tasks. With `sentinel` a failed row's answer is the prefixed error text, as in
-    published tables; its parsed answer is null either way.
+    published tables; its parsed answer is null either way. `score` takes the place of
+    `score_batches`, e.g. to resume a stopped run.
     """
     rows = prompts_for_models(prompts, paths)
     rows = rows.withColumn("model_name", model_short_name(F.col("model_path")))
@@ -102,7 +112,8 @@ def answer_prompts(
         rows = rows.withColumn("prompt", mid_truncate(F.col("prompt"), max_chars))
     if tasks:
         rows = rows.repartition(tasks, "id", "model_path")
-    return parse_answers(score_batches(rows, scorer, batch_size), structured, sentinel).drop("model_path")
+    answers = score(rows) if score else score_batches(rows, scorer, batch_size)
+    return parse_answers(answers, structured, sentinel).drop("model_path")
 
 
 def parse_answers(answers: DataFrame, structured: bool = False, sentinel: bool = False) -> DataFrame:

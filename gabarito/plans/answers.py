@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from gabarito.operators.clean import string_columns
 from gabarito.operators.index import renumber
 from gabarito.operators.infer import Scorer, answer_prompts
+from gabarito.operators.resume import score_resumable
 from gabarito.operators.upsert import ANSWER_KEYS
 from gabarito.schemas import ANSWERS
 from gabarito.sources.csv import write_csv
@@ -14,8 +15,15 @@ from gabarito.sources.tables import write_table
 from gabarito.staging import small_join, staged
 
 
-def answers_table(prompts: DataFrame, paths: list[str], scorer: Scorer, **options) -> DataFrame:
-    """Answers of the given models in the stored schema."""
+def answers_table(prompts: DataFrame, paths: list[str], scorer: Scorer, resume: str | None = None, **options) -> DataFrame:
+    """Answers of the given models in the stored schema.
+
+    With a folder `resume` answers are logged there while the models are asked, when this is
+    called, and rows that an earlier, stopped call has logged are not asked again.
+    """
+    if resume:
+        size = options.get("batch_size", 32)
+        options["score"] = lambda rows: score_resumable(rows, scorer, resume, batch_size=size)
     rows = answer_prompts(prompts, paths, scorer, **options)
     return string_columns(rows, ["shot_indices"]).select(*ANSWERS.names)
 

@@ -2,6 +2,8 @@
 
 import json
 import random
+import uuid
+from collections import Counter
 
 import pandas as pd
 import pytest
@@ -9,6 +11,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from gabarito.operators import infer as I
+from gabarito.operators.resume import score_resumable
 from gabarito.plans.answers import (
     answers_table,
     export_answers,
@@ -425,3 +428,64 @@ def test_failed_replacement_names_its_copy(spark, tmp_path, monkeypatch):
     with pytest.raises(RuntimeError, match="its new rows are in") as problem:
         S.replace_table(df, f"{target}/below")
     assert spark.read.parquet(str(problem.value).rsplit(" ", 1)[-1]).count() == 3
+
+
+def logging_scorer(log, broken=None):
+    """Notes every prompt it answers in a file of its own; breaks down where `broken` says so."""
+
+    def score(path, prompts):
+        if broken and broken(prompts):
+            raise AssertionError("stopped")
+        for p in prompts:
+            (log / f"{uuid.uuid4().hex}-{path.split('/')[-1]}-{p}").touch()
+        return [ValueError("busy") if p == "p7" else f"answer to {p}" for p in prompts]
+
+    return score
+
+
+def asked(log):
+    return sorted(f.name.split("-", 1)[1] for f in log.iterdir())
+
+
+@pytest.mark.parametrize("commit_rows", [1, 4, 1000])
+def test_a_stopped_run_asks_nothing_twice(spark, tmp_path, commit_rows):
+    log, folder = tmp_path / "log", str(tmp_path / "answers")
+    log.mkdir()
+    df = spark.createDataFrame([(i, f"m{i % 2}", f"p{i}") for i in range(40)], "id long, model_path string, prompt string").repartition(3)
+    with pytest.raises(PySparkException, match="stopped"):
+        score_resumable(df, logging_scorer(log, lambda ps: "p31" in ps), folder, batch_size=2, commit_rows=commit_rows, attempts=1)
+    half = len(asked(log))
+    assert 0 < half < 40
+    rows = score_resumable(df, logging_scorer(log), folder, batch_size=2, commit_rows=commit_rows, attempts=1)
+    got = {r.id: (r.model_path, r.model_answer, r.error) for r in rows.collect()}
+    assert got == {i: (f"m{i % 2}", None if i == 7 else f"answer to p{i}", "busy" if i == 7 else None) for i in range(40)}
+    assert rows.columns == ["id", "model_path", "prompt", "model_answer", "error"]
+    # Only the row that failed is asked again.
+    times = Counter(asked(log))
+    assert {p: n for p, n in times.items() if n > 1}.keys() <= {"m1-p7"} and len(times) == 40
+    score_resumable(df, logging_scorer(log), folder, attempts=1)
+    assert sum(Counter(asked(log)).values()) == sum(times.values()) + 1
+
+
+def test_changed_prompts_are_asked_and_old_ones_left_out(spark, tmp_path):
+    log, folder = tmp_path / "log", f"file://{tmp_path}/with blank/answers"
+    log.mkdir()
+    make = lambda texts: spark.createDataFrame([(i, "m", t) for i, t in texts], "id long, model_path string, prompt string")
+    score_resumable(make([(1, "a"), (2, "b"), (None, "c")]), logging_scorer(log), folder)
+    rows = score_resumable(make([(1, "a"), (2, "other")]), logging_scorer(log), folder)
+    assert sorted((r.id, r.model_answer) for r in rows.collect()) == [(1, "answer to a"), (2, "answer to other")]
+    again = score_resumable(make([(None, "c"), (3, None)]), logging_scorer(log), folder)
+    assert {(r.id, r.model_answer) for r in again.collect()} == {(None, "answer to c"), (3, "answer to None")}
+    assert asked(log) == ["m-None", "m-a", "m-b", "m-c", "m-other"]
+    assert score_resumable(make([(1, "a")]).where("id < 0"), logging_scorer(log), str(tmp_path / "none")).count() == 0
+
+
+def test_answers_table_resumes(spark, tmp_path):
+    log, folder = tmp_path / "log", str(tmp_path / "answers")
+    log.mkdir()
+    table = lambda scorer: answers_table(few_prompts(spark), ["org/m"], scorer, resume=folder, batch_size=1)
+    with pytest.raises(PySparkException, match="stopped"):
+        table(logging_scorer(log, lambda ps: ps == ["p9"]))
+    rows = table(logging_scorer(log))
+    assert rows.columns == ANSWERS.names and rows.where("model_answer LIKE 'answer to p%'").count() == 9
+    assert len(set(asked(log))) == 10
