@@ -52,8 +52,8 @@ def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
     A row is its doc_id and text, told by a 128-bit hash of the text, so rows that share a
     doc_id but not a text are judged one by one; of a group's rows with the smallest doc_id the
-    one with the smallest hash stays. A row that repeats both goes as well. Documents without
-    a doc_id stay, as do those without words. The rows to drop are few against the texts, which
+    one with the smallest hash stays. Of rows that share both, the one whose columns, written as
+    JSON, come first stays. Documents without a doc_id stay, as do those without words. The rows to drop are few against the texts, which
     are not shuffled while they can be broadcast.
     """
     ship(spark)
@@ -69,7 +69,10 @@ def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
         repeated, size = pinned_and_measured(repeated)
         if size <= BROADCAST_LIMIT:
             repeated = F.broadcast(repeated)
-        again = kept.join(repeated, key, "left_semi").dropDuplicates(["doc_id", "text"])
+        again = kept.join(repeated, key, "left_semi")
+        row = F.struct(*[F.col(f"`{c}`") for c in again.columns])
+        first = F.min_by(row, F.to_json(row)).alias("row")
+        again = again.groupBy(F.col("doc_id").alias("_id"), F.col("text").alias("_text")).agg(first).select("row.*")
         return kept.join(repeated, key, "left_anti").unionByName(again)
 
     return keeping(docs, key[1:], stage)
