@@ -64,6 +64,16 @@ def test_rows_of_one_doc_id_are_judged_by_their_texts(spark, folder, docs_of):
     assert sorted(kept, key=repr) == sorted(want, key=repr)
 
 
+def test_of_rows_equal_in_id_and_text_the_first_by_json_stays(spark, folder):
+    text = "a long enough text about the quiet house and the garden by the river"
+    rows = [(1, text, lang, source, n) for lang, source, n in (("fr", "b", 2), ("en", "z", 9), ("en", "a", 9), (None, "a", 1))]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, schema).repartition(4)
+        (kept,) = STAGES["distinct_documents"](spark, df, folder).collect()
+        assert tuple(kept) == (1, text, "en", "a", 9)
+
+
 def test_whole_run(spark, folder):
     done = corpus_pipeline.run(spark, folder)
     assert sorted(r["doc_id"] for r in done.collect()) == [*range(40), 201]
