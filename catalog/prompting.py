@@ -43,6 +43,7 @@ from gabarito.registry import (
     benchmark,
     pattern_of,
 )
+from gabarito.sources.tables import previews
 from gabarito.staging import scratch_path
 
 QUERIES = {}
@@ -723,3 +724,23 @@ def resume_answers(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES["resume_answers"] = resume_answers
 SQL["resume_answers"] = SQL["batch_generate"]
+
+
+def first_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """First row of two benchmarks rendered, one of them without its text."""
+    hate = V.items_yes_no(spark, sf).withColumn("third", F.col("item_key") % 3)
+    sources = {
+        "hatebr": hate.withColumn("sentence", F.when(F.col("third") != 0, F.col("sentence"))),
+        "tweetsentbr": V.items_tone(spark, sf).withColumn("third", -F.col("item_key")),
+    }
+    return previews(sources, ["third", "item_key"])
+
+
+QUERIES["preview"] = first_rows
+SQL["preview"] = query(
+    f"""SELECT 'hatebr' AS benchmark, {quoted(P.SYSTEM_PT)} AS system, {sql_fill(OFFENSIVE_USER, comment="sentence")} AS "user",
+        CASE label WHEN '1' THEN {quoted(OFFENSIVE_YES)} ELSE {quoted(OFFENSIVE_NO)} END AS with_answer, 'Resposta: ' AS without_answer
+    FROM (SELECT 'None' AS sentence, label FROM items_yes_no WHERE item_key % 3 = 0 ORDER BY item_key LIMIT 1)
+    UNION ALL SELECT 'tweetsentbr', {quoted(P.SYSTEM_PT)}, {sql_fill(TONE_USER)}, 'Resposta: ' || label, 'Resposta: '
+    FROM (SELECT * FROM items_tone ORDER BY item_key DESC LIMIT 1)"""
+)

@@ -29,7 +29,7 @@ from gabarito.plans.scoring import store_eval
 from gabarito.registry import BENCHMARKS
 from gabarito.schemas import ANSWERS, EVAL, PROMPTS
 from gabarito.sources.csv import read_shards, write_csv
-from gabarito.sources.tables import load_benchmark, preview, read_table, read_table_or_csv, write_table
+from gabarito.sources.tables import load_benchmark, previews, read_table, read_table_or_csv, write_table
 from gabarito.staging import clear_scratch
 
 
@@ -58,6 +58,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     answers.add_argument("--models", nargs="+", required=True)
     answers.add_argument("--scorer", required=True, help="module:function, (model, prompts) -> answers")
     answers.add_argument("--batch-size", type=int, default=32)
+    answers.add_argument("--resume", help="folder that logs answers, for a run that may stop")
     answers.add_argument("--max-chars", type=int)
     answers.add_argument("--tasks", type=int)
     answers.add_argument("--structured", action="store_true")
@@ -119,7 +120,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     elif args.job == "answers":
         prompts = read_table(spark, args.prompts, PROMPTS)
         options = {"batch_size": args.batch_size, "max_chars": args.max_chars}
-        options |= {"tasks": args.tasks, "structured": args.structured}
+        options |= {"tasks": args.tasks, "structured": args.structured, "resume": args.resume}
         store_answers(answers_table(prompts, args.models, load(args.scorer), **options), args.answers)
     elif args.job == "score":
         if args.csv:
@@ -136,10 +137,10 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         rows = read_shards(spark, args.shards, ANSWERS, expected=args.expected)
         store_answers(rows.select(ANSWERS.names), args.answers)
     elif args.job == "preview":
-        for name in args.benchmarks:
-            rows = preview(load_benchmark(spark, args.sources, BENCHMARKS[name]), BENCHMARKS[name])
-            for turns in rows.collect():  # one row
-                print(f"[{name}]", *[f"{k}: {v}" for k, v in turns.asDict().items()], sep="\n")
+        rows = previews({name: load_benchmark(spark, args.sources, BENCHMARKS[name]) for name in args.benchmarks})
+        for turns in rows.collect():  # one row a benchmark
+            name, *texts = turns.asDict().items()
+            print(f"[{name[1]}]", *[f"{k}: {v}" for k, v in texts], sep="\n")
     else:
         flags = custom_flags(spark, args.models, args.custom_flags) if args.custom_flags else None
         scored = read_table(spark, args.eval, EVAL)

@@ -45,11 +45,16 @@ def standardise(df: DataFrame, bench: Benchmark) -> DataFrame:
     return named if bench.label == "label" else named.drop(bench.label)
 
 
+def sanitised(df: DataFrame, bench: Benchmark) -> DataFrame:
+    """Rows whose stored alternatives are repaired, where the benchmark asks for it."""
+    if bench.sanitize and isinstance(df.schema[bench.sanitize].dataType, T.StringType):
+        return df.withColumn(bench.sanitize, sanitize_alternatives(F.col(bench.sanitize)))
+    return df
+
+
 def clean_benchmark(df: DataFrame, bench: Benchmark) -> DataFrame:
     """Sanitised, complete and standardised rows of one benchmark."""
-    if bench.sanitize and isinstance(df.schema[bench.sanitize].dataType, T.StringType):
-        df = df.withColumn(bench.sanitize, sanitize_alternatives(F.col(bench.sanitize)))
-    return standardise(complete_rows(df, bench.columns), bench)
+    return standardise(complete_rows(sanitised(df, bench), bench.columns), bench)
 
 
 def bench_id(index: str = "idx") -> Column:

@@ -1,7 +1,9 @@
 """CSV forms of the pipeline tables."""
 
+import csv
 import re
 import warnings
+from collections import Counter
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -38,8 +40,8 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType) -
     """CSV with a fixed schema, columns matched by each file's own header, index columns dropped.
 
     Files may hold their columns in different orders: they are read in groups of equal headers,
-    and a column that a group lacks is null. Nested columns are stored as JSON. Headers are read
-    file by file when this is called.
+    and a column that a group lacks is null. Nested columns are stored as JSON. Of every file
+    only the beginning is opened when this is called, to see its header; no job runs for that.
     """
     return _read_csv(spark, path, schema).drop(FILE)
 
@@ -47,14 +49,40 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType) -
 def _read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
     headers: dict[tuple[str, ...], list[str]] = {}
     for file in files_below(spark, path):
-        header = spark.read.options(**FORMAT).csv(literal_path(file)).columns
-        headers.setdefault(tuple(header), []).append(literal_path(file))
+        headers.setdefault(header_of(spark, file), []).append(literal_path(file))
     groups = [_read_group(spark, files, header, schema) for header, files in headers.items() if header]
     if not groups:
         return spark.createDataFrame([], schema).withColumn(FILE, F.lit(None).cast("string"))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), groups)
 
 
+def header_of(spark: SparkSession, file: str) -> tuple[str, ...]:
+    """Column names in the first record of a file, which may be compressed; none if it is empty.
+
+    Names that repeat, and empty ones, are numbered by their place, so that every column has its own.
+    """
+    hadoop = spark._jvm.org.apache.hadoop
+    path = hadoop.fs.Path(file)
+    codec = hadoop.io.compress.CompressionCodecFactory(spark._jsc.hadoopConfiguration()).getCodec(path)
+    raw = path.getFileSystem(spark._jsc.hadoopConfiguration()).open(path)
+    lines = spark._jvm.java.io.BufferedReader(
+        spark._jvm.java.io.InputStreamReader(codec.createInputStream(raw) if codec else raw, "UTF-8")
+    )
+    try:
+        # A quoted line break goes on in the next line; the parser asks for as many as it needs.
+        names = next(csv.reader(iter(lambda: _line(lines), None), doublequote=True), [])
+    finally:
+        lines.close()
+    names = [n.removeprefix("\ufeff") if i == 0 else n for i, n in enumerate(names)]
+    lowered = Counter(n.lower() for n in names)
+    return tuple(n if n and lowered[n.lower()] == 1 else f"{n or '_c'}{i}" for i, n in enumerate(names))
+
+
+def _line(lines: object) -> str | None:
+    text = lines.readLine()
+    return None if text is None else text + "\n"
+
+
 def literal_path(file: str) -> str:
     """A path whose pattern characters stand for themselves."""
     return re.sub(r"([\[\]{}*?\\])", r"\\\1", file)

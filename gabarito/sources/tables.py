@@ -5,10 +5,10 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
-from gabarito.operators.clean import clean_benchmark
-from gabarito.registry import Benchmark
+from gabarito.operators.clean import sanitised, standardise
+from gabarito.registry import Benchmark, benchmark
 from gabarito.sources.csv import read_csv
 from gabarito.staging import scratch_path
 
@@ -106,7 +106,27 @@ def load_benchmark(spark: SparkSession, root: str, bench: Benchmark) -> DataFram
     return load(bench.subset)
 
 
+def previews(sources: dict[str, DataFrame], order: list[str] | None = None) -> DataFrame:
+    """First row of every benchmark, by its `order` key, as it is stored and rendered through its template.
+
+    The first row is shown even if it is incomplete: missing texts read None. It is found by a
+    map-side minimum, all benchmarks in one job, and only that row is rendered. A benchmark
+    without rows is not shown.
+    """
+
+    def first(name: str, rows: DataFrame) -> DataFrame:
+        bench = benchmark(name)
+        whole = F.struct(*[F.col(f"`{c}`") for c in rows.columns])
+        kept = rows.agg(F.min_by(whole, F.struct(*(order or SOURCE_ORDER))).alias("row")).where("row IS NOT NULL")
+        row = standardise(sanitised(kept.select("row.*"), bench), bench)
+        texts = [f.name for f in row.schema if isinstance(f.dataType, StringType)]
+        row = row.withColumns({c: F.coalesce(F.col(f"`{c}`"), F.lit("None")) for c in texts})
+        return row.select(F.lit(name).alias("benchmark"), bench.template(row).alias("turns"))
+
+    shown = reduce(DataFrame.unionByName, (first(name, rows) for name, rows in sources.items()))
+    return shown.select("benchmark", "turns.*")
+
+
 def preview(rows: DataFrame, bench: Benchmark, order: list[str] | None = None) -> DataFrame:
-    """First row of a benchmark, by file and place in it, rendered through its template."""
-    cleaned = clean_benchmark(rows.orderBy(*(order or SOURCE_ORDER)).limit(1), bench)
-    return cleaned.select(bench.template(cleaned).alias("turns")).select("turns.*")
+    """First row of one benchmark, rendered."""
+    return previews({bench.name: rows}, order).drop("benchmark")

@@ -1,5 +1,6 @@
 """Sources, generation and the four jobs end to end."""
 
+import gzip
 import json
 import random
 import uuid
@@ -9,6 +10,7 @@ import pandas as pd
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gabarito.operators import infer as I
 from gabarito.operators.resume import score_resumable
@@ -82,6 +84,26 @@ def test_csv_written_by_pandas(spark, tmp_path):
     assert sorted(map(tuple, back.collect())) == [(1, "1", 'a "q"\nb'), (2, None, "c,d")]
 
 
+def test_headers_of_many_files_cost_no_jobs(spark, tmp_path):
+    folder = tmp_path / "many"
+    folder.mkdir()
+    for i in range(500):
+        columns = ["a", "b\nc", "n"] if i % 2 else ["n", "b\nc", "a"]
+        values = {"a": f'"x, ""{i}"""', "b\nc": '"two\nlines"', "n": str(i)}
+        text = ",".join(f'"{c}"' for c in columns) + "\n" + ",".join(values[c] for c in columns) + "\n"
+        (folder / f"{i:03}.csv").write_text(text)
+    (folder / "empty.csv").write_text("")
+    (folder / "zipped.csv.gz").write_bytes(gzip.compress(b"a,n\nz,500\n"))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("headers", "headers")
+    rows = C.read_csv(spark, str(folder), T.StructType.fromDDL("a string, `b\nc` string, n long"))
+    jobs = len(tracker.getJobIdsForGroup("headers"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs <= 8
+    got = {r["n"]: (r["a"], r["b\nc"]) for r in rows.collect()}
+    assert got == {i: (f'x, "{i}"', "two\nlines") for i in range(500)} | {500: ("z", None)}
+
+
 def test_missing_shards(spark, tmp_path):
     df = spark.range(6).select(F.col("id").cast("string").alias("label"), (F.col("id") % 3).cast("int").alias("shard"))
     C.write_shards(df, str(tmp_path / "s"))
@@ -211,6 +233,11 @@ def test_source_order_and_preview(spark, sources):
     assert rows.select("source_file", "source_row").distinct().count() == 16
     shown = S.preview(S.load_benchmark(spark, sources, BENCHMARKS["oab"]), BENCHMARKS["oab"]).first()
     assert shown.user.startswith("Pergunta:\nq0.") and shown.with_answer.endswith("(A)")
+    # An incomplete first row is shown as it is; a benchmark without rows is not.
+    hate = S.load_benchmark(spark, sources, BENCHMARKS["hatebr"])
+    broken = hate.withColumn("sentence", F.when(F.col("source_row") > 0, F.col("sentence")))
+    (only,) = S.previews({"hatebr": broken, "portuguese_hate_speech": broken.where("false")}).collect()
+    assert only.benchmark == "hatebr" and "None" in only.user
 
 
 def test_command_line(spark, sources, tmp_path, monkeypatch):
