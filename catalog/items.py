@@ -39,7 +39,7 @@ from gabarito.operators.shots import (
 from gabarito.plans.answers import store_answers_by_model
 from gabarito.registry import benchmark
 from gabarito.schemas import ANSWERS
-from gabarito.sources.csv import read_csv, read_shards, write_csv
+from gabarito.sources.csv import read_csv, read_shards, write_csv, write_shards
 from gabarito.sources.tables import (
     load_benchmark,
     read_table,
@@ -188,10 +188,12 @@ SQL["head_percent"] = query(
 
 
 def contiguous_shards(spark: SparkSession, sf: str) -> DataFrame:
-    """The whole orders table cut into seven runs."""
+    """The whole orders table cut into seven runs, written as a file each and read back."""
     rows = V.items_tone(spark, sf).select("item_key")
     indexed = dense_index(rows, [], ["item_key"])
-    return indexed.select("item_key", contiguous_shard(F.col("idx"), F.col("n_rows"), 7).alias("shard"))
+    path = scratch_path(spark, "shards")
+    write_shards(indexed.select("item_key", contiguous_shard(F.col("idx"), F.col("n_rows"), 7).alias("shard")), path, shards=7)
+    return read_shards(spark, path, rows.schema, expected=7).select("item_key", "shard")
 
 
 QUERIES["contiguous_shards"] = contiguous_shards

@@ -110,8 +110,17 @@ def write_csv(df: DataFrame, path: str, escape: bool = False) -> None:
     out.write.mode("overwrite").options(**FORMAT).csv(path)
 
 
-def write_shards(df: DataFrame, path: str, shard: str = "shard") -> None:
-    """One sub-folder per shard number."""
+def write_shards(df: DataFrame, path: str, shard: str = "shard", shards: int | None = None, files: int = 1) -> None:
+    """One sub-folder per shard number, with `files` files each.
+
+    With the number of `shards` known, rows go straight to the task of their shard, so tasks and
+    shards do not multiply; a large shard is dealt over several `files`. Without it every task
+    writes a file for each shard it holds rows of. Shards without rows get no folder.
+    """
+    if shards:
+        # By content, so that a repeated task deals its rows out alike.
+        part = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(files)).cast("int")
+        df = df.repartitionById(shards * files, F.col(shard).cast("int") * files + part)
     df.write.mode("overwrite").options(**FORMAT).partitionBy(shard).csv(path)
 
 

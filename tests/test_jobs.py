@@ -104,6 +104,18 @@ def test_headers_of_many_files_cost_no_jobs(spark, tmp_path):
     assert got == {i: (f'x, "{i}"', "two\nlines") for i in range(500)} | {500: ("z", None)}
 
 
+@pytest.mark.parametrize("files", [1, 3])
+def test_shards_are_placed_directly(spark, tmp_path, files):
+    df = spark.range(900).select("id", F.concat(F.lit("text, "), "id").alias("t"), (F.col("id") % 6).cast("int").alias("shard"))
+    df = df.where("shard <> 4").repartition(7)
+    C.write_shards(df, str(tmp_path / "s"), shards=6, files=files)
+    folders = {f.name: len(list(f.glob("*.csv"))) for f in (tmp_path / "s").iterdir() if f.is_dir()}
+    assert folders == {f"shard={k}": files for k in (0, 1, 2, 3, 5)}
+    with pytest.warns(UserWarning, match=r"\[4\] of 6"):
+        back = C.read_shards(spark, str(tmp_path / "s"), T.StructType.fromDDL("id long, t string"), expected=6)
+    assert sorted(map(tuple, back.select(df.columns).collect())) == sorted(map(tuple, df.collect()))
+
+
 def test_missing_shards(spark, tmp_path):
     df = spark.range(6).select(F.col("id").cast("string").alias("label"), (F.col("id") % 3).cast("int").alias("shard"))
     C.write_shards(df, str(tmp_path / "s"))
