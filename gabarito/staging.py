@@ -63,7 +63,7 @@ def staged(df: DataFrame, name: str, partition_by: list[str] | None = None) -> D
     """`df` as a written table in the shared folder, for results that several passes prune."""
     path = scratch_path(df.sparkSession, name)
     (df.write.partitionBy(*partition_by) if partition_by else df.write).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path).select(df.columns)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*[F.col("`" + c.replace("`", "``") + "`") for c in df.columns])
 
 
 def pinned_and_measured(df: DataFrame) -> tuple[DataFrame, int]:
