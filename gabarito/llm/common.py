@@ -41,6 +41,15 @@ def without(df: DataFrame, names: Iterable[str]) -> DataFrame:
     return df.drop(*clashing) if clashing else df
 
 
+def unused(df: DataFrame, names: Iterable[str]) -> list[str]:
+    """Working names for columns beside those of `df`: none of them is taken in any case."""
+    taken, tail = {c.lower() for c in df.columns}, ""
+    names = list(names)
+    while any(f"_{n}{tail}" in taken for n in names):
+        tail += "_"
+    return [f"_{n}{tail}" for n in names]
+
+
 def slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
     """Parts of a batch of bounded text bytes and rows, so that work per part fits in memory."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()

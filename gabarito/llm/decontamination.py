@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from gabarito.llm.common import append_columns
+from gabarito.llm.arrays import merged
+from gabarito.llm.common import append_columns, unused
 from gabarito.staging import staged
 
 WINDOW = 13
@@ -126,20 +127,6 @@ def scan(docs: DataFrame, text_col: str, patterns: list[tuple[str, str | None]])
     return append_columns(docs, text_col, FIELDS, start)
 
 
-def merged_spans(spans: Column) -> Column:
-    """A sorted union of spans given in any order."""
-
-    def step(done: Column, span: Column) -> Column:
-        last = F.element_at(done, -1)
-        joined = F.struct(last["start"].alias("start"), F.greatest(last["end"], span["end"]).alias("end"))
-        apart = (F.size(done) == 0) | (F.try_element_at(done, F.lit(-1))["end"] < span["start"])
-        return F.when(apart, F.concat(done, F.array(span))).otherwise(
-            F.concat(F.slice(done, 1, F.size(done) - 1), F.array(joined))
-        )
-
-    return F.aggregate(F.array_sort(spans), F.array().cast(ArrayType(SPAN)), step)
-
-
 def find_benchmark_words(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -163,9 +150,7 @@ def find_benchmark_words(
     """
     found = windows(benchmark, item_col, item_text_col, window)
     passes = max(1, -(-found.count() // patterns_per_pass))
-    row = "_row"
-    while row in [c.lower() for c in docs.columns]:
-        row += "_"
+    row, spans, items = unused(docs, ["row", "spans", "items"])
     if passes > 1:
         docs = staged(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
     scans = []
@@ -181,15 +166,14 @@ def find_benchmark_words(
         hits = other.where(F.size("spans") > 0).select(row, "spans", "items")
         more = hits if more is None else more.unionByName(hits)
     more = more.groupBy(row).agg(
-        F.flatten(F.collect_list("spans")).alias("_spans"), F.flatten(F.collect_list("items")).alias("_items")
+        F.flatten(F.collect_list("spans")).alias(spans), F.flatten(F.collect_list("items")).alias(items)
     )
     empty = F.array()
     return (
         first.join(more, row, "left")
-        .withColumn("spans", merged_spans(F.concat("spans", F.coalesce("_spans", empty.cast(ArrayType(SPAN))))))
-        .withColumn("items", F.array_sort(F.array_distinct(F.concat("items", F.coalesce("_items", empty.cast("array<string>"))))))
-        .drop("_spans", "_items")
-        .select([c for c in first.columns if c != row])
+        .withColumn("spans", merged(F.concat("spans", F.coalesce(spans, empty.cast(ArrayType(SPAN))))))
+        .withColumn("items", F.array_sort(F.array_distinct(F.concat("items", F.coalesce(items, empty.cast("array<string>"))))))
+        .select([f"`{c}`" for c in first.columns if c != row])
     )
 
 

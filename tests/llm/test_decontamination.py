@@ -68,6 +68,14 @@ def test_several_passes_judge_rows_without_unique_ids(tables, docs_of):
     assert find_benchmark_words(df, benchmark, window=3, patterns_per_pass=17).columns == find_benchmark_words(df, benchmark, window=3).columns
 
 
+def test_several_passes_keep_clashing_columns(tables):
+    docs, items, df, benchmark = tables
+    df = df.withColumns({"_spans": F.lit("a"), "_ITEMS": F.lit("b"), "_row": F.lit("c"), "a.b": F.lit("d"), "items": F.lit("e")})
+    found = find_benchmark_words(df, benchmark, window=3, patterns_per_pass=17)
+    assert found.select("_spans", "_ITEMS", "_row", "`a.b`").distinct().collect() == [("a", "b", "c", "d")]
+    assert got(df, benchmark, window=3, patterns_per_pass=17) == by_hand(docs, items, 3)
+
+
 def test_share_of_one_in_twenty(docs_of, spark):
     benchmark = spark.createDataFrame([("q", "alpha")], "item_id string, text string")
     docs = [(1, "alpha " + "x " * 19), (2, "alpha " + "x " * 20), (3, "x")]

@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 from collections import defaultdict
 
 from pyspark.sql import functions as F
@@ -33,10 +34,11 @@ def by_hand(rows, most=2):
     finds, owners = [], defaultdict(set)
     for _, source, text in rows:
         own = base(text)
+        taken = {k for s, _, e, *_ in own for k in range(s, e)}
         for m in KINDS["owned"].finditer(text or ""):
             fits = len(m[0]) >= 20 and re.search("[0-9]", m[0]) and re.search("[A-Za-z]", m[0])
-            if fits and not any(s < m.end() and m.start() < e for s, _, e, kind, _ in own if kind != "owned"):
-                own = own + [(m.start(), 3, m.end(), "owned", m[0])]
+            if fits and taken.isdisjoint(range(*m.span())):
+                own.append((m.start(), 3, m.end(), "owned", m[0]))
         finds.append(own)
         for *_, value in own:
             owners[value].add(source)
@@ -79,3 +81,38 @@ def test_redaction_and_rows(spark):
     assert sorted(map(str, texts)) == sorted(["a [SECRET] é [SECRET] z"] * 2 + ["clean", "None", ""])
     assert scan_secrets(df.where("false")).count() == 0
     assert "text" not in scan_secrets(df, keep_text=False).columns
+
+
+def test_working_names_of_the_input_stay(spark):
+    names = ["_row", "_base", "_Candidates", "_verdicts", "_owner", "_repository", "row", "nth"]
+    df = spark.createDataFrame([(1, "s", f"token={HEX}")], "doc_id long, source string, text string")
+    df = df.withColumns({n: F.lit(n) for n in names})
+    found = scan_secrets(df)
+    assert found.columns == [*df.columns, "spans"]
+    assert found.select(*names).collect() == [tuple(names)]
+    assert found.select(redacted().alias("t")).first()["t"] == "[SECRET]"
+
+
+def test_very_many_finds_in_one_text(spark):
+    """Finds of all kinds, repeated values among them, by tens of thousands in one text."""
+    rng = random.Random(8)
+    values = ["".join(rng.choice("0123456789abcdef") for _ in range(24)) for _ in range(5_000)]
+    kinds = [lambda v: v, lambda v: f"token={v}", lambda v: f"G{v}", lambda v: f"AKIA{v[:20].upper()}é"]
+    text = " ".join(rng.choice(kinds)(rng.choice(values)) for _ in range(60_000))
+    rows = [(1, "a", text), (2, "b", values[0]), (3, "c", f"G{values[1]} G{values[2]}")]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    began = time.monotonic()
+    found = scan_secrets(df).select("doc_id", written(F.col("spans")).alias("s"), redacted().alias("t")).collect()
+    assert time.monotonic() - began < 60
+    assert {r["doc_id"]: r["s"] for r in found} == by_hand(rows)
+    clean = {r["doc_id"]: r["t"] for r in found}
+    assert clean[1] == replaced(text, {r["doc_id"]: r["s"] for r in found}[1])
+
+
+def replaced(text, spans):
+    out, at = [], 0
+    for start, end in sorted((int(x), int(y)) for _, x, y in (s.split(":") for s in spans.split(","))):
+        if start > at or not out:
+            out.append(text[at:start])
+        at = max(at, end)
+    return "[SECRET]".join([*out, text[at:]])
