@@ -95,4 +95,5 @@ def append_columns(
                     [c.cast(f.type) for c, f in zip(columns + new, arrow)], schema=arrow
                 )
 
-    return rest.mapInArrow(run, schema)
+    # By position, since names with dots are read as paths there.
+    return rest.toDF(*[f"c{i}" for i in range(len(rest.columns))]).mapInArrow(run, schema)
