@@ -26,7 +26,7 @@ def _literal(text: str):
 
 @F.pandas_udf(ALTERNATIVES)
 def _read_literal(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-    """Literals JSON cannot express (None, tuples, escapes). Rows handled before arrive as null."""
+    """Literals the JVM cannot read (None, tuples, escapes by number or name). Rows handled before arrive as null."""
     for batch in batches:
         rows = []
         for text in batch:
@@ -38,22 +38,57 @@ def _read_literal(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["text", "label"])
 
 
+# Escapes of a Python string that stand for one character, without the vertical
+# tab, which Python and the JVM write differently in JSON; and how those begin that only Python reads.
+ESCAPES = {"\\": "\\", "'": "'", '"': '"', "n": "\n", "t": "\t", "r": "\r", "a": "\a", "b": "\b", "f": "\f"}
+LONG_ESCAPE = r"\\(?:[xuUNv0-7\n\r]|$)"
+# Characters for private use, one an escape, that stand for it while the literal is read.
+MARKS = "".join(chr(0xE000 + i) for i in range(len(ESCAPES)))
+
+
+def _marked(text: Column, forms: str) -> Column:
+    """A literal of strings only, with a mark for every escape; null if its skeleton has another form.
+
+    The skeleton is what stays without strings and blanks. Backslashes stand in runs, which are
+    read in pairs from the left; one before any other character is part of the string.
+    """
+    marked = text
+    for escape, mark in zip(ESCAPES, MARKS):
+        marked = F.replace(marked, F.lit("\\" + escape), F.lit(mark))
+    skeleton = F.regexp_replace(F.regexp_replace(marked, r"""'[^']*'|"[^"]*\"""", ""), r"\s", "")
+    readable = ~text.rlike(f"[{MARKS}]") & ~marked.rlike(LONG_ESCAPE) & skeleton.rlike(f"^(?:{forms})$")
+    return F.when(F.contains(text, F.lit("\\")) & readable, F.replace(marked, F.lit("\\"), F.lit(MARKS[0])))
+
+
+def _unmarked(items: Column) -> Column:
+    return F.transform(items, lambda t: F.translate(t, MARKS, "".join(ESCAPES.values())))
+
+
+# Skeletons of a list of strings and of a record of two such lists.
+LIST = r"\[,*\]"
+RECORD = r"\{:\[,*\],:\[,*\]\}"
+
+
 def read_alternatives(text: Column) -> Column:
     """Stored literal (JSON or Python form, `{text, label}` or plain list) -> struct(text, label).
 
-    JSON-compatible literals are read by the JVM. Only what is left goes to Python, and every
-    row already read passes there as null. Backslashes are left to Python because the two
-    notations disagree about them. What neither reads has a null `text`.
+    JSON-compatible literals are read by the JVM, and so are lists of strings with one-character
+    escapes, in Python's sense of them. Only what is left goes to Python (None, tuples, escapes
+    by number or name), and every row already read passes there as null. What neither reads has
+    a null `text`.
     """
     simple = F.when(~F.contains(text, F.lit("\\")), text)
     plain = F.from_json(simple, "array<string>")
     as_list = F.when(F.startswith(F.ltrim(simple), F.lit("[")) & plain.isNotNull(), plain)
     record = F.from_json(simple, ALTERNATIVES)
-    texts = F.coalesce(record["text"], as_list)
+    escaped_list = _unmarked(F.from_json(_marked(text, LIST), "array<string>"))
+    escaped = F.from_json(_marked(text, RECORD), ALTERNATIVES)
+    texts = F.coalesce(record["text"], as_list, _unmarked(escaped["text"]), escaped_list)
+    labels = F.coalesce(record["label"], _unmarked(escaped["label"]))
     rest = _read_literal(F.when(texts.isNull(), text))
     return F.struct(
         F.coalesce(texts, rest["text"]).alias("text"),
-        F.when(texts.isNotNull(), record["label"]).otherwise(rest["label"]).alias("label"),
+        F.when(texts.isNotNull(), labels).otherwise(rest["label"]).alias("label"),
     )
 
 
@@ -83,6 +118,10 @@ def _repair_literal(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield pd.Series(repaired, dtype=object)
 
 
+# The order of keys stays, so the JVM writes only what it would write in the same order.
+FIRST_TEXT = r"""^\s*\{\s*["']text["']"""
+
+
 def sanitize_alternatives(text: Column) -> Column:
     r"""Repair LaTeX backslashes in a stored literal and write it back as JSON.
 
@@ -104,6 +143,10 @@ def sanitize_alternatives(text: Column) -> Column:
         & record["label"].isNotNull()
     )
     native = F.when(whole, F.to_json(record))
+    marked = F.from_json(_marked(F.when(safe.rlike(FIRST_TEXT), safe), RECORD), ALTERNATIVES)
+    lists = F.struct(*[_unmarked(marked[key]).alias(key) for key in ("text", "label")])
+    escaped = F.when(marked["text"].isNotNull() & marked["label"].isNotNull(), F.to_json(lists))
+    native = F.coalesce(native, escaped)
     blank = strip(text) == ""
     rest = _repair_literal(F.when(native.isNull() & ~blank, safe))
     return F.coalesce(native, rest, text)

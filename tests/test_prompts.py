@@ -1,7 +1,10 @@
 """Templates, choices and prompt assembly, spelled out."""
 
 import json
+import random
+import re
 
+import pandas as pd
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -151,6 +154,67 @@ def test_sanitised_literals(spark):
     assert got[3:] == texts[3:]
 
 
+@pytest.fixture(scope="module")
+def random_literals():
+    """Lists and records of quoted strings with escapes of every kind, some of them broken."""
+    rng = random.Random(12)
+    bits = ["\\\\", "\\'", '\\"', "\\n", "\\t", "\\a", "\\f", "\\alpha", "\\frac{1}{2}", "\\c", "\\ ", "x", "é", "😀", ", ", "]", ":", "/", "$"]
+    odd = ["\\x41", "\\u00e9", "\\101", "\\v", "\\uparrow", "\\\n", "\ue001", "'", '"', "\t", "\\"]
+
+    def string(strange):
+        quote = rng.choice("'\"")
+        return quote + "".join(rng.choice(odd if rng.random() < strange else bits) for _ in range(rng.randrange(6))) + quote
+
+    def items(strange):
+        inside = [string(strange) for _ in range(rng.randrange(5))]
+        return "[" + rng.choice([",", ", ", " ,\n"]).join(inside) + rng.choice(["]"] * 20 + [",]", "", ", None]", ", 1.50]"])
+
+    forms = [
+        "{t}",
+        "{{'text': {t}, 'label': {l}}}",
+        "{{'label': {l}, \"text\":{t}}}",
+        " {{ 'text' : {t} , 'label' : {l} }} ",
+        "{{'text': {t}}}",
+        "{{'text': {t}, 'other': {l}}}",
+        "({t}, {l})",
+    ]
+    return [rng.choice(forms).format(t=items(s), l=items(s)) for s in [0.0] * 1500 + [0.1] * 1500]
+
+
+def test_random_literals_are_read_as_python_reads_them(spark, random_literals):
+    df = spark.createDataFrame(list(enumerate(random_literals)), "i int, t string")
+    jvm = F.coalesce(
+        F.from_json(C._marked(F.col("t"), C.LIST), "array<string>"), F.from_json(C._marked(F.col("t"), C.RECORD), C.ALTERNATIVES)["text"]
+    )
+    read = df.orderBy("i").select("t", C.read_alternatives(F.col("t")).alias("a"), jvm.isNotNull().alias("jvm")).collect()
+    strings = lambda v: isinstance(v, list) and all(isinstance(x, str) for x in v)
+    for nth, row in enumerate(read):
+        if "\\" not in row["t"]:
+            continue
+        value = C._literal(row["t"])
+        both = isinstance(value, dict)
+        assert row["a"]["text"] == C._items(value.get("text") if both else value), row["t"]
+        assert row["a"]["label"] == (C._items(value.get("label")) if both else None), row["t"]
+        simple = strings(value) or (both and set(value) == {"text", "label"} and all(map(strings, value.values())))
+        if nth < 1500 and simple and not re.search(r",\s*]", row["t"]):
+            assert row["jvm"], row["t"]
+
+
+def test_random_literals_are_repaired_as_python_repairs_them(spark, random_literals):
+    df = spark.createDataFrame(list(enumerate(random_literals)), "i int, t string")
+    repaired = df.orderBy("i").select("t", C.sanitize_alternatives(F.col("t")).alias("s")).collect()
+    by_python = C._repair_literal.func(iter([pd.Series([t.replace("\\uparrow", "\\\\uparrow") for t in random_literals])]))
+    for row, expected in zip(repaired, next(by_python)):
+        if "\\" in row["t"]:
+            assert row["s"] == (expected or row["t"]), row["t"]
+
+
+def test_very_long_literal(spark):
+    text = "['" + "\\'\\\\alpha " * 200_000 + "', '" + "', '".join(["\\n"] * 50_000) + "']"
+    found = spark.createDataFrame([(text,)], "t string").select(C.read_alternatives(F.col("t"))["text"].alias("a")).first()["a"]
+    assert found == ["'\\alpha " * 200_000, *["\n"] * 50_000]
+
+
 def test_incomplete_and_empty_items_are_dropped(spark):
     df = spark.createDataFrame([("a", "1"), ("", "1"), (None, "1"), ("b", None)], "sentence string, label string")
     assert [r.sentence for r in clean_benchmark(df, BENCHMARKS["hatebr"]).collect()] == ["a"]
