@@ -140,10 +140,18 @@ def pearson(x: Column, y: Column) -> Column:
 
 
 def continuous_eval(answers: DataFrame) -> DataFrame:
-    """Pearson correlation of label and prediction over parsed rows."""
+    """Pearson correlation of label and prediction over parsed rows.
+
+    A label that is no number fails the job, with its benchmark, its id (where the answers have
+    one) and the label in the message; a null label takes no part.
+    """
     nothing = F.lit(None).cast("double")
     parsed = F.col(PREDICTION)
-    label = F.when(parsed.isNotNull(), F.col("label").cast("double"))
+    number = F.col("label").try_cast("double")
+    row = [F.col(c).cast("string") for c in ("benchmark", "id_bench") if c in answers.columns]
+    fault = F.raise_error(F.concat_ws(" ", F.lit("label is no number:"), *row, F.col("label").cast("string")))
+    readable = F.when(number.isNull() & F.col("label").isNotNull(), fault.cast("double")).otherwise(number)
+    label = F.when(parsed.isNotNull(), readable)
     unparsed = ratio(F.count_if(parsed.isNull()), F.count(F.lit(1)))
     return (
         answers.groupBy(*GROUP)

@@ -59,6 +59,15 @@ def test_correlation(spark):
     assert got["m1"].accuracy is None
 
 
+def test_unreadable_label_of_a_correlation_is_named(spark):
+    rows = [("m", "assin2sts", "1.5", "1.0"), ("m", "assin2sts", None, "2.0"), ("m", "assin2sts", "odd", None)]
+    fine = spark.createDataFrame(rows, SCHEMA).withColumn("id_bench", F.lit("id7"))
+    assert M.evaluate(fine).first().pearson_correlation is None
+    broken = fine.withColumn("parsed_model_answer", F.lit("1.0"))
+    with pytest.raises(PySparkException, match="label is no number: assin2sts id7 odd"):
+        M.evaluate(broken).collect()
+
+
 def test_integer_labels_are_normalised_and_both_rates_kept(spark):
     rows = [
         ("m", "aime24", r"\(336^\circ\)", "336"),
