@@ -55,21 +55,3 @@ def merged(spans: Column) -> Column:
     plain = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
     ends = lambda ordered: F.transform(ordered, lambda s: s["end"])
     return bound(plain, lambda o: bound(running(ends(o), F.greatest), lambda peaks: of_peaks(o, peaks)))
-
-
-def pieces(text: Column, spans: Column) -> Column:
-    """The texts before, between and behind disjoint sorted spans; at least one, mostly one more than spans."""
-
-    def between(s: Column) -> Column:
-        ends = F.concat(F.array(F.lit(0)), F.transform(s, lambda x: x["end"]))
-        starts = F.concat(F.transform(s, lambda x: x["start"]), F.array(F.length(text)))
-        return F.zip_with(ends, starts, lambda a, b: F.struct(a.alias("start"), b.alias("end")))
-
-    def texts(part: Column) -> Column:
-        begin, end = part[0]["start"], F.element_at(part, -1)["end"]
-        inside = lambda chunk: F.transform(
-            part, lambda p: F.substring(chunk, p["start"] - begin + 1, p["end"] - p["start"])
-        )
-        return bound(F.substring(text, begin + 1, end - begin), inside)
-
-    return bound(bound(spans, between), lambda p: F.flatten(F.transform(parts_of(p), texts)))

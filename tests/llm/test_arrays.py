@@ -6,7 +6,7 @@ from itertools import accumulate
 import pytest
 from pyspark.sql import functions as F
 
-from gabarito.llm.arrays import merged, pieces, running
+from gabarito.llm.arrays import merged, running
 
 
 def union(spans):
@@ -41,11 +41,8 @@ def test_running(cases):
         assert got["peaks"] == list(accumulate(v, max))
 
 
-def test_merged_spans_and_pieces(cases):
+def test_merged_spans(cases):
     rows, df = cases
-    found = df.orderBy("i").select(merged(F.col("s")).alias("m"), pieces(F.col("text"), merged(F.col("s"))).alias("p"))
-    for (_, _, spans, text), got in zip(rows, found.collect()):
-        expected = union(spans)
-        assert [tuple(s) for s in got["m"]] == expected
-        bounds = list(zip([0, *(e for _, e in expected)], [*(s for s, _ in expected), len(text)]))
-        assert got["p"] == [text[a:b] for a, b in bounds]
+    found = df.orderBy("i").select(merged(F.col("s")).alias("m"))
+    for (_, _, spans, _), got in zip(rows, found.collect()):
+        assert [tuple(s) for s in got["m"]] == union(spans)
