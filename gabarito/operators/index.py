@@ -48,8 +48,11 @@ def dense_index(
 def with_dense_index(
     df: DataFrame, groups: list[str], order: list[str], index: str = "idx", size: str = "n_rows"
 ) -> DataFrame:
-    """`df` with its dense index, joined back on the unique row key (no group is hot there)."""
-    return df.join(dense_index(df, groups, order, index, size), [*groups, *order])
+    """`df` with its dense index, joined back on the unique row key (no group is hot there).
+
+    The index has a row per row of `df`, so it is never broadcast.
+    """
+    return df.join(dense_index(df, groups, order, index, size).hint("merge"), [*groups, *order])
 
 
 def head_percent(indexed: DataFrame, percent: float, index: str = "idx", size: str = "n_rows") -> DataFrame:

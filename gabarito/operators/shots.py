@@ -135,7 +135,8 @@ def with_shots_per_row(
     The draw is a function of `run_seed` and the row, so a lost task redraws the same shots.
     Every row asks for itself and for its shots. The requests are looked up by
     (benchmark, idx), which spreads a large benchmark, and what is found goes to the row that
-    asked in one exchange. `items` is read twice and should be a staged table.
+    asked in one exchange. Neither side is small, whatever a staged table's files weigh, so
+    the lookup is never broadcast. `items` is read twice and should be a staged table.
     """
     ranks = row_ranks(
         F.col("n_rows"), F.col("benchmark"), F.col("idx"), F.col("experiment").cast("long"), n_shots, run_seed
@@ -145,10 +146,8 @@ def with_shots_per_row(
     asked = F.concat(F.array(F.col("idx").cast("long")), places)
     requests = keys.select("benchmark", F.col("idx").alias("__q"), "experiment", F.posexplode(asked).alias("__pos", "__idx"))
     row = F.struct(*[F.col(f"`{c}`") for c in items.columns])
-    found = requests.join(
-        items.select(F.col("benchmark"), F.col("idx").cast("long").alias("__idx"), row.alias("__row"), shot.alias("__shot")),
-        ["benchmark", "__idx"],
-    )
+    known = items.select(F.col("benchmark"), F.col("idx").cast("long").alias("__idx"), row.alias("__row"), shot.alias("__shot"))
+    found = requests.join(known.hint("merge"), ["benchmark", "__idx"])
     own = F.any_value(F.when(F.col("__pos") == 0, F.col("__row")), F.lit(True)).alias("__row")
     drawn = F.collect_list(F.when(F.col("__pos") > 0, F.struct("__pos", "__shot")))
     met = found.groupBy("benchmark", "__q", "experiment").agg(own, F.sort_array(drawn).alias("__drawn"))

@@ -16,6 +16,7 @@ from gabarito.operators.index import (
     with_dense_index,
 )
 from gabarito.operators.shots import SEED
+from gabarito.staging import staged
 
 
 def grouped(spark, sizes):
@@ -140,6 +141,15 @@ def test_row_draws_keep_all_columns(spark):
         assert {s.text for s in r.shots} <= set(texts.values()) - {r.text}
 
 
+def test_row_draws_do_not_broadcast_the_rows(spark):
+    """A staged table's files are small beside its rows, so their size must not decide."""
+    items = staged(indexed(spark, {"a": 40, "b": 9}), "items")
+    rows = S.with_shots_per_row(items, 6, 2, 7, F.col("id_bench"))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert rows.count() == 2 * 49
+
+
 def test_no_shots_and_too_many(spark):
     items = indexed(spark, {"a": 5})
     none = S.without_shots(items, 2, F.struct("id_bench"))
