@@ -6,6 +6,7 @@ from gabarito.operators.board import board_schema, leaderboard, model_metadata
 from gabarito.operators.clean import exclude_models
 from gabarito.operators.upsert import skip_existing, upsert_board
 from gabarito.sources.tables import read_table, replace_table, table_exists, write_table
+from gabarito.staging import pinned
 
 
 def board_rows(
@@ -29,7 +30,11 @@ def board_rows(
 def store_board(
     spark: SparkSession, eval_rows: DataFrame, path: str, overrides: DataFrame, overwrite: bool = False, **options
 ) -> None:
-    """Upsert the board at `path`: one row per `model_name`, whatever hub id it shows."""
+    """Upsert the board at `path`: one row per `model_name`, whatever hub id it shows.
+
+    `eval_rows`, a row per model and benchmark, are computed once, however often the board reads them.
+    """
+    eval_rows = pinned(eval_rows)
     schema = board_schema(options.get("compat", False))
     old = read_table(spark, path, schema) if table_exists(spark, path) else None
     new = board_rows(eval_rows, overrides, board=old, overwrite=overwrite, **options)

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from gabarito.operators import board as B
 from gabarito.operators import upsert as U
+from gabarito.plans.leaderboard import store_board
 from gabarito.registry import AREAS, BOARD, DESCRIPTIONS
 from gabarito.schemas import EVAL
 from gabarito.staging import small_join
@@ -170,3 +171,22 @@ def test_upsert_beyond_the_broadcast_limit(old, new, monkeypatch):
     plain = small_join
     monkeypatch.setattr(U, "small_join", lambda *a, **k: plain(*a, **k, limit=0, salts=4))
     assert rows_of(U.upsert(old, new)) == want
+
+
+def test_a_board_is_stored_from_scores_computed_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def counted(x):
+        seen.add(1)
+        return x
+
+    rows = spark.createDataFrame([("a", "oab", 0.5), ("a", "bluex", 0.25), ("b", "oab", 1.0)], "model_name string, benchmark string, accuracy double")
+    rows = rows.withColumns({c: F.lit(None).cast("double") for c in EVAL.names if c not in rows.columns})
+    rows = rows.withColumn("accuracy", counted.asNondeterministic()("accuracy")).select(EVAL.names)
+    overrides = spark.createDataFrame([("a", "org/a"), ("b", "org/b")], "model_name string, model_id string")
+    for overwrite in (False, True):
+        store_board(spark, rows, str(tmp_path / "board"), overrides, overwrite=overwrite)
+    assert seen.value == 2 * 3
+    stored = spark.read.parquet(str(tmp_path / "board"))
+    assert {r.model_name: r[B.OVERALL] for r in stored.collect()} == {"a": 0.375, "b": 0.5}
