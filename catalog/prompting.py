@@ -250,9 +250,8 @@ SQL["prompt_choice_columns"] = query(
 # --- whole families, every benchmark in the shape its source stores
 
 
-def choice_source(spark: SparkSession, sf: str, bench: Benchmark) -> DataFrame:
+def choice_source(items: DataFrame, bench: Benchmark) -> DataFrame:
     """Choice items in the columns that a benchmark declares."""
-    items = V.items_choice(spark, sf)
     record = F.struct(F.col("choices").alias("text"), F.array(F.lit("A")).alias("label"))
     gold = (F.ascii("label") - 65) if bench.gold else F.col("label")
     if "statement" in bench.columns:
@@ -292,9 +291,13 @@ OTHER_FAMILY = {
 
 
 def choice_family(spark: SparkSession, sf: str) -> DataFrame:
-    """All choice benchmarks, and the descriptors outside a default run."""
+    """All choice benchmarks, and the descriptors outside a default run.
+
+    The rows of the table's few small files are dealt out to all cores before they are rendered.
+    """
+    items = V.items_choice(spark, sf, spark.sparkContext.defaultParallelism)
     known = [(n, benchmark(n)) for n in CHOICE_FAMILY] + [(f"other {b.name}", b) for b in UNREGISTERED]
-    return family([(name, bench, choice_source(spark, sf, bench)) for name, bench in known])
+    return family([(name, bench, choice_source(items, bench)) for name, bench in known])
 
 
 QUERIES["prompt_choice_all"] = choice_family

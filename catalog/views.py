@@ -50,9 +50,10 @@ def items_yes_no(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def items_choice(spark: SparkSession, sf: str) -> DataFrame:
-    key = F.col("p_partkey")
-    return table(spark, sf, "part").select(
+def items_choice(spark: SparkSession, sf: str, partitions: int | None = None) -> DataFrame:
+    """Parts as choice questions; dealt out to `partitions` where much is made of every row."""
+    key, rows = F.col("p_partkey"), table(spark, sf, "part")
+    return (rows.repartition(partitions) if partitions else rows).select(
         key.alias("item_key"),
         F.col("p_name").alias("question"),
         F.array(

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gabarito.functions.choices import sanitize_alternatives
+from gabarito.functions.choices import native_repair, repair_with
 from gabarito.registry import Benchmark
 from gabarito.schemas import ANSWERS
 
@@ -46,15 +46,25 @@ def standardise(df: DataFrame, bench: Benchmark) -> DataFrame:
 
 
 def sanitised(df: DataFrame, bench: Benchmark) -> DataFrame:
-    """Rows whose stored alternatives are repaired, where the benchmark asks for it."""
+    """Rows whose stored alternatives are repaired, where the benchmark asks for it.
+
+    What the JVM makes of them is a column of its own for a while, so that it is computed once.
+    """
     if bench.sanitize and isinstance(df.schema[bench.sanitize].dataType, T.StringType):
-        return df.withColumn(bench.sanitize, sanitize_alternatives(F.col(bench.sanitize)))
+        text, native = F.col(bench.sanitize), "__native"
+        while native in df.columns:
+            native += "_"
+        return df.withColumn(native, native_repair(text)).withColumn(bench.sanitize, repair_with(text, F.col(native))).drop(native)
     return df
 
 
 def clean_benchmark(df: DataFrame, bench: Benchmark) -> DataFrame:
-    """Sanitised, complete and standardised rows of one benchmark."""
-    return standardise(complete_rows(sanitised(df, bench), bench.columns), bench)
+    """Complete, sanitised and standardised rows of one benchmark.
+
+    A repair leaves null and empty texts as they are and makes no others, so rows are filtered
+    before it.
+    """
+    return standardise(sanitised(complete_rows(df, bench.columns), bench), bench)
 
 
 def bench_id(index: str = "idx") -> Column:

@@ -10,6 +10,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from catalog.prompting import choice_family
 from gabarito.functions import choices as C
 from gabarito.functions import prompts as P
 from gabarito.functions import text as X
@@ -314,3 +315,25 @@ def test_added_benchmark(spark, monkeypatch):
     assert one(spark, R.benchmark("mine"), q="x", a="1").user == "Q: x"
     assert spark.range(1).select(R.pattern_of(F.lit("mine"))).first()[0] == "yes_no"
     assert "mine" in R.names_where(pattern="yes_no")
+
+
+def test_a_repair_runs_once_a_row_after_the_filter(spark):
+    """Incomplete rows are dropped before the repair, and Python sees no row twice."""
+    rows = [(1, LITERAL, "A"), (2, None, "A"), (3, "", "B"), (4, LITERAL, None), (5, "  ", "A")]
+    df = spark.createDataFrame(rows, "k int, alternatives string, answer string")
+    df = df.withColumns({"statement": F.lit("s"), "__native": F.lit("own")})
+    cleaned = clean_benchmark(df, BENCHMARKS["poscomp"])
+    assert cleaned._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    got = {r.k: (r.alternatives, r["__native"]) for r in cleaned.collect()}
+    assert got == {1: ('{"text":["um",null,"d\'ois"],"label":["A","B","C"]}', "own"), 5: ("  ", "own")}
+
+
+def test_choice_rows_are_dealt_out_to_all_cores(spark, tmp_path):
+    """One small file is one task, however many rows and benchmarks are rendered from it."""
+    columns = "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
+    parts = spark.createDataFrame([(i, f"n{i}", "b", "t", i, 1.0) for i in range(64)], columns)
+    parts.coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    rows = choice_family(spark, str(tmp_path))
+    assert rows.count() == 17 * 64
+    oab = rows.where("benchmark = 'oab'").withColumn("task", F.spark_partition_id())
+    assert oab.select("task").distinct().count() == spark.sparkContext.defaultParallelism
