@@ -37,13 +37,18 @@ def rendered_items(cleaned: dict[str, DataFrame], order: list[str]) -> DataFrame
     return reduce(DataFrame.unionByName, parts)
 
 
+def staged_keys(cleaned: dict[str, DataFrame], order: list[str]) -> DataFrame:
+    """Benchmark and row key of all clean rows, without their texts."""
+    keys = reduce(DataFrame.unionByName, (rows.select("benchmark", *order) for rows in cleaned.values()))
+    return staged(keys, "keys")
+
+
 def heads(cleaned: dict[str, DataFrame], order: list[str], percent: float) -> tuple[dict[str, DataFrame], DataFrame]:
     """The first `percent` of every benchmark's rows, and their index, made from staged keys.
 
     Only the last kept key of each benchmark is collected, to cut the rows where they are read.
     """
-    keys = reduce(DataFrame.unionByName, (rows.select("benchmark", *order) for rows in cleaned.values()))
-    index = pinned(head_percent(dense_index(staged(keys, "keys"), ["benchmark"], order), percent))
+    index = pinned(head_percent(dense_index(staged_keys(cleaned, order), ["benchmark"], order), percent))
     last = {r.benchmark: r.last for r in index.groupBy("benchmark").agg(F.max(F.struct(*order)).alias("last")).collect()}
 
     def head(name: str, rows: DataFrame) -> DataFrame:
@@ -62,19 +67,19 @@ def staged_items(
 ) -> tuple[DataFrame, DataFrame | None]:
     """Items with dense `idx`, group size and `id_bench`, and the ranks drawn for them.
 
-    The sources are read once, into a staged copy of the rendered items whose keys are then
-    numbered; a head is cut by key before anything is rendered, which reads the keys first. The
-    few items that a draw can use are laid out in a partition of their own.
+    The keys are read first and numbered; a head is cut by key before anything is rendered. The
+    texts are then read, rendered, moved to their numbers and written once each. The index has
+    a row per item, so it is never broadcast. The few items that a draw can use are laid out in
+    a partition of their own.
     """
     cleaned = cleaned_sources(sources)
-    index = None
     if percent < 100:
         cleaned, index = heads(cleaned, order, percent)
-    rendered = staged(rendered_items(cleaned, order), "rendered")
-    if index is None:
-        index = dense_index(rendered.select("benchmark", *order), ["benchmark"], order)
+    else:
+        index = dense_index(staged_keys(cleaned, order), ["benchmark"], order)
     ranks = draw(index.where(F.col("idx") == 0).select("benchmark", "n_rows"))
-    items = rendered.join(index, ["benchmark", *order]).withColumn("id_bench", bench_id())
+    numbered = rendered_items(cleaned, order).join(index.hint("merge"), ["benchmark", *order])
+    items = numbered.withColumn("id_bench", bench_id())
     if ranks is None:
         return staged(items, "items"), None
     ranks = pinned(ranks)

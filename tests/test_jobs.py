@@ -20,6 +20,7 @@ from gabarito.plans.answers import (
     store_answers,
     store_answers_by_model,
 )
+from gabarito.plans import prompts as prompt_plans
 from gabarito.plans.leaderboard import board_rows, store_board
 from gabarito.plans.prompts import build_prompts_from
 from gabarito.plans.scoring import score_answers, store_eval
@@ -28,6 +29,7 @@ from gabarito.schemas import ANSWERS, EVAL, PROMPTS
 from gabarito.sources import csv as C
 from gabarito.sources import replacing
 from gabarito.sources import tables as S
+from gabarito.staging import staged
 
 
 def test_scorer_failures_cost_only_their_rows(spark):
@@ -528,3 +530,18 @@ def test_answers_table_resumes(spark, tmp_path):
     rows = table(logging_scorer(log))
     assert rows.columns == ANSWERS.names and rows.where("model_answer LIKE 'answer to p%'").count() == 9
     assert len(set(asked(log))) == 10
+
+
+def test_item_texts_are_written_once_and_their_numbers_not_broadcast(spark, monkeypatch):
+    copies = []
+
+    def noted(df, name, partition_by=None):
+        copies.append((df.columns, df._jdf.queryExecution().optimizedPlan().toString()))
+        return staged(df, name, partition_by)
+
+    monkeypatch.setattr(prompt_plans, "staged", noted)
+    rows = spark.createDataFrame([(i, f"t{i}", str(i % 2)) for i in range(20)], "k long, sentence string, label string")
+    items, _ = prompt_plans.staged_items({"hatebr": rows}, ["k"], 100, lambda sizes: None)
+    assert [(r.idx, r.n_rows, r.id_bench) for r in items.orderBy("k").collect()] == [(i, 20, f"hatebr_{i}") for i in range(20)]
+    (last, plan), = [c for c in copies if "turns" in c[0]]
+    assert "strategy=merge" in plan
