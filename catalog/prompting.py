@@ -26,7 +26,7 @@ from gabarito.operators.models import (
 )
 from gabarito.operators.resume import score_resumable
 from gabarito.operators.shots import with_shots
-from gabarito.plans.prompts import build_prompts, staged_items
+from gabarito.plans.prompts import build_prompts, seeded_shot, staged_items
 from gabarito.registry import (
     ENTAILMENT_NO,
     ENTAILMENT_USER,
@@ -416,7 +416,7 @@ def shot_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Both benchmarks' items with turns, two experiments of four shots."""
     sources = {"hatebr": V.items_yes_no(spark, sf), "oab": statement_items(spark, sf)}
     items, ranks = staged_items(sources, ["item_key"], 100, spread_ranks)
-    return with_shots(items, ranks, F.struct("id_bench", "turns"), pool=items.where("drawn"))
+    return with_shots(items, ranks, seeded_shot(), pool=items.where("drawn"))
 
 
 TURNS_SQL = [
@@ -477,7 +477,9 @@ SQL["chat_structured"] = query(
 
 def prompt_api_xml(spark: SparkSession, sf: str) -> DataFrame:
     """Few-shot prompts in the tagged form of hosted models."""
-    prompt = P.hosted_prompt(F.col("turns"), F.col("shots.turns"), pattern_of(F.col("benchmark")))
+    prompt = P.hosted_prompt(
+        F.col("turns"), F.col("shots.turns"), pattern_of(F.col("benchmark")), blocks=F.col("shots.block")
+    )
     return shot_rows(spark, sf).select("id_bench", "experiment", prompt.alias("prompt"))
 
 
@@ -490,7 +492,8 @@ JOB_PATHS = [path for path, _, _ in JOB_MODELS]
 
 def packed_prompts(spark: SparkSession, sf: str) -> DataFrame:
     turns, shots, pattern = F.col("turns"), F.col("shots.turns"), pattern_of(F.col("benchmark"))
-    packed = pack_prompts(P.build_chat(turns, shots, pattern), turns, shots, pattern, group_models(JOB_MODELS))
+    chat = P.build_chat(turns, shots, pattern)
+    packed = pack_prompts(chat, turns, shots, pattern, group_models(JOB_MODELS), blocks=F.col("shots.block"))
     return shot_rows(spark, sf).select("benchmark", "id_bench", "experiment", packed.alias("prompt"))
 
 

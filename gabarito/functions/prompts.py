@@ -169,46 +169,69 @@ def raw_text(chat: Column) -> Column:
     return F.array_join(blocks, "\n\n")
 
 
-def hosted_user_text(item: Column, shots: Column, pattern: Column, structured: bool = False) -> Column:
-    """One user text for hosted models: numbered shots, then the sample."""
-    blocks = F.transform(
-        shots,
-        lambda s, i: F.concat(
-            F.lit("Shot "),
-            (i + 1).cast("string"),
-            F.lit(":\nUsuário: "),
-            F.coalesce(s["user"], F.lit("None")),
-            F.lit("\nAssistente: "),
-            F.coalesce(s["with_answer"], F.lit("None")),
-        ),
+def shot_block(shot: Column) -> Column:
+    """A shot as hosted models see it, without its number; missing texts read None."""
+    return F.concat(
+        F.lit(":\nUsuário: "),
+        F.coalesce(shot["user"], F.lit("None")),
+        F.lit("\nAssistente: "),
+        F.coalesce(shot["with_answer"], F.lit("None")),
+    )
+
+
+def escaped_block(shot: Column) -> Column:
+    """The same, escaped; made once per shot, it need not be made again in every prompt."""
+    return escape_xml(shot_block(shot))
+
+
+def hosted_text(blocks: Column, sample: Column) -> Column:
+    """Numbered shots, then the sample."""
+    none = shot_block(F.struct(*[F.lit(None).cast("string").alias(c) for c in ("user", "with_answer")]))
+    numbered = F.transform(
+        blocks, lambda b, i: F.concat(F.lit("Shot "), (i + 1).cast("string"), F.coalesce(b, none))
     )
-    sample = user_text(item, pattern, structured)
     return F.when(
-        F.size(shots) > 0,
+        F.size(blocks) > 0,
         F.concat(
             F.lit(SHOTS_HEADING),
-            F.array_join(blocks, "\n\n"),
+            F.array_join(numbered, "\n\n"),
             F.lit("\n\n" + SAMPLE_HEADING),
             sample,
         ),
     ).otherwise(sample)
 
 
+def hosted_user_text(item: Column, shots: Column, pattern: Column, structured: bool = False) -> Column:
+    """One user text for hosted models: numbered shots, then the sample."""
+    return hosted_text(F.transform(shots, shot_block), user_text(item, pattern, structured))
+
+
+def tagged(parts: dict[str, Column]) -> Column:
+    """Escaped texts in their tags, one per line."""
+    return F.concat_ws(
+        "\n", *[F.concat(F.lit(f"<{t}>"), c, F.lit(f"</{t}>")) for t, c in parts.items()]
+    )
+
+
 def tagged_prompt(system: Column, user: Column, hint: Column | None = None) -> Column:
     """`<system>`, `<user>` and, when there is a hint, `<assistant>`, one per line, escaped."""
     parts = {"system": system, "user": user}
     if hint is not None:
         parts["assistant"] = hint
-    return F.concat_ws(
-        "\n",
-        *[F.concat(F.lit(f"<{t}>"), escape_xml(c), F.lit(f"</{t}>")) for t, c in parts.items()],
-    )
+    return tagged({t: escape_xml(c) for t, c in parts.items()})
 
 
-def hosted_prompt(item: Column, shots: Column, pattern: Column, structured: bool = False) -> Column:
-    """The tagged prompt every hosted model shares."""
-    return tagged_prompt(
-        item["system"],
-        hosted_user_text(item, shots, pattern, structured),
-        None if structured else item["without_answer"],
-    )
+def hosted_prompt(
+    item: Column, shots: Column, pattern: Column, structured: bool = False, blocks: Column | None = None
+) -> Column:
+    """The tagged prompt every hosted model shares.
+
+    `blocks` holds the `escaped_block` of every shot, where the shots bring it along.
+    """
+    hint = None if structured else item["without_answer"]
+    if blocks is None:
+        return tagged_prompt(item["system"], hosted_user_text(item, shots, pattern, structured), hint)
+    # The headings have nothing to escape.
+    user = hosted_text(blocks, escape_xml(user_text(item, pattern, structured)))
+    parts = {"system": escape_xml(item["system"]), "user": user}
+    return tagged(parts if hint is None else parts | {"assistant": escape_xml(hint)})

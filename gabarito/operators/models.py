@@ -54,10 +54,12 @@ def pack_prompts(
     groups: dict[str, dict[str, list[str]]],
     structured: bool = False,
     chat_templates: dict[str, Renderer] | None = None,
+    blocks: Column | None = None,
 ) -> Column:
     """JSON map `{tokenizer}_instruct` / `{tokenizer}_base` / `api` -> {prompt, models}.
 
     Instruct models need their chat template as a Column function, as no tokenizer runs here.
+    `blocks` is what `hosted_prompt` takes.
     """
     templates = chat_templates or {}
     entries = []
@@ -68,7 +70,7 @@ def pack_prompts(
 
     for tokenizer, kinds in groups.items():
         if tokenizer == HOSTED:
-            prompt = hosted_prompt(item, shots, pattern, structured)
+            prompt = hosted_prompt(item, shots, pattern, structured, blocks)
             entry(tokenizer, prompt, kinds[INSTRUCT] + kinds[BASE])
             continue
         if kinds[INSTRUCT]:

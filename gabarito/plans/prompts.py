@@ -3,10 +3,10 @@
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gabarito.functions.prompts import build_chat
+from gabarito.functions.prompts import build_chat, escaped_block
 from gabarito.operators.clean import bench_id, clean_benchmark
 from gabarito.operators.index import dense_index, head_percent, prompt_ids
 from gabarito.operators.models import Renderer, group_models, pack_prompts
@@ -86,6 +86,11 @@ def staged_items(
     return staged(mark_drawn(items, ranks), "items", ["drawn"]), ranks
 
 
+def seeded_shot() -> Column:
+    """What the few drawn rows bring along: id, turns, and their escaped block, made here once."""
+    return F.struct("id_bench", "turns", escaped_block(F.col("turns")).alias("block"))
+
+
 def build_prompts(
     sources: dict[str, DataFrame],
     models: list[tuple[str, str, str]],
@@ -116,16 +121,18 @@ def build_prompts(
 
     items, drawn = staged_items(sources, order or SOURCE_ORDER, percent, draw)
     shot = F.struct("id_bench", "turns")
+    blocks = None
     if n_shots == 0:
         rows = without_shots(items, n_experiments, shot)
     elif drawn is None:
         rows = with_shots_per_row(items, n_shots, n_experiments, seed, shot)
     else:
-        rows = with_shots(items, drawn, shot, pool=items.where("drawn"))
+        rows = with_shots(items, drawn, seeded_shot(), pool=items.where("drawn"))
+        blocks = F.col("shots.block")
     shots = F.col("shots.turns")
     pattern = pattern_of(F.col("benchmark"))
     chat = build_chat(F.col("turns"), shots, pattern, structured)
-    packed = pack_prompts(chat, F.col("turns"), shots, pattern, groups, structured, chat_templates)
+    packed = pack_prompts(chat, F.col("turns"), shots, pattern, groups, structured, chat_templates, blocks)
     rows = rows.withColumns({"prompt": packed, "shot_indices": F.col("shots.id_bench")})
     return prompt_ids(rows, n_experiments, list(sources)).select(*PROMPTS.names)
 

@@ -328,6 +328,18 @@ def test_a_repair_runs_once_a_row_after_the_filter(spark):
     assert got == {1: ('{"text":["um",null,"d\'ois"],"label":["A","B","C"]}', "own"), 5: ("  ", "own")}
 
 
+def test_blocks_escaped_beforehand_give_the_same_prompt(spark):
+    turns = "struct<system string, user string, with_answer string, without_answer string>".replace(" string", ":string")
+    shots = [[("s", "a & b", "<c>", ""), ("s", None, "d", ""), None], [], None]
+    rows = [(("x<y", "q > &amp;", "w", "hint"), s) for s in shots] + [(("x", None, "w", None), shots[0])]
+    df = spark.createDataFrame(rows, f"item {turns}, shots array<{turns}>")
+    blocks = F.transform("shots", P.escaped_block)
+    for structured in (False, True):
+        forms = [P.hosted_prompt(F.col("item"), F.col("shots"), F.lit("yes_no"), structured, b) for b in (None, blocks)]
+        for whole, pieces in df.select(*forms).collect():
+            assert whole == pieces
+
+
 def test_choice_rows_are_dealt_out_to_all_cores(spark, tmp_path):
     """One small file is one task, however many rows and benchmarks are rendered from it."""
     columns = "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
