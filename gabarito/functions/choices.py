@@ -2,7 +2,7 @@
 
 import ast
 import json
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -130,32 +130,23 @@ def _safe(text: Column) -> Column:
     return text
 
 
-def _once(value: Column, use: Callable[[Column], Column]) -> Column:
-    """`use` of a value that is computed once, however often `use` names it."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def native_repair(text: Column) -> Column:
     """What `sanitize_alternatives` makes of the literals that the JVM can repair, else null."""
-
-    def plain(safe: Column) -> Column:
-        # Only a record holding both lists and nothing else is rewritten by the JVM.
-        def rewritten(record: Column) -> Column:
-            both = record["text"].isNotNull() & record["label"].isNotNull()
-            keys = F.array_sort(F.json_object_keys(safe))
-            return F.when(both, F.when(keys == F.array(F.lit("label"), F.lit("text")), F.to_json(record)))
-
-        return F.when(~F.contains(safe, F.lit("\\")), _once(F.from_json(safe, ALTERNATIVES), rewritten))
-
-    def escaped(safe: Column) -> Column:
-        def rewritten(marked: Column) -> Column:
-            lists = F.struct(*[_unmarked(marked[key]).alias(key) for key in ("text", "label")])
-            return F.when(marked["text"].isNotNull() & marked["label"].isNotNull(), F.to_json(lists))
-
-        literal = F.when(F.contains(safe, F.lit("\\")) & safe.rlike(FIRST_TEXT), safe)
-        return _once(F.from_json(_marked(literal, RECORD), ALTERNATIVES), rewritten)
-
-    return _once(_safe(text), lambda safe: F.coalesce(plain(safe), escaped(safe)))
+    safe = _safe(text)
+    simple = F.when(~F.contains(safe, F.lit("\\")), safe)
+    # Only a record holding both lists and nothing else is rewritten by the JVM.
+    keys = F.json_object_keys(simple)
+    record = F.from_json(simple, ALTERNATIVES)
+    whole = (
+        (F.array_sort(keys) == F.array(F.lit("label"), F.lit("text")))
+        & record["text"].isNotNull()
+        & record["label"].isNotNull()
+    )
+    native = F.when(whole, F.to_json(record))
+    marked = F.from_json(_marked(F.when(safe.rlike(FIRST_TEXT), safe), RECORD), ALTERNATIVES)
+    lists = F.struct(*[_unmarked(marked[key]).alias(key) for key in ("text", "label")])
+    escaped = F.when(marked["text"].isNotNull() & marked["label"].isNotNull(), F.to_json(lists))
+    return F.coalesce(native, escaped)
 
 
 def repair_with(text: Column, native: Column) -> Column:
